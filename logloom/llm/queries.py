@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import bpe, chat_preference, exact_dedup, line_dedup
+from logloom.llm import bpe, chat_preference, exact_dedup, line_dedup, packing, pii, quality_lm
 from logloom.llm.common import read
 
 
@@ -16,6 +16,25 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return out.select(
+        "doc_id",
+        *(f"n_{k}" for k in pii.BASE),
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.karmarkar_karp(read(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False).drop("ids")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -30,6 +49,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality_lm.quality(docs, read(spark, sf_dir, "labels")).drop("text")
+
+
 def op10_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = chat_preference.reply_pairs(read(spark, sf_dir, "conversations"))
     out = chat_preference.preference_format(pairs)
@@ -99,8 +123,12 @@ FROM rendered GROUP BY conv_id, n
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii": op2_pii,
+    "op3_best_fit": op3_best_fit,
+    "op4_karmarkar_karp": op4_karmarkar_karp,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_lm": op9_quality_lm,
     "op10_chat_preference": op10_chat_preference,
 }
 
