@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import bpe, chat_preference, exact_dedup, line_dedup, packing, pii, quality_lm
+from logloom.llm import additive_ann, bpe, chat_preference, exact_dedup, line_dedup, packing, pii, quality_lm
 from logloom.llm.common import read
 
 
@@ -35,6 +35,10 @@ def op4_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.karmarkar_karp(read(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False).drop("ids")
 
 
+def op5_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive_ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -126,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_best_fit": op3_best_fit,
     "op4_karmarkar_karp": op4_karmarkar_karp,
+    "op5_additive_ann": op5_additive_ann,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_lm": op9_quality_lm,
