@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import additive_ann, bpe, chat_preference, exact_dedup, line_dedup, packing, pii, quality_lm
+from logloom.llm import additive_ann, bpe, chat_preference, exact_dedup, line_dedup, near_dedup, packing, pii, quality_lm
 from logloom.llm.common import read
 
 
@@ -39,6 +39,10 @@ def op5_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive_ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op6_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(read(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -131,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit": op3_best_fit,
     "op4_karmarkar_karp": op4_karmarkar_karp,
     "op5_additive_ann": op5_additive_ann,
+    "op6_prob_minhash": op6_prob_minhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_lm": op9_quality_lm,
