@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ASCII_BLANKS, lower_ascii
+from logloom.llm.common import ASCII_BLANKS, checkpointed, lower_ascii
 
 #: Added to every row.
 RESULT = ("kept_text", "n_lines", "n_dropped")
@@ -48,7 +48,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.col("_docs") >= min_docs)
         .select("_h1", "_h2", "_keep")
     )
-    # One row per key on the right: a hot key skews the left side only, which AQE splits.
+    # Written apart, so that the join deals both sides anew: a hot key then skews the left
+    # side only, which adaptive execution splits.
+    repeated = checkpointed(repeated)
     lost = (
         lines.join(repeated, ["_h1", "_h2"])
         .filter(~F.col("_id").eqNullSafe(F.col("_keep")))
