@@ -70,6 +70,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     listed = checkpointed(recipes(docs, id_col, text_col))
     # Partial aggregation leaves one row per recipe and task, however hot the recipe.
     groups = listed.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Written apart, so that the join deals both sides anew and can split a hot recipe.
+    groups = checkpointed(groups)
     return listed.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
