@@ -6,5 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from logloom.plans import queries as q
+from logloom.plans.oracle import ORACLE_SQL  # noqa: F401
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "split_parts": q.split_parts_query,
+} | {
+    f.__name__: f
+    for f in (
+        q.parse_roundtrip, q.quarantine_reasons, q.quarantined_lines, q.prefix_limit, q.mask_templates, q.template_catalog,
+        q.scalar_functions, q.event_time_span, q.orphan_events, q.window_features_60, q.window_features_3600,
+        q.window_template_counts, q.last_line_per_window, q.daily_histogram, q.windows_at_least, q.duplicate_keys,
+        q.lag_percentiles, q.fit_validation_parts, q.top_templates_train, q.feature_matrix, q.severity_free_matrix,
+        q.severity_rule_scores, q.zscore_stats, q.zscore_scores, q.zscore_threshold, q.zscore_eval, q.threshold_sweep,
+        q.detector_scores_ranked, q.best_detector, q.logistic_eval, q.gbt_eval, q.iforest_eval, q.health, q.summary,
+        q.first_anomalous_index, q.detector_flags, q.windows_page, q.window_top_templates, q.idempotent_append,
+        q.loaded_events, q.replaced_windows, q.stream_native_windows, q.stream_exact_windows, q.stream_batch_parity,
+        q.scored_documents, q.flagged_top10,
+    )
+}
