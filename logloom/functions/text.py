@@ -15,8 +15,13 @@ MASKS = (
     (r"(?U)(?:/[\w.\-]+){2,}/?", "<PATH>"),
     (r"(?U)\b\d+(?:\.\d+)?\b", "<NUM>"),
 )
-#: White space as headers and messages see it: Unicode's, and the four separators U+001C to U+001F.
-BLANKS = r"(?U)[\s\x1c-\x1f]+"
+#: White space as headers and messages see it, Unicode's and the separators U+001C to U+001F.
+BLANK_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+BLANKS = f"[{BLANK_CHARS}]+"
+
+
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(BLANK_CHARS))
 
 
 def mask_message(message: Column) -> Column:
@@ -42,7 +47,8 @@ def detector_label(detector: Column, variant: Column) -> Column:
 
 
 def percent(share: Column) -> Column:
-    return F.format_string("%.1f%%", share * 100)
+    # Exact halves go to the even digit.
+    return F.format_string("%.1f%%", F.bround(share * 100, 1))
 
 
 def page_offset(index: Column, page: int, total: int = 0) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.text import BLANKS, escape_nul, mask_message, template_id
+from logloom.functions.text import BLANKS, escape_nul, mask_message, strip, template_id
 
 NORMAL_LABEL = "-"
 #: Header fields, severities and the accepted span of epochs (2000 to 2050).
@@ -21,9 +21,9 @@ def _reason(line: Column, parts: Column, epoch: Column) -> Column:
     """The first check that fails names the reason; null for a good line."""
     part = lambda i: F.get(parts, F.lit(i))
     return (
-        F.when(~F.is_valid_utf8(line) | F.contains(line, F.lit("�")), "undecodable_bytes")
+        F.when(~F.is_valid_utf8(line) | F.contains(line, F.lit("\ufffd")), "undecodable_bytes")
         .when(F.contains(line, F.lit("\x00")), "nul_byte")
-        .when(F.regexp_replace(line, BLANKS, "") == "", "empty_line")
+        .when(strip(line) == "", "empty_line")
         .when(F.size(parts) < HEADER_FIELDS, "too_few_fields")
         .when(~part(1).rlike(r"^\d+$") | epoch.isNull() | ~epoch.between(*EPOCHS), "bad_epoch")
         .when(~part(2).rlike(DATE), "bad_date")
@@ -32,42 +32,49 @@ def _reason(line: Column, parts: Column, epoch: Column) -> Column:
     )
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however often it is used.
+
+    A generator is not merged with the projections around it, as a plain
+    projection would be.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def parse(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each line (source_file, line_no, value) with reason and the parsed fields.
 
     keep: further columns to carry along. Null lines are empty ones.
     """
     value = F.coalesce(F.col("value"), F.lit(""))
-    line = F.regexp_replace(F.regexp_replace(value, r"\n+$", ""), r"\r+$", "")
-    cut = lines.select("source_file", "line_no", *keep, value.alias("_raw"), line.alias("_line"))
-    parts = F.split(F.regexp_replace("_line", "(?U)^[\\s\\x1c-\\x1f]+", ""), BLANKS, HEADER_FIELDS + 1)
-    cut = cut.withColumn("_parts", F.filter(parts, lambda x: x.isNotNull()))
-    # A trailing blank leaves an empty last field, which is no field.
-    cut = cut.withColumn("_parts", F.when(F.element_at("_parts", -1) == "", F.slice("_parts", 1, F.size("_parts") - 1)).otherwise(F.col("_parts")))
-    cut = cut.withColumn("epoch", F.try_cast(F.get("_parts", F.lit(1)), "bigint") if hasattr(F, "try_cast") else F.get("_parts", F.lit(1)).try_cast("bigint"))
-    part = lambda i: F.get("_parts", F.lit(i))
+    line = F.rtrim(F.rtrim("_raw", F.lit("\n")), F.lit("\r"))
+    cut = lines.select("source_file", "line_no", *keep, value.alias("_raw"))
+    cut = _once(cut, "_cut", F.struct(line.alias("line"), F.split(strip(line), BLANKS, HEADER_FIELDS + 1).alias("parts")))
+    part = lambda i: F.get("_cut.parts", F.lit(i))
+    epoch = part(1).try_cast("bigint")
     message = F.coalesce(part(HEADER_FIELDS), F.lit(""))
-    message = F.regexp_replace(F.regexp_replace(message, "^" + BLANKS, ""), BLANKS + "$", "")
-    out = cut.withColumns({"reason": _reason(F.col("_line"), F.col("_parts"), F.col("epoch")), "message": message})
-    out = out.withColumn("template", mask_message(F.col("message")))
+    facts = F.struct(
+        _reason(F.col("_cut.line"), F.col("_cut.parts"), epoch).alias("reason"), epoch.alias("epoch"), message.alias("message"), mask_message(message).alias("template")
+    )
+    out = _once(cut, "_facts", facts)
     return out.select(
         "source_file",
         "line_no",
         *keep,
-        "reason",
+        "_facts.reason",
         F.col("_raw").alias("value"),
-        F.timestamp_seconds("epoch").alias("event_time"),
-        "epoch",
+        F.timestamp_seconds("_facts.epoch").alias("event_time"),
+        "_facts.epoch",
         part(3).alias("node"),
         part(6).alias("event_type"),
         part(7).alias("component"),
         F.upper(part(8)).alias("severity"),
         part(0).alias("label"),
         (part(0) != NORMAL_LABEL).alias("is_alert"),
-        template_id(F.col("template")).alias("template_id"),
-        F.sha2("message", 256).alias("line_sha256"),
-        "message",
-        "template",
+        template_id(F.col("_facts.template")).alias("template_id"),
+        F.sha2("_facts.message", 256).alias("line_sha256"),
+        "_facts.message",
+        "_facts.template",
     )
 
 
@@ -78,5 +85,5 @@ def good(parsed: DataFrame) -> DataFrame:
 
 def rejects(parsed: DataFrame) -> DataFrame:
     """The quarantined lines: source_file, line_no, reason, raw_line."""
-    raw = escape_nul(F.regexp_replace("value", r"\n+$", ""))
+    raw = escape_nul(F.rtrim("value", F.lit("\n")))
     return parsed.filter(F.col("reason").isNotNull()).select("source_file", "line_no", "reason", raw.alias("raw_line"))

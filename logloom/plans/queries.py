@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.functions.text import detector_label, mask_message, page_offset, percent, template_id
-from logloom.functions.time import iso_millis, window_id
+from logloom.functions.time import iso_millis, window_floor, window_id
 from logloom.operators import aggregate, compare, evaluate, load, metrics
 from logloom.operators.detect import TRAIN, ZScore
 from logloom.operators.features import Matrix, build_matrix, cutoff, split_parts, top_templates
@@ -29,7 +29,10 @@ def _windows(spark: SparkSession, sf_dir: str, seconds: int = HOUR) -> DataFrame
 
 def _matrix(spark: SparkSession, sf_dir: str) -> Matrix:
     events = _events(spark, sf_dir)
-    return build_matrix(aggregate.window_features(events, HOUR), aggregate.template_counts(events, HOUR), 0.7, TEMPLATES)
+    # Small against the events, and read by every step of a fit.
+    windows, counts = aggregate.window_features(events, HOUR).persist(), aggregate.template_counts(events, HOUR).persist()
+    matrix = build_matrix(windows, counts, 0.7, TEMPLATES)
+    return Matrix(matrix.rows.persist(), matrix.features)
 
 
 def _base_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,8 +148,6 @@ def window_template_counts(spark, sf_dir):
 
 
 def last_line_per_window(spark, sf_dir):
-    from logloom.functions.time import window_floor
-
     return _events(spark, sf_dir).groupBy(window_floor(F.col("epoch"), HOUR).alias("window_start")).agg(F.max("line_no").alias("last_line"), F.min("line_no").alias("first_line"))
 
 
@@ -174,11 +175,11 @@ def lag_percentiles(spark, sf_dir):
 
 def split_parts_query(spark, sf_dir):
     """Training and test windows."""
-    return split_parts(_windows(spark, sf_dir), 0.7).select("window_start", "position", F.when(F.col("part").isin(*TRAIN), "train").otherwise("test").alias("part"))
+    return split_parts(_windows(spark, sf_dir).persist(), 0.7).select("window_start", "position", F.when(F.col("part").isin(*TRAIN), "train").otherwise("test").alias("part"))
 
 
 def fit_validation_parts(spark, sf_dir):
-    return split_parts(_windows(spark, sf_dir), 0.7, 0.8).groupBy("part").agg(F.count(F.lit(1)).alias("windows"), F.min("window_start").alias("first_window"), F.max("window_start").alias("last_window"))
+    return split_parts(_windows(spark, sf_dir).persist(), 0.7, 0.8).groupBy("part").agg(F.count(F.lit(1)).alias("windows"), F.min("window_start").alias("first_window"), F.max("window_start").alias("last_window"))
 
 
 def top_templates_train(spark, sf_dir):
@@ -230,7 +231,7 @@ def zscore_eval(spark, sf_dir):
 
 def threshold_sweep(spark, sf_dir):
     """F1 at every position of the training windows by falling event count."""
-    parts = split_parts(_windows(spark, sf_dir), 0.7).filter(F.col("part").isin(*TRAIN))
+    parts = split_parts(_windows(spark, sf_dir).persist(), 0.7).filter(F.col("part").isin(*TRAIN))
     swept = metrics.sweep(parts.select("window_start", F.col("event_count").cast("double").alias("score"), F.col("is_anomalous").alias("label")))
     return swept.select("position", "window_start", "score", F.col("tp").cast("long").alias("tp"), F.round("f1", 6).alias("f1"))
 
@@ -382,7 +383,7 @@ def stream_batch_parity(spark, sf_dir):
 def scored_documents(spark, sf_dir):
     """Index rows of the windows, scored with statistics of the training half."""
     events = _events(spark, sf_dir)
-    windows = aggregate.window_features(events, HOUR)
+    windows = aggregate.window_features(events, HOUR).persist()
     stats = scoring.load_statistics(scoring.export_statistics(windows, aggregate.template_counts(events, HOUR), HOUR))
     docs = scoring.documents(scoring.score_windows(windows.withColumn("late_events", F.lit(0).cast("long")), stats))
     return docs.withColumns({"zscore": F.round("zscore", 6), "error_rate": F.round("error_rate", 6)})
