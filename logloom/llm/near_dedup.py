@@ -10,9 +10,9 @@ Copies collapse first, so only different word sequences are compared. Buckets
 are compared in two passes, neither of which pairs up a bucket's members:
 first each member with a centre drawn for the bucket, which joins most groups;
 then, where a bucket still has several components, the members outside the
-largest one with all others, in blocks of signatures, of which only pairs that
-are likely to pass go on to verification. Any pair that shares a bucket is thus
-either verified, joined by other links, or ruled out by its signatures.
+largest one with all others, block by block: signatures rule out most pairs, and
+the rest are verified in place. Any pair that shares a bucket is thus verified,
+joined by other links, or ruled out by its signatures.
 
 Null text is empty; texts without words form one class of equal texts. Words are
 split at ASCII white space and lower-cased; texts of fewer words than a shingle
@@ -195,53 +195,78 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose similarity passes. pairs is read twice: give it written."""
-    nodes = checkpointed(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct())
-    # Only the candidates' words are shuffled.
+def _picked(signed: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """node and columns of the given nodes, of which alone the wide columns are shuffled."""
+    nodes = checkpointed(nodes.select(F.col("node").alias("row")).distinct())
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
-    words = checkpointed(signed.select("row", "words").join(nodes, "row", "left_semi"))
+    out = signed.select("row", *columns).join(nodes, "row", "left_semi")
+    return checkpointed(out.withColumnRenamed("row", "node"))
+
+
+def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose similarity passes. pairs is read twice: give it written."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    words = _picked(signed, nodes, "words")
     left, right = words.toDF("a", "wa"), words.toDF("b", "wb")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify, "a bigint, b bigint")
 
 
-_COMPARED = "a bigint, b bigint"
+class _Joined(dict):
+    """Labels that links found so far have joined."""
+
+    def find(self, label: int) -> int:
+        while self.get(label, label) != label:
+            label = self[label]
+        return label
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a minor and another member of its bucket whose signatures agree enough."""
+    """Links between minors and other members of a bucket, for a pair of blocks a row.
+
+    A pair is looked at in the first band that it shares, and not if the row's
+    links already join its components.
+    """
     for batch in batches:
         for row in batch.to_pylist():
-            left, right = row["minors"], row["members"]
-            sigs = np.stack([np.frombuffer(x["signature"], np.uint32) for x in right])
-            nodes = np.array([x["node"] for x in right])
-            labels = np.array([x["label"] for x in right])
-            pairs: set[tuple[int, int]] = set()
-            for x in left:
-                same = (sigs == np.frombuffer(x["signature"], np.uint32)).sum(1) >= AGREE
-                same &= labels != x["label"]
-                pairs |= {(min(x["node"], int(o)), max(x["node"], int(o))) for o in nodes[same]}
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-
-def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket, aren't tested and look alike."""
+            members, joined, links = row["members"], _Joined(), []
+            sigs = np.stack([np.frombuffer(x["signature"], np.uint32) for x in members])
+            labels = np.array([x["label"] for x in members])
+            elements: dict[int, tuple] = {}
+            for x in row["minors"]:
+                equal = sigs == np.frombuffer(x["signature"], np.uint32)
+                shared = equal[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS).all(2)
+                likely = (equal.sum(1) >= AGREE) & (shared.argmax(1) == row["band"]) & shared[:, row["band"]] & (labels != x["label"])
+                own = None
+                for i in np.flatnonzero(likely):
+                    of, to = joined.find(x["label"]), joined.find(int(labels[i]))
+                    if of == to:
+                        continue
+                    own = own or _elements(x["words"])
+                    if i not in elements:
+                        elements[i] = _elements(members[i]["words"])
+                    if probability_jaccard(own, elements[i]) >= SIMILARITY:
+                        joined[of] = to
+                        links.append((x["node"], members[i]["node"]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a bucket that the stars left in different components."""
     named = labels.withColumnRenamed("node", "_node")
-    placed = buckets.join(named, buckets["node"] == named["_node"], "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    placed = buckets.join(named, buckets["node"] == named["_node"], "left").select("key", "band", "node", F.coalesce("label", "node").alias("label"))
     shares = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    # Components are few in most buckets; the largest one's members needn't meet each other.
+    # The members of a bucket's largest component needn't meet each other.
     open_ = shares.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
     # With two members the star has tested their only pair.
     open_ = checkpointed(open_.filter("parts > 1 AND size > 2").select("key", F.col("top.label").alias("top"), "size"))
-    rows = placed.join(open_, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    rows = rows.join(signed.select(F.col("row").alias("node"), "signature"), "node")
-    rows = checkpointed(rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-    member = F.struct("node", "label", "signature")
-    minors = rows.filter(F.col("label") != F.col("top")).groupBy("key", F.col("block").alias("of")).agg(F.collect_list(member).alias("minors"))
+    rows = checkpointed(placed.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))))
+    wide = _picked(signed, rows, "signature", "words")
+    rows = checkpointed(rows.join(wide, "node"))
+    member = F.struct("node", "label", "signature", "words")
+    minors = rows.filter(F.col("label") != F.col("top")).groupBy("key", "band", F.col("block").alias("of")).agg(F.collect_list(member).alias("minors"))
     members = rows.groupBy("key", "block").agg(F.collect_list(member).alias("members"))
-    found = minors.join(members, "key").select("minors", "members").mapInArrow(_compare, _COMPARED).distinct()
-    return checkpointed(found.join(tested, ["a", "b"], "left_anti"))
+    return minors.join(members, "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -249,7 +274,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     signed = written(sign(docs))
     copies = checkpointed(signed.groupBy("content").agg(F.min("row").alias("node")))
     unique = signed.select("row", "bands").join(copies.select(F.col("node").alias("row")), "row", "left_semi")
-    spread = unique.select(F.explode("bands").alias("key"), F.col("row").alias("node"))
+    spread = unique.select(F.posexplode("bands").alias("band", "key"), F.col("row").alias("node"))
     # A centre for each bucket, drawn by hash so that a group's buckets have different ones.
     centres = spread.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("draw"), "node")).alias("c"), F.count(F.lit(1)).alias("n"))
     centres = centres.filter("n > 1").select("key", F.col("c.node").alias("centre"))
@@ -258,11 +283,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     stars = checkpointed(stars.distinct())
     links = checkpointed(verified(stars, signed))
     labels = components(links)
-    rest = _rest_of_buckets(buckets.select("key", "node"), signed, labels, stars)
-    if not rest.isEmpty():
-        more = checkpointed(verified(rest, signed))
-        if not more.isEmpty():
-            labels = components(links.unionByName(more))
+    more = checkpointed(_rest_of_buckets(buckets.select("key", "band", "node"), signed, labels))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     rows = signed.select("doc_id", "content").join(copies, "content").select("doc_id", "node")
     rows = rows.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
     rows = checkpointed(rows)
