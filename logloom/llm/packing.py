@@ -61,8 +61,8 @@ def differencing(sizes: list[int], windows: int) -> list[list[int]]:
         alone, meet = b[: max(0, room)], b[max(0, room) :]
         merged = a + alone
         for k, (size, tree) in enumerate(meet):
-            # b's rest, from its largest on, meets a's windows from the smallest of those still free.
-            place = len(a) - len(meet) + k
+            # b's rest, from its largest on, meets a's windows from the smallest on.
+            place = len(a) - 1 - k
             other, tree_a = merged[place]
             merged[place] = (other + size, (None, tree_a, tree))
         merged.sort(key=lambda w: -w[0])
@@ -144,8 +144,8 @@ def karmarkar_karp(
     path: str | None = None,
     capacity: int = CAPACITY,
     longest: int = 1024,
-    windows: int = 64,
-    slack: int = 2,
+    windows: int = 32,
+    slack: int = 1,
     with_ids: bool = True,
 ) -> DataFrame:
     """doc_id, start, length, ids (little-endian uint32, or null without with_ids),
