@@ -217,6 +217,10 @@ SELECT event_id, message, template, substr(sha1(template), 1, 16) AS template_id
     "stream_native_windows": _STREAM,
     "stream_exact_windows": _STREAM,
     "stream_batch_parity": f"WITH {_windows()} SELECT count(*) AS compared, 0::BIGINT AS missing, 0::BIGINT AS unexpected, 0::BIGINT AS different FROM win",
+    "late_side_output": f"WITH {EVENTS} SELECT epoch // 3600 * 3600 AS window_start, count(*) AS late_events FROM ev WHERE line_no <= (SELECT max(line_no) // 2 FROM ev) GROUP BY 1",
+    "member_totals": f"""WITH {EVENTS}, m AS (SELECT node::BIGINT % 3 AS member, count(*) AS records, count(*) FILTER (WHERE is_alert) AS alerts, min(epoch) AS first, max(epoch) AS last
+          FROM ev GROUP BY 1) SELECT count(*) AS members, sum(records)::BIGINT AS records, sum(alerts)::BIGINT AS alerts, max(last) - min(first) AS span,
+          median(records)::DOUBLE AS median_records FROM m""",
     "scored_documents": f"WITH {_DOCS} SELECT * FROM docs",
     "flagged_top10": f"WITH {_DOCS} SELECT window_id, event_count, zscore, severity_flag, zscore_flag FROM docs WHERE flagged ORDER BY docs.zscore DESC, window_id LIMIT 10",
 }

@@ -374,6 +374,28 @@ def stream_exact_windows(spark, sf_dir):
     return exact.closed_windows(_exact(spark, sf_dir), HOUR).select(*_SHOWN)
 
 
+def late_side_output(spark, sf_dir):
+    """Late events per window when the second half of the log arrives before the first."""
+    folder = sink.shared_folder(spark)
+    lines = event_lines(spark, sf_dir)
+    half = lines.agg(F.max("line_no")).first()[0] // 2
+    for part in (F.col("line_no") > half, F.col("line_no") <= half):
+        replay.produce(lines.filter(part).coalesce(1), f"{folder}/topic", HOUR)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.PROVIDER)
+    events = replay.parsed_events(replay.topic_stream(spark, f"{folder}/topic", 1))
+    sink.run_available(exact.exact_stream(events, HOUR), folder)
+    return exact.late_events(spark.read.schema(exact.OUT).parquet(f"{folder}/out"))
+
+
+def member_totals(spark, sf_dir):
+    """Totals and work span over the members that share a replay (users by their number)."""
+    events = _events(spark, sf_dir).withColumn("member", F.col("node").cast("bigint") % 3)
+    members = events.groupBy("member").agg(F.count(F.lit(1)).alias("records"), F.count_if("is_alert").alias("alerts"), F.min("epoch").alias("first"), F.max("epoch").alias("last"))
+    return members.agg(
+        F.count(F.lit(1)).alias("members"), F.sum("records").alias("records"), F.sum("alerts").alias("alerts"), (F.max("last") - F.min("first")).alias("span"), F.median("records").alias("median_records")
+    )
+
+
 def stream_batch_parity(spark, sf_dir):
     """Windows of the stream against those of the batch."""
     batch, stream = _windows(spark, sf_dir), stream_native_windows(spark, sf_dir)

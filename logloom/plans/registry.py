@@ -22,6 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q.detector_scores_ranked, q.best_detector, q.logistic_eval, q.gbt_eval, q.iforest_eval, q.health, q.summary,
         q.first_anomalous_index, q.detector_flags, q.windows_page, q.window_top_templates, q.idempotent_append,
         q.loaded_events, q.replaced_windows, q.stream_native_windows, q.stream_exact_windows, q.stream_batch_parity,
-        q.scored_documents, q.flagged_top10,
+        q.late_side_output, q.member_totals, q.scored_documents, q.flagged_top10,
     )
 }
