@@ -43,6 +43,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compacted(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Checkpoint, and in one partition for every so many rows: later shuffles of a
+    small table then leave few files, whatever the number of shuffle partitions."""
+    out = checkpointed(df)
+    return out.coalesce(-(-out.count() // rows) or 1)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage through a Parquet table in the shared folder, for wide
     tables of which later steps read some columns."""

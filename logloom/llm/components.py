@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed
+from logloom.llm.common import checkpointed, compacted
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,13 +15,15 @@ def components(links: DataFrame) -> DataFrame:
     the label of that label, so the rounds grow with the logarithm of a
     component's diameter. A hot node's neighbours meet in partial aggregates.
     """
-    both = checkpointed(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
+    both = compacted(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = compacted(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
+    parts = labels.rdd.getNumPartitions()
     while True:
         around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         nearer = labels.join(around, labels["node"] == around["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        moved = checkpointed(nearer.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
+        moved = nearer.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label"))
+        moved = checkpointed(moved.coalesce(parts))
         labels = moved.select("node", "label")
         if moved.filter(F.col("old") != F.col("label")).isEmpty():
             return labels

@@ -24,13 +24,14 @@ has no other. Extra columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import ASCII_BLANKS, checkpointed, written
+from logloom.llm.common import ASCII_BLANKS, checkpointed, compacted, written
 from logloom.llm.components import components
 
 SHINGLE = 5
@@ -154,19 +155,22 @@ def sign(docs: DataFrame) -> DataFrame:
     return hashed.mapInArrow(_sign, "row bigint, doc_id bigint, content binary, words binary, bands array<bigint>, signature binary")
 
 
-def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Exact, of two (sorted elements, weights)."""
+def probability_jaccard(a: tuple[np.ndarray, np.ndarray | None], b: tuple[np.ndarray, np.ndarray | None]) -> float:
+    """Exact, of two (sorted elements, weights); weights None: all 1."""
     (ea, wa), (eb, wb) = a, b
     if not len(ea) or not len(eb):
         return float(len(ea) == len(eb))
-    at = np.minimum(np.searchsorted(eb, ea), len(eb) - 1)
+    at = np.searchsorted(eb, ea)
+    at[at == len(eb)] = 0
     shared = eb[at] == ea
-    n = int(shared.sum())
+    n = int(np.count_nonzero(shared))
     if not n:
         return 0.0
-    x, y = wa[shared], wb[at[shared]]
-    if x.max() == x.min() == y.max() == y.min() == wa.max() == wb.max() == wa.min() == wb.min():
+    if wa is None and wb is None:
         return n / (len(ea) + len(eb) - n)
+    wa = np.ones(len(ea)) if wa is None else wa
+    wb = np.ones(len(eb)) if wb is None else wb
+    x, y = wa[shared], wb[at[shared]]
     # For an element of ratio r = x / y the others count by x where their ratio is larger, by y where not.
     order = np.argsort(x / y, kind="stable")
     x, y = x[order], y[order]
@@ -177,10 +181,12 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / (above[upto] / x + below[upto] / y)).sum())
 
 
-def _elements(words: bytes) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=512)
+def _elements(words: bytes) -> tuple[np.ndarray, np.ndarray | None]:
+    """Sorted elements and weights of a document; documents of a bucket come again and again."""
     values = np.frombuffer(words, np.uint32)
     _, element, weight = weighted(*shingles(values, np.array([len(values)])), 1)
-    return element, weight
+    return element, weight if len(weight) and weight.max() > 1 else None
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,11 +203,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _picked(signed: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
     """node and columns of the given nodes, of which alone the wide columns are shuffled."""
-    nodes = checkpointed(nodes.select(F.col("node").alias("row")).distinct())
+    nodes = compacted(nodes.select(F.col("node").alias("row")).distinct())
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
     out = signed.select("row", *columns).join(nodes, "row", "left_semi")
-    return checkpointed(out.withColumnRenamed("row", "node"))
+    return compacted(out.withColumnRenamed("row", "node"), 10_000)
 
 
 def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -232,7 +238,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             members, joined, links = row["members"], _Joined(), []
             sigs = np.stack([np.frombuffer(x["signature"], np.uint32) for x in members])
             labels = np.array([x["label"] for x in members])
-            elements: dict[int, tuple] = {}
             for x in row["minors"]:
                 equal = sigs == np.frombuffer(x["signature"], np.uint32)
                 shared = equal[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS).all(2)
@@ -243,9 +248,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if of == to:
                         continue
                     own = own or _elements(x["words"])
-                    if i not in elements:
-                        elements[i] = _elements(members[i]["words"])
-                    if probability_jaccard(own, elements[i]) >= SIMILARITY:
+                    if probability_jaccard(own, _elements(members[i]["words"])) >= SIMILARITY:
                         joined[of] = to
                         links.append((x["node"], members[i]["node"]))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -259,14 +262,13 @@ def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame) -
     # The members of a bucket's largest component needn't meet each other.
     open_ = shares.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
     # With two members the star has tested their only pair.
-    open_ = checkpointed(open_.filter("parts > 1 AND size > 2").select("key", F.col("top.label").alias("top"), "size"))
-    rows = checkpointed(placed.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))))
-    wide = _picked(signed, rows, "signature", "words")
-    rows = checkpointed(rows.join(wide, "node"))
-    member = F.struct("node", "label", "signature", "words")
-    minors = rows.filter(F.col("label") != F.col("top")).groupBy("key", "band", F.col("block").alias("of")).agg(F.collect_list(member).alias("minors"))
-    members = rows.groupBy("key", "block").agg(F.collect_list(member).alias("members"))
-    return minors.join(members, "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
+    open_ = compacted(open_.filter("parts > 1 AND size > 2").select("key", F.col("top.label").alias("top"), "size"))
+    rows = compacted(placed.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))))
+    wide = rows.join(_picked(signed, rows, "signature", "words"), "node")
+    member = F.struct("node", "label", (F.col("label") != F.col("top")).alias("minor"), "signature", "words")
+    blocks = checkpointed(wide.groupBy("key", "band", "block").agg(F.collect_list(member).alias("members")))
+    minors = blocks.select("key", F.filter("members", lambda m: m["minor"]).alias("minors")).filter(F.size("minors") > 0)
+    return minors.join(blocks, "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -280,14 +282,14 @@ def near_classes(docs: DataFrame) -> DataFrame:
     centres = centres.filter("n > 1").select("key", F.col("c.node").alias("centre"))
     buckets = checkpointed(spread.join(centres, "key"))
     stars = buckets.filter("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    stars = checkpointed(stars.distinct())
-    links = checkpointed(verified(stars, signed))
+    links = compacted(verified(compacted(stars.distinct()), signed))
     labels = components(links)
-    more = checkpointed(_rest_of_buckets(buckets.select("key", "band", "node"), signed, labels))
+    more = compacted(_rest_of_buckets(buckets.select("key", "band", "node"), signed, labels))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     rows = signed.select("doc_id", "content").join(copies, "content").select("doc_id", "node")
     rows = rows.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
     rows = checkpointed(rows)
-    classes = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # Written apart, so that the join deals both sides anew and can split a hot class.
+    classes = checkpointed(rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return rows.join(classes, "label").select("doc_id", "class_id", "class_size")
