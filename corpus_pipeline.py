@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, lower_ascii, read, written
+from logloom.llm.common import compacted, lower_ascii, read, written
 from logloom.llm.exact_dedup import exact_dedup
 from logloom.llm.near_dedup import near_classes
 from logloom.llm.packing import karmarkar_karp
@@ -30,7 +30,7 @@ BROADCAST_ROWS = 1_000_000
 
 def _without(docs: DataFrame, gone: DataFrame, condition) -> DataFrame:
     """docs that no row of gone matches; condition takes both and names their join."""
-    gone = checkpointed(gone)
+    gone = compacted(gone)
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     return docs.join(gone, condition(docs, gone), "left_anti")
