@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.ranking import running
 from logloom.functions.time import window_floor
 from logloom.operators.parse import ERROR_SEVERITIES, SEVERITIES
 
@@ -71,9 +72,9 @@ def delay_percentiles(delays: DataFrame, column: str) -> DataFrame:
     Values are counted first, so equal delays are one row of the ranking.
     """
     counted = delays.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    from logloom.functions.ranking import running  # a ranking of distinct values
-
-    ranked = running(counted, F.floor(F.log2(F.greatest(F.abs(F.col("v")), F.lit(1)).cast("double"))) * F.signum(F.col("v").cast("double")), [F.col("v")], {"upto": F.col("n")})
+    # Buckets are powers of two, negative values before positive ones.
+    size = F.floor(F.log2(F.greatest(F.abs(F.col("v")), F.lit(1)).cast("double"))) + 1
+    ranked = running(counted, size * F.signum(F.col("v").cast("double")), [F.col("v")], {"upto": F.col("n")})
     total = counted.agg(F.sum("n").alias("total"))
     placed = ranked.crossJoin(F.broadcast(total))  # one row
     at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("v")))

@@ -356,16 +356,12 @@ def stream_native_windows(spark, sf_dir):
 
 
 def _exact(spark, sf_dir) -> DataFrame:
-    """One batch of all records and one record per partition that drains it."""
+    """One batch of all records, with a record per partition that drains it."""
     folder = _topic(spark, sf_dir)
-    events = replay.parsed_events(replay.topic_stream(spark, f"{folder}/topic"))
-    partitions = 6
-    # The drain record of a partition comes with the records of its first window seen.
-    events = events.withColumn("drain", F.lit(False))
-    drains = events.select(*[c for c in events.columns if c != "drain"], F.lit(True).alias("drain"))
+    drains = replay.drain_stream(spark, f"{folder}/drains", exact.PARTITIONS)
+    events = replay.parsed_events(replay.topic_stream(spark, f"{folder}/topic")).unionByName(drains, allowMissingColumns=True)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.PROVIDER)
-    stream = exact.exact_stream(events.unionByName(drains), HOUR, partitions=partitions)
-    sink.run_available(stream, folder)
+    sink.run_available(exact.exact_stream(events, HOUR), folder)
     return spark.read.schema(exact.OUT).parquet(f"{folder}/out")
 
 

@@ -21,6 +21,8 @@ from logloom.operators.aggregate import error_rate
 from logloom.operators.parse import SEVERITIES
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Partitions of a topic unless its source names them.
+PARTITIONS = 6
 COUNTS = tuple(f"{s.lower()}_count" for s in SEVERITIES)
 OUT = (
     "kind string, partition int, window_start bigint, event_count bigint, distinct_nodes bigint, distinct_templates bigint, "
@@ -44,12 +46,13 @@ class WindowProcessor(StatefulProcessor):
         # One entry per distinct value, so a window's state grows by keys, not by rewritten sets.
         self.seen = handle.getMapState("seen", "window_start bigint, kind string, value string", "one boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         latest, closed = self.clock.get() if self.clock.exists() else (-1, 0)
         out, drain = [], False
         for batch in rows:
-            drain = drain or bool((batch["drain"]).any())
-            events = batch[~batch["drain"]]
+            ends = batch["drain"].astype(bool)
+            drain = drain or bool(ends.any())
+            events = batch[~ends]
             if not len(events):
                 continue
             latest = max(latest, int(events["epoch"].max()))
@@ -69,10 +72,10 @@ class WindowProcessor(StatefulProcessor):
         if self.idle_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + self.idle_ms)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield self._frame(key, out)
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         latest, closed = self.clock.get() if self.clock.exists() else (-1, 0)
         due = sorted(k[0] for k in self.open.keys())
         if due:
@@ -112,12 +115,12 @@ class WindowProcessor(StatefulProcessor):
         return frame.astype({n: "Int64" for n in _NAMES if n not in ("kind", "partition")} | {"partition": "Int32"})
 
 
-def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds: int = 0, partitions: int = 6, idle_ms: int | None = None) -> DataFrame:
+def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds: int = 0, partitions: int = PARTITIONS, idle_ms: int | None = None) -> DataFrame:
     """Rows of kind 'window' and 'late' out of a stream of events.
 
-    events may have a boolean column drain; a true one closes its partition's
-    windows (its epoch names the partition through `partition`, if given).
-    A window's events share a partition, as the topic's key makes them.
+    A window's events share a partition, as the topic's key makes them. events
+    may have the columns partition and drain; a record with a true drain closes
+    its partition's windows and carries nothing else.
     """
     if lateness_seconds < 0:
         raise ValueError(f"allowed_lateness must not be negative, got {lateness_seconds}")

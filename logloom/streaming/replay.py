@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,26 @@ def produce(lines: DataFrame, topic: str, window_seconds: int = 60, files: int |
     out.write.mode("append").parquet(topic)
 
 
+def paced(lines: DataFrame, topic: str, speed: float = 0.0, window_seconds: int = 60, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Append the log to a topic slice by slice at `speed` times event time; returns the slices.
+
+    Speed 0 appends everything at once. A slice is one window's time.
+    """
+    if speed < 0:
+        raise ValueError(f"speed must not be negative, got {speed}")
+    if speed == 0:
+        produce(lines, topic, window_seconds)
+        return 1
+    kept = records(lines, window_seconds).persist()
+    starts = sorted(int(r["key"]) for r in kept.select("key").distinct().collect())  # one per window of the replay
+    for i, start in enumerate(starts):
+        if i:
+            sleep((start - starts[i - 1]) / speed)
+        kept.filter(F.col("key") == str(start)).withColumn("produced_at", F.current_timestamp()).write.mode("append").parquet(topic)
+    kept.unpersist()
+    return len(starts)
+
+
 def produce_kafka(lines: DataFrame, servers: str, topic: str, window_seconds: int = 60) -> None:
     """The same into Kafka; needs Spark's Kafka connector on the class path."""
     records(lines, window_seconds).select("key", "value").write.format("kafka").options(**KAFKA).option("kafka.bootstrap.servers", servers).option("topic", topic).save()
@@ -39,6 +62,12 @@ def topic_stream(spark: SparkSession, topic: str, files_per_trigger: int | None
     return reader.parquet(topic)
 
 
+def drain_stream(spark: SparkSession, folder: str, partitions: int) -> DataFrame:
+    """One record per partition that ends a bounded replay: partition, drain."""
+    spark.range(partitions).select(F.col("id").cast("int").alias("partition"), F.lit(True).alias("drain")).coalesce(1).write.parquet(folder)
+    return spark.readStream.schema("partition int, drain boolean").parquet(folder)
+
+
 def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 5000) -> DataFrame:
     """Records of a Kafka topic from its start; offsets live in the query's checkpoint."""
     raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_trigger).load()

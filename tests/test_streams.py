@@ -1,7 +1,9 @@
 """Lateness accounting, parity with batch, and restarts."""
 
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from logloom.operators import aggregate
@@ -67,6 +69,29 @@ def test_lateness_rescues(spark, tmp_path):
     assert late(rows) == {}
 
 
+def test_drain_record_closes_what_is_open(spark, tmp_path):
+    replay.produce(lines(spark, [600, 700]), str(tmp_path / "topic"))
+    drains = replay.drain_stream(spark, str(tmp_path / "drains"), exact.PARTITIONS)
+    events = replay.parsed_events(replay.topic_stream(spark, str(tmp_path / "topic"))).unionByName(drains, allowMissingColumns=True)
+    sink.run_available(exact.exact_stream(events, 60), str(tmp_path), timeout=120)
+    assert closed(spark.read.schema(exact.OUT).parquet(str(tmp_path / "out"))) == [(600, 1), (660, 1)]
+
+
+def test_idle_time_closes_what_is_open(spark, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    replay.produce(lines(spark, [600, 601]), topic)
+    stream = exact.exact_stream(replay.parsed_events(replay.topic_stream(spark, topic)), 60, idle_ms=1000)
+    query = stream.writeStream.foreachBatch(sink.upsert(out)).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            if query.exception() is None and os.path.isdir(out) and closed(spark.read.schema(exact.OUT).parquet(out)):
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert closed(spark.read.schema(exact.OUT).parquet(out)) == [(600, 2)]
+
+
 def test_resumes_from_the_checkpoint(spark, tmp_path):
     rows = replayed(spark, tmp_path, [[600, 601], [602, 650], [665], [725]], runs=4)
     assert closed(rows) == [(600, 4), (660, 1)]
@@ -90,6 +115,15 @@ def test_native_update_equals_batch_and_repeated_delivery_changes_nothing(spark,
     assert sorted(map(tuple, sink.latest(spark, str(tmp_path / "out"), "window_start").select(shown).collect())) == want
 
 
+def test_paced_replay(spark, tmp_path):
+    waits = []
+    assert replay.paced(lines(spark, [0, 5, 60, 200]), str(tmp_path / "topic"), 10, sleep=waits.append) == 3
+    assert waits == [6.0, 12.0]
+    assert spark.read.parquet(str(tmp_path / "topic")).count() == 4
+    with pytest.raises(ValueError):
+        replay.paced(lines(spark, [0]), str(tmp_path / "topic"), -1)
+
+
 def test_rejects_never_reach_the_topic(spark):
     mixed = lines(spark, [0, 1]).unionByName(spark.createDataFrame([("f", 9, "broken")], "source_file string, line_no bigint, value string"))
     assert replay.records(mixed).count() == 2
