@@ -3,17 +3,23 @@
 A model for each language is trained on all trusted text. Tasks reduce their
 texts to trigram counts; continuation counts, discounts and back-off weights
 are joins and aggregates of the count tables, sharded by language and context.
-A document's perplexity per byte is held against a quantile of the trusted
-documents of its language.
+A document's perplexity per byte is held against a limit of its language.
+
+The limit comes from trusted documents that the scoring model has not seen: the
+texts are dealt to FOLDS folds by their hash (so equal texts share one), and each
+is scored by the model of the counts less its own fold's. A quantile q of n such
+scores is supported where n * (1 - q) is at least 1, so that no single odd text
+is the limit. A language without a supported quantile, and so one with few or no
+trusted texts, has a null threshold and keeps all its documents.
 
 Bytes as units bound a model by 256**3 entries whatever the corpus, so the
 finished tables can be sent to the tasks; languages are scored in groups of at
 most GROUP_ENTRIES entries (or one language).
 
 Null text is empty; texts without bytes have null perplexity and are kept.
-A null language is the language ''. Languages without trusted text use a model
-of all trusted text, and its quantile; without any trusted text all rows are
-kept with null perplexity. Trusted is an id whose labels all say quality 1 and
+A null language is the language ''. Languages without trusted text get their
+perplexity from a model of all trusted text; without any trusted text all rows
+are kept with null perplexity. Trusted is an id whose labels all say quality 1 and
 none toxic 1. Repeated rows are counted and scored each; extra columns are
 kept (perplexity, threshold and kept replace columns of these names).
 """
@@ -30,7 +36,9 @@ from pyspark.sql import types as T
 
 from logloom.llm.common import compacted
 
-QUANTILE = 0.999
+QUANTILES = (0.95,)  # of held-out scores
+FOLDS = 5
+HELD_SCORERS = 8  # dense tables that a task keeps at once
 GROUP_ENTRIES = 4_000_000
 BROADCAST_IDS = 4_000_000  # at most 32 MB of ids; more are joined by a shuffle
 CHUNK = 1 << 22  # trigrams sorted at a time
@@ -40,20 +48,26 @@ POOLED = "\0"
 EDGE = b"\n\n"
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """_lang, _text of the trusted documents."""
+def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """_lang, _text, _good, _fold of the trusted documents and of those of quality 0."""
     ids = (
         labels.filter(F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.min("quality").alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t"))
-        .filter("_q = 1 AND _t = 0")
-        .select("doc_id")
+        .filter("_q = 0 OR _q = 1 AND _t = 0")
+        .selectExpr("doc_id", "_q = 1 AS _good")
     )
     ids = compacted(ids)
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("_lang"), F.coalesce("text", F.lit("")).alias("_text"))
-    return texts.join(ids, "doc_id", "left_semi").select("_lang", "_text")
+    fold = F.pmod(F.xxhash64("_text"), F.lit(FOLDS)).cast("string").alias("_fold")
+    return texts.join(ids, "doc_id").select("_lang", "_text", "_good", fold)
+
+
+def _fold_name(lang, fold):
+    """The language name of the model that lacks a fold."""
+    return F.concat(lang, F.lit(POOLED), fold)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -89,10 +103,15 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trigram_counts(trusted: DataFrame) -> DataFrame:
-    """lang, u, v, w, n; the pooled language included."""
-    own = compacted(trusted.mapInArrow(_count, "lang string, code int, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    """lang, u, v, w, n; the pooled language and those without a fold included."""
+    parts = trusted.select(_fold_name(F.col("_lang"), F.col("_fold")), "_text").mapInArrow(_count, "lang string, code int, n bigint")
+    parts = compacted(parts.groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    own = compacted(parts.groupBy(F.substring_index("lang", POOLED, 1).alias("lang"), "code").agg(F.sum("n").alias("n")))
     pooled = own.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "code", "n")
-    return compacted(own.unionByName(pooled)).select(
+    fold = F.explode(F.array(*(F.lit(str(k)) for k in range(FOLDS))))
+    less = own.select("lang", "code", "n", fold.alias("fold")).select(_fold_name(F.col("lang"), F.col("fold")).alias("lang"), "code", "n")
+    less = less.join(parts.withColumnRenamed("n", "_n"), ["lang", "code"], "left").selectExpr("lang", "code", "n - coalesce(_n, 0) AS n").filter("n > 0")
+    return compacted(own.unionByName(pooled).unionByName(less)).select(
         "lang", F.shiftright("code", 16).alias("u"), F.shiftright("code", 8).bitwiseAND(255).alias("v"), F.col("code").bitwiseAND(255).alias("w"), "n"
     )
 
@@ -176,7 +195,8 @@ def _groups(model: DataFrame) -> list[list[str]]:
     """Languages in groups whose models may be sent together, the pooled one apart."""
     out: list[list[str]] = []
     held = GROUP_ENTRIES
-    for row in model.filter(F.col("lang") != POOLED).groupBy("lang").count().orderBy("lang").toLocalIterator():
+    base = F.substring_index("lang", POOLED, 1).alias("lang")
+    for row in model.filter(F.col("lang") != POOLED).groupBy(base).count().orderBy("lang").toLocalIterator():
         if held + row["count"] > GROUP_ENTRIES:
             out.append([])
             held = 0
@@ -186,57 +206,79 @@ def _groups(model: DataFrame) -> list[list[str]]:
 
 
 def _tables(model: DataFrame, langs: list[str]) -> dict[str, tuple[np.ndarray, ...]]:
+    """The models of these names; one without entries is left out."""
     table = model.filter(F.col("lang").isin(langs)).toArrow()
     lang = np.array(table.column("lang").to_pylist())
     columns = [table.column(c).to_numpy() for c in ("kind", "context", "w", "value")]
-    return {x: tuple(c[lang == x] for c in columns) for x in langs}
+    return {x: tuple(c[lang == x] for c in columns) for x in langs if (lang == x).any()}
 
 
-def _scored(docs: DataFrame, tables: dict, pooled: bool, out: str) -> DataFrame:
-    """docs (with _lang and _text) and their bits per byte; pooled: whatever the language."""
+def _scored(docs: DataFrame, tables: dict) -> DataFrame:
+    """docs (with _key, the name of a model, and _text) and their bits per byte, null without the model."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(tables)
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField("bits", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers: dict[str, _Scorer] = {}
         for batch in batches:
-            bits = []
-            for lang, text in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist(), strict=True):
-                key = POOLED if pooled else lang
+            keys, texts = batch.column("_key").to_pylist(), batch.column("_text").to_pylist()
+            bits: list[float | None] = [None] * len(keys)
+            for i in sorted(range(len(keys)), key=keys.__getitem__):
+                key = keys[i]
+                if key not in sent.value:
+                    continue
                 if key not in scorers:
+                    if len(scorers) >= HELD_SCORERS:
+                        scorers.pop(next(iter(scorers)))
                     scorers[key] = _Scorer(*sent.value[key])
-                bits.append(scorers[key].bits(text))
+                bits[i] = scorers[key].bits(texts[i])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def quantiles(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """lang, threshold: the least bin end that `quantile` of the values don't exceed.
+def _cuts(scored: DataFrame, wanted: tuple[float, ...]) -> DataFrame:
+    """lang, q, threshold, n, good, bad: per quantile the least bin end that `q` of the
+    good values don't exceed, their number, and the shares of good and bad that stay.
 
     Values are counted in bins of 1/BINS bit, so no task holds a language's values.
     """
-    bins = scored.filter(F.col("bits").isNotNull()).groupBy("_lang", F.ceil(F.col("bits") * BINS).alias("bin")).count()
-    total = bins.groupBy("_lang").agg(F.sum("count").alias("all"))
+    bins = scored.filter(F.col("bits").isNotNull()).groupBy("_lang", F.ceil(F.col("bits") * BINS).alias("bin"))
+    bins = bins.agg(F.count_if("_good").alias("g"), F.count_if(~F.col("_good")).alias("b"))
+    total = bins.groupBy("_lang").agg(F.sum("g").alias("n"), F.sum("b").alias("bad_n")).filter("n > 0")
     # At most 40 bits a byte, so a language has 40 * BINS bins at most.
-    running = bins.selectExpr("_lang", "bin", "sum(count) OVER (PARTITION BY _lang ORDER BY bin) AS upto")
-    return running.join(total, "_lang").filter(F.col("upto") >= quantile * F.col("all")).groupBy("_lang").agg((F.min("bin") / BINS).alias("threshold"))
+    upto = "sum({0}) OVER (PARTITION BY _lang ORDER BY bin) AS {0}"
+    running = bins.selectExpr("_lang", "bin", upto.format("g"), upto.format("b")).join(total, "_lang")
+    cuts = running.withColumn("q", F.explode(F.array(*(F.lit(q) for q in wanted)))).filter(F.col("g") >= F.col("q") * F.col("n"))
+    first = cuts.groupBy("_lang", "q").agg(F.min(F.struct("bin", "n", "g", "b", "bad_n")).alias("x")).select("_lang", "q", "x.*")
+    return first.selectExpr("_lang", "q", f"bin / {BINS} AS threshold", "n", "g / n AS good", "coalesce(try_divide(b, bad_n), 0) AS bad")
+
+
+def quantiles(scored: DataFrame, quantile: float) -> DataFrame:
+    """lang, threshold: the least bin end that `quantile` of the values don't exceed."""
+    return _cuts(scored.withColumn("_good", F.lit(True)), (quantile,)).select("_lang", "threshold")
+
+
+def limits(scored: DataFrame, wanted: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """lang, threshold: the largest supported quantile of the good values."""
+    cuts = _cuts(scored, wanted).filter(F.col("n") * (1 - F.col("q")) >= 1)
+    return cuts.groupBy("_lang").agg(F.max_by("threshold", "q").alias("threshold"))
 
 
-def _held_against(texts: DataFrame, trusted: DataFrame, tables: dict, pooled: bool, quantile: float) -> DataFrame:
-    """texts with bits and _limit, the threshold of their language."""
-    limits = {r["_lang"]: r["threshold"] for r in quantiles(_scored(trusted, tables, pooled, "bits"), quantile).collect()}
-    entries = [F.lit(x) for pair in limits.items() for x in pair]
-    limit = F.try_element_at(F.create_map(*entries), F.lit(POOLED) if pooled else F.col("_lang")) if entries else F.lit(None).cast("double")
-    return _scored(texts, tables, pooled, "bits").withColumn("_limit", limit)
+def _held_out_limits(labelled: DataFrame, model: DataFrame, langs: list[str], wanted: tuple[float, ...]) -> dict[str, float]:
+    """Limits in bits by language; trusted texts are scored without their fold."""
+    key = F.when(F.col("_good"), _fold_name(F.col("_lang"), F.col("_fold"))).otherwise(F.col("_lang"))
+    names = [x for lang in langs for x in (lang, *(f"{lang}{POOLED}{k}" for k in range(FOLDS)))]
+    scored = _scored(labelled.filter(F.col("_lang").isin(langs)).withColumn("_key", key), _tables(model, names))
+    return {r["_lang"]: r["threshold"] for r in limits(scored, wanted).collect()}
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, wanted: tuple[float, ...] = QUANTILES) -> DataFrame:
     """Add perplexity (per byte), threshold (of it) and kept to docs (doc_id, text, lang, ...)."""
     rest = [c for c in docs.columns if c not in ("perplexity", "threshold", "kept")]
-    trusted = trusted_documents(docs, labels)
-    model = train(trusted)
+    labelled = labelled_documents(docs, labels)
+    model = train(labelled.filter("_good"))
     texts = docs.select(*rest, F.coalesce("lang", F.lit("")).alias("_lang"), F.coalesce("text", F.lit("")).alias("_text"))
     groups = _groups(model)
     if not groups:
@@ -245,11 +287,13 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
     known = [x for group in groups for x in group]
     parts = []
     for group in groups:
-        of = F.col("_lang").isin(group)
-        parts.append(_held_against(texts.filter(of), trusted.filter(of), _tables(model, group), False, quantile))
-    others = texts.filter(~F.col("_lang").isin(known))
+        entries = [F.lit(x) for pair in _held_out_limits(labelled, model, group, wanted).items() for x in pair]
+        limit = F.try_element_at(F.create_map(*entries), F.col("_lang")) if entries else F.lit(None).cast("double")
+        own = texts.filter(F.col("_lang").isin(group)).withColumn("_key", F.col("_lang"))
+        parts.append(_scored(own, _tables(model, group)).withColumn("_limit", limit))
+    others = texts.filter(~F.col("_lang").isin(known)).withColumn("_key", F.lit(POOLED))
     if not others.isEmpty():
-        parts.append(_held_against(others, trusted.withColumn("_lang", F.lit(POOLED)), _tables(model, [POOLED]), True, quantile))
+        parts.append(_scored(others, _tables(model, [POOLED])).withColumn("_limit", F.lit(None).cast("double")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

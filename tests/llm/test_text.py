@@ -164,6 +164,24 @@ def test_quality_without_trust_or_rows(docs, no_docs, spark):
     assert quality_lm.quality(no_docs, none).count() == 0
 
 
+@pytest.mark.parametrize("trusted", [0, 3])
+def test_quality_keeps_a_language_with_few_labels(spark, trusted):
+    other = "".join(chr(c) for c in range(0x3B1, 0x3C9))
+    texts = [" ".join(other[(i * 5 + k * k) % 20 :][: 3 + k % 4] for k in range(40)) for i in range(12)]
+    rows = [(i, prose(i, 30), "en", "s", 0) for i in range(30)] + [(100 + i, t, "el", "s", 0) for i, t in enumerate(texts)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in (*range(30), *range(100, 100 + trusted))], "doc_id bigint, quality int, toxic int")
+    out = quality_lm.quality(spark.createDataFrame(rows, SCHEMA), labels).filter("lang = 'el'").collect()
+    assert len(out) == 12 and all(r["kept"] and r["threshold"] is None and r["perplexity"] > 1 for r in out)
+
+
+def test_quality_limit_is_held_out(spark):
+    """Unseen texts of a language stay as often as the quantile says, not only those that were trained on."""
+    rows = [(i, prose(i, 30), "en", "s", 0) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    out = quality_lm.quality(spark.createDataFrame(rows, SCHEMA), labels).collect()
+    assert sum(r["kept"] for r in out if r["doc_id"] >= 40) >= 0.85 * 160
+
+
 def test_quality_quantile_is_the_rank(spark):
     values = [(("a", v / 1000)) for v in range(1, 1001)]
     row = quality_lm.quantiles(spark.createDataFrame(values, "_lang string, bits double"), 0.9).first()
