@@ -182,6 +182,14 @@ def test_quality_limit_is_held_out(spark):
     assert sum(r["kept"] for r in out if r["doc_id"] >= 40) >= 0.85 * 160
 
 
+def test_quality_limit_follows_the_bad_documents(spark):
+    good = [("a", v / 1000, True) for v in range(1000, 2000)] + [("b", v / 1000, True) for v in range(1000, 2000)]
+    bad = [("a", 1.96, False)] * 5 + [("b", 5.0, False)] * 5
+    odd = [("c", 1.0, True)] * 29 + [("c", 30.0, True)] + [("d", 1.0, True)] * 19
+    rows = quality_lm.limits(spark.createDataFrame(good + bad + odd, "_lang string, bits double, _good boolean")).collect()
+    assert {r["_lang"]: r["threshold"] for r in rows} == pytest.approx({"a": 1.949, "b": 1.998, "c": 1.0}, abs=2e-3)
+
+
 def test_quality_quantile_is_the_rank(spark):
     values = [(("a", v / 1000)) for v in range(1, 1001)]
     row = quality_lm.quantiles(spark.createDataFrame(values, "_lang string, bits double"), 0.9).first()
