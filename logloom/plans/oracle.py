@@ -189,9 +189,9 @@ SELECT event_id, message, template, substr(sha1(template), 1, 16) AS template_id
         (sum(is_anomalous::INT) OVER (w ROWS UNBOUNDED PRECEDING))::BIGINT AS tp, sum(is_anomalous::INT) OVER () AS pos FROM parts WHERE part <> 'test'
         WINDOW w AS (ORDER BY event_count DESC, window_start))
         SELECT position, window_start, score, tp, round(2.0::DOUBLE * tp / (position + pos), 6) AS f1 FROM s""",
-    "detector_scores_ranked": f"WITH {_PRED} SELECT detector, variant, {_CONF}, {_RATES} FROM scored ORDER BY scored.f1 DESC, detector",
-    "best_detector": f"WITH {_PRED} SELECT detector, variant, round(f1, 6) AS f1 FROM scored ORDER BY scored.f1 DESC, ordinal LIMIT 1",
-    "health": f"WITH {_PRED} SELECT 'ok' AS status, (SELECT count(*) FROM ev) AS events, (SELECT count(*) FROM win) AS windows, (SELECT count(*) FROM scored) AS detector_scores",
+    "rule_zscore_scores_ranked": f"WITH {_PRED} SELECT detector, variant, {_CONF}, {_RATES} FROM scored ORDER BY scored.f1 DESC, detector",
+    "rule_zscore_best": f"WITH {_PRED} SELECT detector, variant, round(f1, 6) AS f1 FROM scored ORDER BY scored.f1 DESC, ordinal LIMIT 1",
+    "rule_zscore_health": f"WITH {_PRED} SELECT 'ok' AS status, (SELECT count(*) FROM ev) AS events, (SELECT count(*) FROM win) AS windows, (SELECT count(*) FROM scored) AS detector_scores",
     "summary": f"""WITH {_PRED}, ranked AS (SELECT is_anomalous, row_number() OVER (ORDER BY window_start) - 1 AS position FROM win
           WHERE EXISTS (SELECT 1 FROM pred p WHERE p.window_start = win.window_start))
         SELECT count(*) AS windows, count(*) FILTER (WHERE is_anomalous) AS anomalous_windows, min(window_start) AS first_window, max(window_start) AS last_window,
@@ -199,7 +199,7 @@ SELECT event_id, message, template, substr(sha1(template), 1, 16) AS template_id
           (SELECT count(DISTINCT window_start) FROM pred) AS scored_windows, (SELECT min(position) FROM ranked WHERE is_anomalous) AS first_anomalous_index FROM win""",
     "first_anomalous_index": f"""WITH {_PRED}, ranked AS (SELECT is_anomalous, row_number() OVER (ORDER BY window_start) - 1 AS position FROM win
           WHERE EXISTS (SELECT 1 FROM pred p WHERE p.window_start = win.window_start)) SELECT min(position) AS first_anomalous_index FROM ranked WHERE is_anomalous""",
-    "detector_flags": f"WITH {_PRED} SELECT window_start, flags FROM flags",
+    "rule_zscore_flags": f"WITH {_PRED} SELECT window_start, flags FROM flags",
     "windows_page": f"""WITH {_PRED} SELECT w.window_start, event_count, distinct_nodes, distinct_templates, round(error_rate, 6) AS error_rate, alert_count, is_anomalous,
         coalesce(f.flags, '{{}}') AS detector_flags FROM win w LEFT JOIN flags f ON w.window_start = f.window_start WHERE f.flags IS NOT NULL ORDER BY w.window_start LIMIT 100 OFFSET 20""",
     "window_top_templates": f"""WITH {_windows()}, fullest AS (SELECT window_start FROM tc GROUP BY 1 ORDER BY sum(event_count) DESC, window_start LIMIT 1),

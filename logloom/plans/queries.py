@@ -16,7 +16,8 @@ from logloom.sources.log_text import event_lines
 from logloom.streaming import exact, native, replay, scoring, sink
 
 HOUR = 3600
-TEMPLATES = 3
+TEMPLATES = 20
+SQL_TEMPLATES = 3  # of the queries that have SQL
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +28,11 @@ def _windows(spark: SparkSession, sf_dir: str, seconds: int = HOUR) -> DataFrame
     return aggregate.window_features(_events(spark, sf_dir), seconds)
 
 
-def _matrix(spark: SparkSession, sf_dir: str) -> Matrix:
+def _matrix(spark: SparkSession, sf_dir: str, templates: int = SQL_TEMPLATES) -> Matrix:
     events = _events(spark, sf_dir)
     # Small against the events, and read by every step of a fit.
     windows, counts = aggregate.window_features(events, HOUR).persist(), aggregate.template_counts(events, HOUR).persist()
-    matrix = build_matrix(windows, counts, 0.7, TEMPLATES)
+    matrix = build_matrix(windows, counts, 0.7, templates)
     return Matrix(matrix.rows.persist(), matrix.features)
 
 
@@ -41,6 +42,11 @@ def _base_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.rule_predictions(matrix).unionByName(evaluate.zscore_predictions(matrix))
 
 
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven detectors over the default templates and rounds, fitted once."""
+    return evaluate.evaluate(_matrix(spark, sf_dir, TEMPLATES)).persist()
+
+
 # Sources and parsing
 
 
@@ -185,7 +191,7 @@ def fit_validation_parts(spark, sf_dir):
 def top_templates_train(spark, sf_dir):
     events = _events(spark, sf_dir)
     before = cutoff(split_parts(aggregate.window_features(events, HOUR), 0.7))
-    return top_templates(aggregate.template_counts(events, HOUR), before, TEMPLATES)
+    return top_templates(aggregate.template_counts(events, HOUR), before, SQL_TEMPLATES)
 
 
 def _by_rank(matrix: Matrix) -> DataFrame:
@@ -194,6 +200,11 @@ def _by_rank(matrix: Matrix) -> DataFrame:
     return matrix.rows.withColumnsRenamed({n: f"tpl_{i}" for i, n in enumerate(names, 1)})
 
 
+def full_feature_matrix(spark, sf_dir):
+    """The matrix of the detectors: the default number of templates."""
+    return _by_rank(_matrix(spark, sf_dir, TEMPLATES))
+
+
 def feature_matrix(spark, sf_dir):
     return _by_rank(_matrix(spark, sf_dir))
 
@@ -236,13 +247,29 @@ def threshold_sweep(spark, sf_dir):
     return swept.select("position", "window_start", "score", F.col("tp").cast("long").alias("tp"), F.round("f1", 6).alias("f1"))
 
 
-def detector_scores_ranked(spark, sf_dir):
-    scored = evaluate.scores(_base_predictions(spark, sf_dir)).drop("ordinal")
+def _ranked(predictions: DataFrame) -> DataFrame:
+    scored = evaluate.scores(predictions).drop("ordinal")
     return api.detectors(scored.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")}))
 
 
+def _best(predictions: DataFrame) -> DataFrame:
+    return evaluate.best(evaluate.scores(predictions)).select("detector", "variant", F.round("f1", 6).alias("f1"))
+
+
+def detector_scores_ranked(spark, sf_dir):
+    return _ranked(_predictions(spark, sf_dir))
+
+
+def rule_zscore_scores_ranked(spark, sf_dir):
+    return _ranked(_base_predictions(spark, sf_dir))
+
+
 def best_detector(spark, sf_dir):
-    return evaluate.best(evaluate.scores(_base_predictions(spark, sf_dir))).select("detector", "variant", F.round("f1", 6).alias("f1"))
+    return _best(_predictions(spark, sf_dir))
+
+
+def rule_zscore_best(spark, sf_dir):
+    return _best(_base_predictions(spark, sf_dir))
 
 
 def _one_eval(predictions: DataFrame) -> DataFrame:
@@ -252,30 +279,39 @@ def _one_eval(predictions: DataFrame) -> DataFrame:
 def logistic_eval(spark, sf_dir):
     from logloom.operators.supervised import logistic_regression
 
-    return metrics.confusion(logistic_regression(_matrix(spark, sf_dir).severity_free()).filter("part = 'test'"), "threshold")
+    return metrics.confusion(logistic_regression(_matrix(spark, sf_dir, TEMPLATES).severity_free()).filter("part = 'test'"), "threshold")
 
 
 def gbt_eval(spark, sf_dir):
     from logloom.operators.supervised import gradient_boosting
 
-    return metrics.confusion(gradient_boosting(_matrix(spark, sf_dir).severity_free(), 20).filter("part = 'test'"), "threshold")
+    return metrics.confusion(gradient_boosting(_matrix(spark, sf_dir, TEMPLATES).severity_free()).filter("part = 'test'"), "threshold")
 
 
 def iforest_eval(spark, sf_dir):
     from logloom.operators.iforest import isolation_forest
 
-    return metrics.confusion(isolation_forest(_matrix(spark, sf_dir)).filter("part = 'test'"), "threshold")
+    return metrics.confusion(isolation_forest(_matrix(spark, sf_dir, TEMPLATES)).filter("part = 'test'"), "threshold")
 
 
 # Read queries
 
 
-def health(spark, sf_dir):
+def _health(spark, sf_dir, predictions: DataFrame) -> DataFrame:
     events = _events(spark, sf_dir)
-    return api.health(events, aggregate.window_features(events, HOUR), evaluate.scores(_base_predictions(spark, sf_dir)))
+    return api.health(events, aggregate.window_features(events, HOUR), evaluate.scores(predictions))
+
+
+def health(spark, sf_dir):
+    return _health(spark, sf_dir, _predictions(spark, sf_dir))
+
+
+def rule_zscore_health(spark, sf_dir):
+    return _health(spark, sf_dir, _base_predictions(spark, sf_dir))
 
 
 def summary(spark, sf_dir):
+    """Counts and spans; the windows that any detector scores are those that each scores."""
     return api.summary(_windows(spark, sf_dir), _base_predictions(spark, sf_dir))
 
 
@@ -283,16 +319,33 @@ def first_anomalous_index(spark, sf_dir):
     return api.first_anomalous(_windows(spark, sf_dir), _base_predictions(spark, sf_dir))
 
 
-def detector_flags(spark, sf_dir):
+def _flags(predictions: DataFrame) -> DataFrame:
     """Flags of each scored window as JSON in the order of names."""
-    return api.detector_flags(_base_predictions(spark, sf_dir)).select("window_start", F.to_json("flags").alias("flags"))
+    return api.detector_flags(predictions).select("window_start", F.to_json("flags").alias("flags"))
 
 
-def windows_page(spark, sf_dir):
-    page = api.windows_page(_windows(spark, sf_dir), _base_predictions(spark, sf_dir), limit=100, offset=20, scored_only=True)
+def _page(spark, sf_dir, predictions: DataFrame) -> DataFrame:
+    page = api.windows_page(_windows(spark, sf_dir), predictions, limit=100, offset=20, scored_only=True)
     return page.withColumns({"detector_flags": F.to_json("detector_flags"), "error_rate": F.round("error_rate", 6)})
 
 
+def detector_flags(spark, sf_dir):
+    return _flags(_predictions(spark, sf_dir))
+
+
+def rule_zscore_flags(spark, sf_dir):
+    return _flags(_base_predictions(spark, sf_dir))
+
+
+def all_detectors_windows_page(spark, sf_dir):
+    return _page(spark, sf_dir, _predictions(spark, sf_dir))
+
+
+def windows_page(spark, sf_dir):
+    """The page with the flags of rule and z-score, as its SQL has it."""
+    return _page(spark, sf_dir, _base_predictions(spark, sf_dir))
+
+
 def window_top_templates(spark, sf_dir):
     """The most frequent templates of the fullest window."""
     events = _events(spark, sf_dir)

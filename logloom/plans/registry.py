@@ -19,7 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q.window_template_counts, q.last_line_per_window, q.daily_histogram, q.windows_at_least, q.duplicate_keys,
         q.lag_percentiles, q.fit_validation_parts, q.top_templates_train, q.feature_matrix, q.severity_free_matrix,
         q.severity_rule_scores, q.zscore_stats, q.zscore_scores, q.zscore_threshold, q.zscore_eval, q.threshold_sweep,
-        q.detector_scores_ranked, q.best_detector, q.logistic_eval, q.gbt_eval, q.iforest_eval, q.health, q.summary,
+        q.detector_scores_ranked, q.best_detector, q.logistic_eval, q.gbt_eval, q.iforest_eval, q.health,
+        q.rule_zscore_scores_ranked, q.rule_zscore_best, q.rule_zscore_health, q.rule_zscore_flags, q.full_feature_matrix, q.all_detectors_windows_page, q.summary,
         q.first_anomalous_index, q.detector_flags, q.windows_page, q.window_top_templates, q.idempotent_append,
         q.loaded_events, q.replaced_windows, q.stream_native_windows, q.stream_exact_windows, q.stream_batch_parity,
         q.late_side_output, q.member_totals, q.scored_documents, q.flagged_top10,

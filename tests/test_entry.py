@@ -1,5 +1,6 @@
 """The driver contract, and that the library stands without its optional part."""
 
+import json
 import os
 import subprocess
 import sys
@@ -53,3 +54,19 @@ def test_queries_equal_their_sql(spark, name):
     columns = [c[0] for c in cursor.description]
     want = sorted((repr(dict(sorted(zip(columns, r, strict=True)))) for r in cursor.fetchall()))
     assert sorted(repr(dict(sorted(r.asDict().items()))) for r in frame.collect()) == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the driver's tables")
+def test_read_queries_have_all_seven_detectors(spark, monkeypatch):
+    from logloom.plans import queries
+
+    predictions = queries._predictions(spark, SMALL)
+    monkeypatch.setattr(queries, "_predictions", lambda *_: predictions)
+    ranked = registry.QUERIES["detector_scores_ranked"](spark, SMALL).collect()
+    assert len({(r["detector"], r["variant"]) for r in ranked}) == 7
+    assert registry.QUERIES["best_detector"](spark, SMALL).first()["f1"] == max(r["f1"] for r in ranked)
+    assert registry.QUERIES["health"](spark, SMALL).first()["detector_scores"] == 7
+    for name, column in (("detector_flags", "flags"), ("all_detectors_windows_page", "detector_flags")):
+        assert {len(json.loads(r[column])) for r in registry.QUERIES[name](spark, SMALL).collect()} == {7}
+    matrix = registry.QUERIES["full_feature_matrix"](spark, SMALL)
+    assert sum(c.startswith("tpl_") for c in matrix.columns) == spark.read.parquet(f"{SMALL}/events.parquet").select("event_type").distinct().count()
