@@ -33,7 +33,7 @@ SAMPLE = 8192  # rows that codebooks are fitted on: those of the smallest id has
 ROUNDS = 8  # of k-means
 DATA_BLOCK = 8192
 QUERY_BLOCK = 512
-FIRST = 64  # candidates that are scored exactly first
+FIRST = 64  # candidates that are scored exactly first, or k where that is more
 SIGMAS = 2.5  # of a code's error that count as possible
 
 
@@ -127,14 +127,15 @@ def search_block(query_ids, queries, ids, vectors, codes, errors, books, k: int)
     approx = np.zeros((len(queries), len(ids)), np.float32)
     for level in range(len(books)):
         approx += np.take(tables[:, level], codes[:, level], axis=1)
+    least = max(FIRST, k)  # so that the exact score of a k-th is always known
     spread = errors * (SIGMAS / np.sqrt(vectors.shape[1]))
     for i, query in enumerate(queries):
         score, own = approx[i], ids == query_ids[i]
         score[own] = -np.inf
         first = np.arange(len(ids))
-        if len(ids) > FIRST + 1:
-            cut = np.partition(score, len(ids) - FIRST)[len(ids) - FIRST]
-            first = np.flatnonzero(score >= cut)[: 2 * FIRST]
+        if len(ids) > least + 1:
+            cut = np.partition(score, len(ids) - least)[len(ids) - least]
+            first = np.flatnonzero(score >= cut)[: 2 * least]
         first = first[~own[first]]
         exact = exact_scores(vectors[first], query)
         if len(first) >= k:

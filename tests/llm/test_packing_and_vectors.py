@@ -162,6 +162,17 @@ def test_nearest_neighbours(spark, monkeypatch):
     assert [r[1] for r in sorted(got[2020])] == [i for i in range(2000, 2300) if i != 2020][:20]
 
 
+def test_more_neighbours_than_first_candidates():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8))
+    books = additive_ann.fit_codebooks(x, words=16)
+    codes, errors = additive_ann.encode(x, books)
+    ids = np.arange(300)
+    for of, found, scores in additive_ann.search_block(ids[:5], x[:5], ids, x, codes, errors, books, 100):
+        assert len(set(found) - {of}) == len(found) == 100
+        assert scores[0] == max(additive_ann.exact_scores(np.delete(x, of, 0), x[of]))
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
     assert [(r["rank"], r["vec_id"]) for r in additive_ann.search(few, k=20).orderBy("rank").collect()] == [(1, 1), (2, 2)]
