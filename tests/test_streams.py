@@ -128,3 +128,14 @@ def test_rejects_never_reach_the_topic(spark):
     mixed = lines(spark, [0, 1]).unionByName(spark.createDataFrame([("f", 9, "broken")], "source_file string, line_no bigint, value string"))
     assert replay.records(mixed).count() == 2
     assert tuple(replay.event_time_span(mixed).first()) == (BASE, BASE + 1, 1)
+
+
+def test_late_side_output_uses_all_tasks(spark, monkeypatch):
+    from logloom.plans import queries
+
+    asked = []
+    produce = replay.produce
+    monkeypatch.setattr(queries, "event_lines", lambda *_: lines(spark, [i * 3600 for i in range(400)]).repartition(3))
+    monkeypatch.setattr(replay, "produce", lambda df, *a: (asked.append(df.rdd.getNumPartitions()), produce(df, *a)))
+    out = {r["window_start"]: r["late_events"] for r in queries.late_side_output(spark, "").collect()}
+    assert sum(out.values()) == 200 and len(asked) == 2 and min(asked) > 1
