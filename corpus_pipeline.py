@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.common import compacted, lower_ascii, read, written
 from logloom.llm.exact_dedup import exact_dedup
-from logloom.llm.near_dedup import near_classes
+from logloom.llm.near_dedup import content, near_classes, words_of
 from logloom.llm.packing import karmarkar_karp
 from logloom.llm.pii import pii
 from logloom.llm.quality_lm import quality
@@ -28,12 +28,10 @@ from logloom.llm.quality_lm import quality
 BROADCAST_ROWS = 1_000_000
 
 
-def _without(docs: DataFrame, gone: DataFrame, condition) -> DataFrame:
-    """docs that no row of gone matches; condition takes both and names their join."""
-    gone = compacted(gone)
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, condition(docs, gone), "left_anti")
+def _sent(rows: DataFrame) -> DataFrame:
+    """A list of rows of documents, to be sent to the tasks where it is short."""
+    rows = compacted(rows)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,17 +40,24 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last of equal texts."""
-    gone = exact_dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"))
+    """The last of equal texts; of equal texts with one id a single row."""
+    marked = exact_dedup(docs).filter("group_size > 1").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept")
     own = docs.withColumn("_own", F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)))
     same = lambda d, g: d["doc_id"].eqNullSafe(g["_id"]) & (d["_own"] == g["_sha"])
-    return _without(own, gone, same).select(docs.columns)
+    gone = _sent(marked.filter(~F.col("kept")).select("_id", "_sha"))
+    out = own.join(gone, same(own, gone), "left_anti")
+    again = _sent(marked.filter("kept").groupBy("_id", "_sha").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_id", "_sha"))
+    if again.isEmpty():
+        return out.select(docs.columns)
+    once = out.join(again, same(out, again), "left_semi").groupBy("doc_id", "_own").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return out.join(again, same(out, again), "left_anti").select(docs.columns).unionByName(once)
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each near-duplicate class."""
-    gone = near_classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias("_id"))
-    return _without(docs, gone, lambda d, g: d["doc_id"] == g["_id"]).select(docs.columns)
+    """The smallest id of each near-duplicate class; rows that share an id are told apart by their words."""
+    gone = _sent(near_classes(docs, with_content=True).filter("doc_id <> class_id").select(F.col("doc_id").alias("_id"), F.col("content").alias("_sha")).distinct())
+    own = docs.withColumn("_own", content(words_of(F.coalesce("text", F.lit("")))))
+    return own.join(gone, (own["doc_id"] == gone["_id"]) & (own["_own"] == gone["_sha"]), "left_anti").select(docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

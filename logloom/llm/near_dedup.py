@@ -147,11 +147,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def content(words):
+    """Digest of a column of words."""
+    return F.unhex(F.md5(F.array_join(words, " ")))
+
+
 def sign(docs: DataFrame) -> DataFrame:
     """row, doc_id, content (digest of the words), words (32-bit hashes), bands, signature."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(text).alias("w"))
-    hashed = rows.select("row", "doc_id", F.unhex(F.md5(F.array_join("w", " "))).alias("content"), F.transform("w", lambda x: F.xxhash64(x).bitwiseAND(0xFFFFFFFF)).alias("words"))
+    hashed = rows.select("row", "doc_id", content(F.col("w")).alias("content"), F.transform("w", lambda x: F.xxhash64(x).bitwiseAND(0xFFFFFFFF)).alias("words"))
     return hashed.mapInArrow(_sign, "row bigint, doc_id bigint, content binary, words binary, bands array<bigint>, signature binary")
 
 
@@ -271,8 +276,8 @@ def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame) -
     return minors.join(blocks, "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (least id of the class) and class_size of each row."""
+def near_classes(docs: DataFrame, with_content: bool = False) -> DataFrame:
+    """doc_id, class_id (least id of the class), class_size and on request content of each row."""
     signed = written(sign(docs))
     copies = checkpointed(signed.groupBy("content").agg(F.min("row").alias("node")))
     unique = signed.select("row", "bands").join(copies.select(F.col("node").alias("row")), "row", "left_semi")
@@ -287,9 +292,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
     more = compacted(_rest_of_buckets(buckets.select("key", "band", "node"), signed, labels))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    rows = signed.select("doc_id", "content").join(copies, "content").select("doc_id", "node")
-    rows = rows.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
+    shown = ["content"] if with_content else []
+    rows = signed.select("doc_id", "content").join(copies, "content").select("doc_id", "node", *shown)
+    rows = rows.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"), *shown)
     rows = checkpointed(rows)
     # Written apart, so that the join deals both sides anew and can split a hot class.
     classes = checkpointed(rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
-    return rows.join(classes, "label").select("doc_id", "class_id", "class_size")
+    return rows.join(classes, "label").select("doc_id", "class_id", "class_size", *shown)

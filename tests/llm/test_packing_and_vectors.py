@@ -209,6 +209,16 @@ def test_pipeline(spark, docs, tmp_path):
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(kept["pii"])
 
 
+def test_pipeline_tells_rows_of_one_id_apart(spark):
+    other = prose(40, 60)
+    rows = [(1, prose(1, 60), "en", "s", 0), (7, prose(1, 59) + " changed", "en", "s", 0), (7, other, "en", "s", 0), (9, prose(9, 50), "en", "s", 0), (9, prose(9, 50), "en", "s", 0)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    exact = corpus_pipeline.written(corpus_pipeline.keep_exact(spark, table, ""))
+    assert sorted(r["doc_id"] for r in exact.collect()) == [1, 7, 7, 9]
+    near = corpus_pipeline.keep_one_of_near(spark, exact, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in near) == [(1, rows[0][1]), (7, other), (9, rows[3][1])]
+
+
 def test_pipeline_of_nothing(spark, no_docs, tmp_path):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
