@@ -7,10 +7,13 @@ all registers. Two documents agree in a register with their probability Jaccard
 similarity, which bands turn into candidates and exact verification decides.
 
 Copies collapse first, so only different word sequences are compared. Buckets
-are compared in two passes, neither of which pairs up a bucket's members:
-first each member with a centre drawn for the bucket, which joins most groups;
+are compared in three passes, none of which pairs up a bucket's members. Each
+bucket has a centre: its member of the least draw, and the draw is a member's
+own, so that the buckets of a group share few centres. First each member meets
+one centre, the least drawn of its buckets', which joins most groups with one link
+a member; then those that a bucket's centre isn't joined with meet that centre;
 then, where a bucket still has several components, the members outside the
-largest one with all others, block by block: signatures rule out most pairs, and
+largest one meet all others, block by block: signatures rule out most pairs, and
 the rest are verified in place. Any pair that shares a bucket is thus verified,
 joined by other links, or ruled out by its signatures.
 
@@ -41,7 +44,8 @@ BANDS, BAND_ROWS = 24, 4
 #: Least agreeing registers of a pair that goes on from signatures to verification: at
 #: similarity 0.8 fewer have a probability of 2e-5.
 AGREE = 84
-BLOCK = 256  # signatures compared with as many others at a time
+BLOCK = 256  # signatures compared with as many others at a time, or fewer of long documents
+BLOCK_BYTES = 16 << 20  # of words in a block, or one document
 BROADCAST_IDS = 4_000_000  # at most 32 MB; more are joined by a shuffle
 
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -122,7 +126,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, doc_id, content, words -> the same with bands and signature."""
+    """row, doc_id, content, words -> the same with their number, bands and signature."""
     for whole in batches:
         for at in range(0, whole.num_rows, 2048):
             batch = whole.slice(at, 2048)
@@ -139,11 +143,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("row", "doc_id", "content")),
+                    pa.array(np.diff(np.append(0, ends)).astype(np.int32)),
                     pa.array([data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some * BANDS)).astype(np.int32)), pa.array(keys)),
                     pa.array([small[i * REGISTERS * 4 : (i + 1) * REGISTERS * 4] for i in range(n)], pa.binary()),
                 ],
-                names=["row", "doc_id", "content", "words", "bands", "signature"],
+                names=["row", "doc_id", "content", "n_words", "words", "bands", "signature"],
             )
 
 
@@ -153,11 +158,11 @@ def content(words):
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """row, doc_id, content (digest of the words), words (32-bit hashes), bands, signature."""
+    """row, doc_id, content (digest of the words), n_words, words (32-bit hashes), bands, signature."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(text).alias("w"))
     hashed = rows.select("row", "doc_id", content(F.col("w")).alias("content"), F.transform("w", lambda x: F.xxhash64(x).bitwiseAND(0xFFFFFFFF)).alias("words"))
-    return hashed.mapInArrow(_sign, "row bigint, doc_id bigint, content binary, words binary, bands array<bigint>, signature binary")
+    return hashed.mapInArrow(_sign, "row bigint, doc_id bigint, content binary, n_words int, words binary, bands array<bigint>, signature binary")
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray | None], b: tuple[np.ndarray, np.ndarray | None]) -> float:
@@ -259,16 +264,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
+def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
+    """Add the component of a column of nodes; a node without links is its own."""
+    named = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    joined = rows.join(named, rows[node] == named["_node"], "left")
+    return joined.select(*rows.columns, F.coalesce("_label", node).alias(label))
+
+
 def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
     """Links (a, b) between members of a bucket that the stars left in different components."""
-    named = labels.withColumnRenamed("node", "_node")
-    placed = buckets.join(named, buckets["node"] == named["_node"], "left").select("key", "band", "node", F.coalesce("label", "node").alias("label"))
-    shares = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    placed = _labelled(buckets, labels, "node", "label")
+    shares = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"))
     # The members of a bucket's largest component needn't meet each other.
-    open_ = shares.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
+    open_ = shares.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"), F.sum("words").alias("words"))
     # With two members the star has tested their only pair.
-    open_ = compacted(open_.filter("parts > 1 AND size > 2").select("key", F.col("top.label").alias("top"), "size"))
-    rows = compacted(placed.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("words") * 4 / BLOCK_BYTES, F.lit(1.0)))
+    open_ = compacted(open_.filter("parts > 1 AND size > 2").select("key", F.col("top.label").alias("top"), blocks.alias("blocks")))
+    rows = compacted(placed.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
     wide = rows.join(_picked(signed, rows, "signature", "words"), "node")
     member = F.struct("node", "label", (F.col("label") != F.col("top")).alias("minor"), "signature", "words")
     blocks = checkpointed(wide.groupBy("key", "band", "block").agg(F.collect_list(member).alias("members")))
@@ -276,20 +288,42 @@ def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame) -
     return minors.join(blocks, "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
 
 
+def _pair(node: str, centre: str) -> list[Column]:
+    return [F.least(node, centre).alias("a"), F.greatest(node, centre).alias("b")]
+
+
+def _draw(node: str) -> Column:
+    return F.xxhash64(node)
+
+
+def star_links(buckets: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of members with centres, and the labels of their components.
+
+    buckets: key, node, centre. A group of members that are alike has about one link
+    a member, in however many buckets its members meet.
+    """
+    first = buckets.groupBy("node").agg(F.min_by("centre", _draw("centre")).alias("centre")).filter("node <> centre")
+    links = compacted(verified(compacted(first.select(*_pair("node", "centre")).distinct()), signed))
+    labels = components(links)
+    apart = _labelled(_labelled(buckets.filter("node <> centre").select("node", "centre").distinct(), labels, "node", "of"), labels, "centre", "to")
+    tested = first.select(*_pair("node", "centre"))
+    others = compacted(apart.filter("of <> to").select(*_pair("node", "centre")).distinct().join(tested, ["a", "b"], "left_anti"))
+    if others.isEmpty():
+        return links, labels
+    links = compacted(links.unionByName(verified(others, signed)))
+    return links, components(links)
+
+
 def near_classes(docs: DataFrame, with_content: bool = False) -> DataFrame:
     """doc_id, class_id (least id of the class), class_size and on request content of each row."""
     signed = written(sign(docs))
     copies = checkpointed(signed.groupBy("content").agg(F.min("row").alias("node")))
-    unique = signed.select("row", "bands").join(copies.select(F.col("node").alias("row")), "row", "left_semi")
-    spread = unique.select(F.posexplode("bands").alias("band", "key"), F.col("row").alias("node"))
-    # A centre for each bucket, drawn by hash so that a group's buckets have different ones.
-    centres = spread.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("draw"), "node")).alias("c"), F.count(F.lit(1)).alias("n"))
-    centres = centres.filter("n > 1").select("key", F.col("c.node").alias("centre"))
-    buckets = checkpointed(spread.join(centres, "key"))
-    stars = buckets.filter("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    links = compacted(verified(compacted(stars.distinct()), signed))
-    labels = components(links)
-    more = compacted(_rest_of_buckets(buckets.select("key", "band", "node"), signed, labels))
+    unique = signed.select("row", "n_words", "bands").join(copies.select(F.col("node").alias("row")), "row", "left_semi")
+    spread = unique.select(F.posexplode("bands").alias("band", "key"), F.col("row").alias("node"), "n_words")
+    centres = spread.groupBy("key").agg(F.min_by("node", _draw("node")).alias("centre"), F.count(F.lit(1)).alias("n"))
+    buckets = checkpointed(spread.join(centres.filter("n > 1").select("key", "centre"), "key"))
+    links, labels = star_links(buckets, signed)
+    more = compacted(_rest_of_buckets(buckets.select("key", "band", "node", "n_words"), signed, labels))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     shown = ["content"] if with_content else []

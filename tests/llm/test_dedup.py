@@ -139,6 +139,42 @@ def test_hot_group_of_edited_copies(spark, monkeypatch):
     assert got == near_wanted(data)
 
 
+def test_hot_group_has_about_one_link_a_member(spark):
+    """However many buckets the members share."""
+    base = prose(8, 200).split()
+    data = []
+    for k in range(400):
+        words = list(base)
+        words[k % 200] = f"edit{k}"
+        data.append((k, " ".join(words)))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    signed = near_dedup.written(near_dedup.sign(docs))
+    spread = signed.select(F.explode("bands").alias("key"), F.col("row").alias("node"))
+    centres = spread.groupBy("key").agg(F.min_by("node", near_dedup._draw("node")).alias("centre"))
+    links, labels = near_dedup.star_links(spread.join(centres, "key"), signed)
+    assert links.count() <= 1.1 * len(data) and labels.select("label").distinct().count() == 1
+    assert {(r["class_id"], r["class_size"]) for r in near_dedup.near_classes(docs).collect()} == {(0, 400)}
+
+
+def test_blocks_of_long_documents_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
+    base = prose(5, 120).split()
+    data = []
+    for k in range(40):
+        words = list(base)
+        for e in range(k % 9):
+            words[(k * 37 + e * 13) % len(words)] = f"edit{k % 31}x{e}"
+        data.append((k, " ".join(words)))
+    got = Counter(map(tuple, near_dedup.near_classes(spark.createDataFrame(data, "doc_id bigint, text string")).collect()))
+    assert got == near_wanted(data)
+
+
+def test_near_classes_of_clashing_columns(docs):
+    short = docs.filter("length(text) < 500")
+    odd = short.withColumns({c: F.lit("mine") for c in ("row", "node", "label", "class_id", "words", "content", "bands", "key")})
+    assert Counter(map(tuple, near_dedup.near_classes(odd).collect())) == Counter(map(tuple, near_dedup.near_classes(short).collect()))
+
+
 def test_signatures_estimate_probability_jaccard():
     import numpy as np
 
