@@ -1,29 +1,37 @@
-"""Quality classifier: interpolated modified Kneser-Ney over byte trigrams.
-
-A model for each language is trained on all trusted text. Tasks reduce their
-texts to trigram counts; continuation counts, discounts and back-off weights
-are joins and aggregates of the count tables, sharded by language and context.
-A document's perplexity per byte is held against a limit of its language.
-
-The limit comes from trusted documents that the scoring model has not seen: the
-texts are dealt to FOLDS folds by their hash (so equal texts share one), and each
-is scored by the model of the counts less its own fold's. A quantile q of n such
+"""Quality classifier: interpolated modified Kneser-Ney over byte 5-grams.
+
+Models are trained on all trusted text. Tasks reduce their texts to counts of
+5-grams; continuation counts, discounts, back-off weights and the interpolated
+probabilities of every order are joins and aggregates of the count tables,
+sharded by model and gram, which grow with the trusted text.
+
+A text is dealt to one of two folds by its hash (so equal texts share one), and
+is scored by its language's model of the other fold. So no text is scored by a
+model that has seen it, and the trusted texts' scores are held-out ones, of the
+same distribution as those of other good texts.
+
+The score of a document is a sum over its grams. Each gram has a full value (its
+log-probability) and two additive ones: delta, what seeing it adds to its
+back-off, and gamma, the weight that it leaves as a context. The most frequent
+entries of the model, at most HEAD_ENTRIES, are sent to the tasks, which keeps
+frequent grams out of any join; a document's other grams are counted, joined
+with the sharded table and summed by document. The sum is exact whatever is sent.
+
+The limit of a language comes from its trusted texts. A quantile q of n such
 scores is supported where n * (1 - q) is at least 1, so that no single odd text
 is the limit. Of the supported ones of QUANTILES a language has the one with the
 greatest difference between the shares of trusted documents and of documents of
-quality 0 that stay, or the largest where these don't tell. A language without a supported quantile, and so one with few or no
-trusted texts, has a null threshold and keeps all its documents.
-
-Bytes as units bound a model by 256**3 entries whatever the corpus, so the
-finished tables can be sent to the tasks; languages are scored in groups of at
-most GROUP_ENTRIES entries (or one language).
+quality 0 that stay, or the largest where these don't tell. A language without a
+supported quantile, and so one with few or no trusted texts, has a null threshold
+and keeps all its documents.
 
 Null text is empty; texts without bytes have null perplexity and are kept.
-A null language is the language ''. Languages without trusted text get their
-perplexity from a model of all trusted text; without any trusted text all rows
-are kept with null perplexity. Trusted is an id whose labels all say quality 1 and
-none toxic 1. Repeated rows are counted and scored each; extra columns are
-kept (perplexity, threshold and kept replace columns of these names).
+A null language is the language ''. Where a language has no model of the other
+fold, its texts get their perplexity from the model of all languages' texts of
+that fold; without that, null. Trusted is an id whose labels all say quality 1
+and none toxic 1, nulls apart. Repeated rows are counted and scored each; extra columns are
+kept, whatever their names (perplexity, threshold and kept replace columns of
+these names).
 """
 
 from __future__ import annotations
@@ -32,212 +40,334 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.common import compacted
+from logloom.llm.common import compacted, written
 
+ORDER = 5
+FOLDS = 2  # a text's model is the other one's
 QUANTILES = (0.95, 0.98, 0.99, 0.995, 0.999)  # of held-out scores; a language has one of these
-FOLDS = 5
-HELD_SCORERS = 8  # dense tables that a task keeps at once
-GROUP_ENTRIES = 4_000_000
+HEAD_ENTRIES = 1 << 18  # of the model that are sent to tasks, 40 bytes each
 BROADCAST_IDS = 4_000_000  # at most 32 MB of ids; more are joined by a shuffle
-CHUNK = 1 << 22  # trigrams sorted at a time
+BROADCAST_NAMES = 100_000  # languages and models; more are joined by a shuffle
+CHUNK = 1 << 22  # grams sorted at a time
+STEP = 1 << 20  # bytes scored at a time
 BINS = 1000  # of a bit per byte, for quantiles
 #: The language name of the model of all trusted text; '\0' is in no language name.
 POOLED = "\0"
-EDGE = b"\n\n"
+#: What stands before a text.
+EDGE = 10
+#: A gram of k bytes is k << ORDER_SHIFT | its bytes, the first one highest.
+ORDER_SHIFT = 8 * ORDER
+
+
+def _mask(order: int) -> int:
+    return (1 << 8 * order) - 1
+
+
+def _small(rows: DataFrame, most: int) -> DataFrame:
+    """rows, checkpointed, and sent to the tasks where they are at most so many."""
+    rows = compacted(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def _model_key(lang: Column, fold: Column) -> Column:
+    return F.xxhash64(lang, fold)
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """_lang, _text, _good, _fold of the trusted documents and of those of quality 0."""
-    ids = (
+def _fold(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
+
+
+def label_ids(labels: DataFrame) -> DataFrame:
+    """id, good of the trusted ids and of those of quality 0."""
+    return _small(
         labels.filter(F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.min("quality").alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t"))
         .filter("_q = 0 OR _q = 1 AND _t = 0")
-        .selectExpr("doc_id", "_q = 1 AS _good")
+        .selectExpr("doc_id AS id", "_q = 1 AS good"),
+        BROADCAST_IDS,
     )
-    ids = compacted(ids)
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("_lang"), F.coalesce("text", F.lit("")).alias("_text"))
-    fold = F.pmod(F.xxhash64("_text"), F.lit(FOLDS)).cast("string").alias("_fold")
-    return texts.join(ids, "doc_id").select("_lang", "_text", "_good", fold)
 
 
-def _fold_name(lang, fold):
-    """The language name of the model that lacks a fold."""
-    return F.concat(lang, F.lit(POOLED), fold)
+# Training
+
+
+def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' bytes, ORDER - 1 edge bytes before each, and where each text's bytes start (one more at the end)."""
+    column = column.cast(pa.large_string())
+    buffers = column.buffers()
+    offsets = np.frombuffer(buffers[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(buffers[2], np.uint8)[offsets[0] : offsets[-1]] if buffers[2] is not None else np.zeros(0, np.uint8)
+    sizes, pad = np.diff(offsets), ORDER - 1
+    starts = np.append(0, np.cumsum(sizes + pad)) + pad
+    out = np.full(len(data) + pad * len(sizes), EDGE, np.uint8)
+    out[np.arange(len(data)) + np.repeat(pad * np.arange(1, len(sizes) + 1), sizes)] = data
+    return out, starts
 
 
-def _codes(text: str) -> np.ndarray:
-    """One number per byte of the text: the byte and the two before it."""
-    data = np.frombuffer(EDGE + text.encode("utf-8", "replace"), np.uint8).astype(np.int32)
-    return data[:-2] << 16 | data[1:-1] << 8 | data[2:]
+def _codes(data: np.ndarray) -> np.ndarray:
+    """The ORDER bytes that end at each byte of data from its ORDER-th on, as one number."""
+    n = len(data) - ORDER + 1
+    out = np.zeros(max(n, 0), np.int64)
+    for k in range(ORDER if n > 0 else 0):
+        out = out << 8 | data[k : k + n]
+    return out
 
 
-_COUNTS = pa.schema([("lang", pa.string()), ("code", pa.int32()), ("n", pa.int64())])
+_COUNTS = pa.schema([("model", pa.int64()), ("code", pa.int64()), ("n", pa.int64())])
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[np.ndarray]] = {}
-    sizes: dict[str, int] = {}
+    held: dict[int, list[np.ndarray]] = {}
+    sizes: dict[int, int] = {}
 
-    def counted(lang: str) -> pa.RecordBatch:
-        codes, n = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-        sizes.pop(lang)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n)], schema=_COUNTS)
+    def counted(model: int) -> pa.RecordBatch:
+        codes, n = np.unique(np.concatenate(held.pop(model)), return_counts=True)
+        sizes.pop(model)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), model)), pa.array(codes), pa.array(n)], schema=_COUNTS)
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held.setdefault(lang, []).append(_codes(text))
-            sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1])
-            if sizes[lang] >= CHUNK:
-                yield counted(lang)
-        # Bounded also where languages are many.
+        data, starts = _padded(batch.column(1))
+        ends = starts[1:] - ORDER + 1
+        for model, start, end in zip(batch.column(0).to_pylist(), starts[:-1].tolist(), ends.tolist(), strict=True):
+            for at in range(start, end, CHUNK):
+                codes = _codes(data[at - ORDER + 1 : min(at + CHUNK, end)])
+                held.setdefault(model, []).append(codes)
+                sizes[model] = sizes.get(model, 0) + len(codes)
+                if sizes[model] >= CHUNK:
+                    yield counted(model)
+        # Bounded also where models are many.
         if sum(sizes.values()) >= 4 * CHUNK:
-            for lang in list(held):
-                yield counted(lang)
-    for lang in list(held):
-        yield counted(lang)
-
-
-def trigram_counts(trusted: DataFrame) -> DataFrame:
-    """lang, u, v, w, n; the pooled language and those without a fold included."""
-    parts = trusted.select(_fold_name(F.col("_lang"), F.col("_fold")), "_text").mapInArrow(_count, "lang string, code int, n bigint")
-    parts = compacted(parts.groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    own = compacted(parts.groupBy(F.substring_index("lang", POOLED, 1).alias("lang"), "code").agg(F.sum("n").alias("n")))
-    pooled = own.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "code", "n")
-    fold = F.explode(F.array(*(F.lit(str(k)) for k in range(FOLDS))))
-    less = own.select("lang", "code", "n", fold.alias("fold")).select(_fold_name(F.col("lang"), F.col("fold")).alias("lang"), "code", "n")
-    less = less.join(parts.withColumnRenamed("n", "_n"), ["lang", "code"], "left").selectExpr("lang", "code", "n - coalesce(_n, 0) AS n").filter("n > 0")
-    return compacted(own.unionByName(pooled).unionByName(less)).select(
-        "lang", F.shiftright("code", 16).alias("u"), F.shiftright("code", 8).bitwiseAND(255).alias("v"), F.col("code").bitwiseAND(255).alias("w"), "n"
-    )
+            for model in list(held):
+                yield counted(model)
+    for model in list(held):
+        yield counted(model)
 
 
-def _discounted(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """One order of modified Kneser-Ney: (lang, context, w, value), (lang, context, value).
-
-    The first has max(n - D(n), 0) over the context's total; the second the
-    weight that the context leaves to the order below.
-    """
-    of = lambda k: F.count_if(F.col("n") == k).cast("double")
+def _discounts(counts: DataFrame) -> DataFrame:
+    """model, d1, d2, d3 of one order."""
+    of = lambda k: F.count_if(F.col("n") == k).cast("double").alias(f"n{k}")
     n1, n2, n3, n4 = (F.col(f"n{k}") for k in range(1, 5))
     y = n1 / (n1 + 2 * n2)
     # Where a count of counts is missing, the discount is the one of an even decay.
     rule = lambda k, a, b: F.coalesce(F.when((a > 0) & (b > 0), F.greatest(F.lit(0.0), F.least(F.lit(float(k)), k - (k + 1) * y * b / a))), F.lit(k - 0.25))
-    discounts = counts.groupBy("lang").agg(*(of(k).alias(f"n{k}") for k in range(1, 5)))
-    discounts = discounts.select("lang", rule(1, n1, n2).alias("d1"), rule(2, n2, n3).alias("d2"), rule(3, n3, n4).alias("d3"))
-    totals = counts.groupBy("lang", *context).agg(
-        F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("t1"), F.count_if(F.col("n") == 2).alias("t2"), F.count_if(F.col("n") >= 3).alias("t3")
-    )
-    totals = totals.join(discounts, "lang")
-    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    seen = counts.join(totals, ["lang", *context]).select("lang", *context, "w", (F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total")).alias("value"))
-    left = totals.select("lang", *context, ((F.col("d1") * F.col("t1") + F.col("d2") * F.col("t2") + F.col("d3") * F.col("t3")) / F.col("total")).alias("value"))
-    return seen, left
-
-
-def train(trusted: DataFrame) -> DataFrame:
-    """The model: lang, kind, context, w, value; kinds name the order and the table."""
-    tri = trigram_counts(trusted)
-    bi = tri.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("n"))
-    uni = bi.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
-    none, at = F.lit(-1), F.col("u") * 256 + F.col("v")
-    out = None
-    for order, (counts, context, key) in enumerate(((uni, [], none), (bi, ["v"], F.col("v")), (tri, ["u", "v"], at)), 1):
-        seen, left = _discounted(counts, context)
-        for kind, table, w in ((order, seen, F.col("w")), (-order, left, none)):
-            part = table.select("lang", F.lit(kind).alias("kind"), key.alias("context"), w.alias("w"), "value")
-            out = part if out is None else out.unionByName(part)
-    return compacted(out)
-
-
-class _Scorer:
-    """Log2 probabilities of one language, dense over the bytes that it has."""
-
-    def __init__(self, kind: np.ndarray, context: np.ndarray, w: np.ndarray, value: np.ndarray):
-        used = np.unique(np.concatenate([w[w >= 0], [10]]))
-        size = len(used) + 1  # the last symbol stands for bytes never seen
-        self.symbol = np.full(256, size - 1, np.int32)
-        self.symbol[used] = np.arange(size - 1)
-        self.size = size
-        s = self.symbol
-        pick = lambda k: (context[kind == k], w[kind == k], value[kind == k])
-        p1 = np.full(size, float(pick(-1)[2].sum()) / 256)
-        _, to, v = pick(1)
-        p1[s[to]] += v
-        left = np.ones(size)
-        c, _, v = pick(-2)
-        left[s[c]] = v
-        p2 = left[:, None] * p1[None, :]
-        c, to, v = pick(2)
-        p2[s[c], s[to]] += v
-        left = np.ones((size, size))
-        c, _, v = pick(-3)
-        left[s[c >> 8], s[c & 255]] = v
-        p3 = left[:, :, None] * p2[None, :, :]
-        c, to, v = pick(3)
-        p3[s[c >> 8], s[c & 255], s[to]] += v
-        self.log = np.log2(np.maximum(p3, 1e-12)).astype(np.float32).ravel()
-
-    def bits(self, text: str) -> float | None:
-        """Bits per byte; None for a text without bytes."""
-        data = self.symbol[np.frombuffer(EDGE + text.encode("utf-8", "replace"), np.uint8)]
-        if len(data) == len(EDGE):
-            return None
-        at = (data[:-2] * self.size + data[1:-1]) * self.size + data[2:]
-        return float(-self.log[at].mean(dtype=np.float64))
-
-
-def _groups(model: DataFrame) -> list[list[str]]:
-    """Languages in groups whose models may be sent together, the pooled one apart."""
-    out: list[list[str]] = []
-    held = GROUP_ENTRIES
-    base = F.substring_index("lang", POOLED, 1).alias("lang")
-    for row in model.filter(F.col("lang") != POOLED).groupBy(base).count().orderBy("lang").toLocalIterator():
-        if held + row["count"] > GROUP_ENTRIES:
-            out.append([])
-            held = 0
-        out[-1].append(row["lang"])
-        held += row["count"]
-    return out
+    found = counts.groupBy("model").agg(*(of(k) for k in range(1, 5)))
+    return _small(found.select("model", rule(1, n1, n2).alias("d1"), rule(2, n2, n3).alias("d2"), rule(3, n3, n4).alias("d3")), BROADCAST_NAMES)
 
 
-def _tables(model: DataFrame, langs: list[str]) -> dict[str, tuple[np.ndarray, ...]]:
-    """The models of these names; one without entries is left out."""
-    table = model.filter(F.col("lang").isin(langs)).toArrow()
-    lang = np.array(table.column("lang").to_pylist())
-    columns = [table.column(c).to_numpy() for c in ("kind", "context", "w", "value")]
-    return {x: tuple(c[lang == x] for c in columns) for x in langs if (lang == x).any()}
+def _order(counts: DataFrame, lower: DataFrame | None, order: int) -> tuple[DataFrame, DataFrame]:
+    """(model, code, n, p, delta) of one order's grams and (model, context, weight).
 
-
-def _scored(docs: DataFrame, tables: dict) -> DataFrame:
-    """docs (with _key, the name of a model, and _text) and their bits per byte, null without the model."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(tables)
-    schema = T.StructType([*docs.schema.fields, T.StructField("bits", T.DoubleType())])
+    counts: model, code, n; lower: model, code, p of the order below. A context
+    has at most 256 followers, so none is a hot key.
+    """
+    counts = counts.withColumn("context", F.shiftright("code", 8)).join(_discounts(counts), "model")
+    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    weights = compacted(counts.groupBy("model", "context").agg(F.sum("n").alias("total"), (F.sum(d) / F.sum("n")).alias("weight")))
+    seen = counts.withColumn("rest", F.greatest(F.col("n") - d, F.lit(0.0))).join(weights, ["model", "context"])
+    if lower is None:
+        below = seen.withColumn("below", F.lit(1 / 256))
+    else:
+        suffix = lower.select("model", F.col("code").alias("suffix"), F.col("p").alias("below"))
+        below = seen.withColumn("suffix", F.col("code").bitwiseAND(F.lit(_mask(order - 1)))).join(suffix, ["model", "suffix"])
+    backed = F.col("weight") * F.col("below")
+    grams = below.select("model", "code", "n", (F.col("rest") / F.col("total") + backed).alias("p"), (F.log2(F.col("rest") / F.col("total") + backed) - F.log2(backed)).alias("delta"))
+    return compacted(grams), weights.select("model", "context", "weight")
+
+
+def train(trusted: DataFrame, pooled: bool = False) -> DataFrame:
+    """The model of trusted texts (lang, fold, text): model, code, n, full, delta, gamma (log2).
+
+    n: occurrences of the gram that a sum over trusted text would look up. A gram
+    that is only a context has null full and delta.
+    """
+    parts = trusted.select(_model_key(F.col("lang"), F.col("fold")).alias("model"), "text").mapInArrow(_count, "model bigint, code bigint, n bigint")
+    if pooled:
+        every = trusted.select(_model_key(F.lit(POOLED), F.col("fold")).alias("model"), "text").mapInArrow(_count, "model bigint, code bigint, n bigint")
+        parts = parts.unionByName(every)
+    counts = {ORDER: compacted(parts.groupBy("model", "code").agg(F.sum("n").alias("n")))}
+    for k in range(ORDER - 1, 0, -1):
+        suffix = F.col("code").bitwiseAND(F.lit(_mask(k))).alias("code")
+        counts[k] = compacted(counts[k + 1].groupBy("model", suffix).agg(F.count(F.lit(1)).alias("n")))
+    entries, lower = None, None
+    for k in range(1, ORDER + 1):
+        lower, weights = _order(counts[k], lower, k)
+        tag = lambda c, order: F.col(c).bitwiseOR(F.lit(order << ORDER_SHIFT)).alias("code")
+        grams = lower.select("model", tag("code", k), "n", F.log2("p").alias("full"), "delta", F.lit(None).cast("double").alias("gamma"))
+        none = F.lit(None).cast("double")
+        contexts = weights.select("model", tag("context", k - 1), F.lit(0).cast("long").alias("n"), none.alias("full"), none.alias("delta"), F.log2(F.greatest("weight", F.lit(1e-12))).alias("gamma"))
+        part = grams.unionByName(contexts)
+        entries = part if entries is None else entries.unionByName(part)
+    merged = entries.groupBy("model", "code").agg(*(F.max(c).alias(c) for c in ("n", "full", "delta", "gamma")))
+    # The empty context is looked up wherever a first byte is unknown, and no table ranks it.
+    n = F.when(F.shiftright("code", ORDER_SHIFT) == 0, F.lit((1 << 62))).otherwise(F.col("n"))
+    return written(merged.withColumn("n", n).repartition("model", "code"))
+
+
+def split_head(model: DataFrame) -> tuple[pa.Table, DataFrame]:
+    """The most frequent entries, at most HEAD_ENTRIES, and the table of all others."""
+    level = F.floor(F.log2(F.greatest("n", F.lit(1)).cast("double")) * 8)
+    held, least = 0, None
+    for row in model.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # at most 500 levels
+        held += row["count"]
+        if held > HEAD_ENTRIES:
+            break
+        least = row["level"]
+    head = model.filter(level >= least) if least is not None else model.limit(0)
+    tail = model.filter(level < least) if least is not None else model
+    return head.select("model", "code", "full", "delta", "gamma").toArrow(), tail.select("model", "code", "delta", "gamma")
+
+
+# Scoring
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Head:
+    """The entries that are sent, in a table with open addressing."""
+
+    def __init__(self, model: np.ndarray, code: np.ndarray, full: np.ndarray, gamma: np.ndarray):
+        self.full, self.gamma = full, gamma  # of entries; not a number where there is none
+        keys = self.keys(model, code)
+        self.mask = np.uint64((1 << max(4, (2 * len(keys)).bit_length())) - 1)
+        self.slots = np.full(int(self.mask) + 1, -1, np.int32)
+        self.held = np.zeros(int(self.mask) + 1, np.uint64)
+        left, self.probes = np.arange(len(keys)), 0
+        while len(left):
+            slot = (keys[left] + np.uint64(self.probes) & self.mask).astype(np.int64)
+            # The first of those that want a free slot has it.
+            free = np.flatnonzero(self.slots[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            won = free[first]
+            self.slots[slot[won]] = left[won]
+            self.held[slot[won]] = keys[left[won]]
+            left = np.delete(left, won)
+            self.probes += 1
+
+    @staticmethod
+    def keys(model: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return _mix(_mix(code.astype(np.uint64)) + model.view(np.uint64))
+
+    def find(self, model: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Number of the entry of each gram, -1 where there is none."""
+        keys = self.keys(model, code)
+        out = np.full(len(keys), -1, np.int32)
+        left = np.arange(len(keys))
+        for probe in range(self.probes):
+            slot = (keys[left] + np.uint64(probe) & self.mask).astype(np.int64)
+            entry = self.slots[slot]
+            hit = (entry >= 0) & (self.held[slot] == keys[left])
+            out[left[hit]] = entry[hit]
+            left = left[(entry >= 0) & ~hit]
+            if not len(left):
+                break
+        return out
+
+
+def score_positions(head: Head, model: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What the head knows of each position's log-probability, and what it doesn't know:
+    (positions, grams) whose delta and (positions, grams) whose gamma is to be added."""
+    known = np.zeros(len(codes))
+    left = np.arange(len(codes))
+    deltas, gammas = [], []
+    for k in range(ORDER, 0, -1):
+        gram = (codes[left] & _mask(k)) | (k << ORDER_SHIFT)
+        entry = head.find(model[left], gram)
+        full = np.where(entry >= 0, head.full[entry], np.nan) if len(head.full) else np.full(len(left), np.nan)
+        has = ~np.isnan(full)
+        known[left[has]] += full[has]
+        left, gram = left[~has], gram[~has]
+        if not len(left):
+            break
+        deltas.append((left, gram))
+        context = (codes[left] & _mask(k)) >> 8 | ((k - 1) << ORDER_SHIFT)
+        entry = head.find(model[left], context)
+        inside = entry >= 0
+        # A context in the head without a weight has none.
+        known[left[inside]] += np.nan_to_num(head.gamma[entry[inside]])
+        gammas.append((left[~inside], context[~inside]))
+    known[left] += np.log2(1 / 256)
+    joined = lambda parts, i: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64)
+    return known, joined(deltas, 0), joined(deltas, 1), joined(gammas, 0), joined(gammas, 1)
+
+
+_KEY_BITS = ORDER_SHIFT + 3
+
+
+def score_batch(head: Head, models: np.ndarray, valid: np.ndarray, texts: pa.Array, whole: bool) -> list[pa.Array]:
+    """bits (of what the head knows), bytes, and the grams to be joined with their numbers, for each text.
+
+    whole: the head is all of the model, so that what it lacks is unseen.
+    """
+    data, starts = _padded(texts)
+    sizes = np.diff(starts) - (ORDER - 1)
+    sums = np.zeros(len(sizes))
+    keys, numbers = [], []
+    # The text that a byte belongs to; edge bytes belong to none.
+    owner = np.full(len(data), -1, np.int32)
+    owner[np.arange(int(sizes.sum())) + np.repeat(starts[:-1] - (np.cumsum(sizes) - sizes), sizes)] = np.repeat(np.where(valid, np.arange(len(sizes)), -1), sizes)
+    for at in range(0, len(data), STEP):
+        own = owner[at : at + STEP]
+        ends = np.flatnonzero(own >= 0)
+        if not len(ends):
+            continue
+        codes = _codes(data[max(at - ORDER + 1, 0) : at + STEP])[ends - (ORDER - 1 if at == 0 else 0)]
+        own = own[ends]
+        known, dp, dg, gp, gg = score_positions(head, models[own], codes)
+        sums += np.bincount(own, known, len(sizes))
+        if not whole:
+            d, g = own[dp].astype(np.int64) << _KEY_BITS | dg, own[gp].astype(np.int64) << _KEY_BITS | gg
+            found, place = np.unique(np.concatenate([d, g]), return_inverse=True)
+            keys.append(found)
+            numbers.append((np.bincount(place[: len(d)], minlength=len(found)), np.bincount(place[len(d) :], minlength=len(found))))
+    key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+    nd, ng = (np.concatenate([n[i] for n in numbers]) if numbers else np.zeros(0, np.int64) for i in (0, 1))
+    order = np.argsort(key, kind="stable")
+    key, nd, ng = key[order], nd[order], ng[order]
+    offsets = np.searchsorted(key >> _KEY_BITS, np.arange(len(sizes) + 1)).astype(np.int32)
+    listed = lambda values, kind: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+    return [pa.array(sums), pa.array(sizes), listed(key & ((1 << _KEY_BITS) - 1), pa.int64()), listed(nd, pa.int32()), listed(ng, pa.int32())]
+
+
+def _scored(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """own, id, lang and bits per byte of texts (own, id, lang, model, text); null bits without model or bytes."""
+    head, tail = split_head(model)
+    whole = tail.isEmpty()
+    columns = [head.column(c).to_numpy() for c in ("model", "code", "full", "gamma")]  # null is not a number
+    sent = texts.sparkSession.sparkContext.broadcast(columns)  # at most HEAD_ENTRIES
+    given = [texts.schema[c] for c in ("row", "own", "id", "lang", "model")]
+    added = T._parse_datatype_string("sum double, bytes bigint, code array<bigint>, nd array<int>, ng array<int>")
+    schema = T.StructType([*given, *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers: dict[str, _Scorer] = {}
+        head = Head(*sent.value)
         for batch in batches:
-            keys, texts = batch.column("_key").to_pylist(), batch.column("_text").to_pylist()
-            bits: list[float | None] = [None] * len(keys)
-            for i in sorted(range(len(keys)), key=keys.__getitem__):
-                key = keys[i]
-                if key not in sent.value:
-                    continue
-                if key not in scorers:
-                    if len(scorers) >= HELD_SCORERS:
-                        scorers.pop(next(iter(scorers)))
-                    scorers[key] = _Scorer(*sent.value[key])
-                bits[i] = scorers[key].bits(texts[i])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits, pa.float64())], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+            of = batch.column("model")
+            known = np.asarray(of.is_valid())
+            models = np.asarray(of.fill_null(0)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in given), *score_batch(head, models, known, batch.column("text"), whole)], names=schema.names)
+
+    first = written(texts.select("row", "own", "id", "lang", "model", "text").mapInArrow(run, schema))
+    bits = lambda total: F.when(F.col("model").isNotNull() & (F.col("bytes") > 0), -total / F.col("bytes"))
+    if whole:
+        return first.select("own", "id", "lang", bits(F.col("sum")).alias("bits"))
+    asked = first.select("row", "model", F.explode(F.arrays_zip("code", "nd", "ng")).alias("x")).select("row", "model", "x.*")
+    value = F.col("nd") * F.coalesce("delta", F.lit(0.0)) + F.col("ng") * F.coalesce("gamma", F.lit(0.0))
+    more = written(asked.join(tail, ["model", "code"]).groupBy("row").agg(F.sum(value).alias("more")))
+    out = first.select("row", "own", "id", "lang", "model", "sum", "bytes").join(more, "row", "left")
+    return out.select("own", "id", "lang", bits(F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("bits"))
+
+
+# Limits
 
 
 def _cuts(scored: DataFrame, wanted: tuple[float, ...]) -> DataFrame:
@@ -246,58 +376,57 @@ def _cuts(scored: DataFrame, wanted: tuple[float, ...]) -> DataFrame:
 
     Values are counted in bins of 1/BINS bit, so no task holds a language's values.
     """
-    bins = scored.filter(F.col("bits").isNotNull()).groupBy("_lang", F.ceil(F.col("bits") * BINS).alias("bin"))
-    bins = bins.agg(F.count_if("_good").alias("g"), F.count_if(~F.col("_good")).alias("b"))
-    total = bins.groupBy("_lang").agg(F.sum("g").alias("n"), F.sum("b").alias("bad_n")).filter("n > 0")
-    # At most 40 bits a byte, so a language has 40 * BINS bins at most.
-    upto = "sum({0}) OVER (PARTITION BY _lang ORDER BY bin) AS {0}"
-    running = bins.selectExpr("_lang", "bin", upto.format("g"), upto.format("b")).join(total, "_lang")
+    bins = scored.filter(F.col("bits").isNotNull()).groupBy("lang", F.ceil(F.col("bits") * BINS).alias("bin"))
+    bins = bins.agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
+    total = bins.groupBy("lang").agg(F.sum("g").alias("n"), F.sum("b").alias("bad_n")).filter("n > 0")
+    # At most 60 bits a byte, so a language has 60 * BINS bins at most.
+    upto = "sum({0}) OVER (PARTITION BY lang ORDER BY bin) AS {0}"
+    running = bins.selectExpr("lang", "bin", upto.format("g"), upto.format("b")).join(total, "lang")
     cuts = running.withColumn("q", F.explode(F.array(*(F.lit(q) for q in wanted)))).filter(F.col("g") >= F.col("q") * F.col("n"))
-    first = cuts.groupBy("_lang", "q").agg(F.min(F.struct("bin", "n", "g", "b", "bad_n")).alias("x")).select("_lang", "q", "x.*")
-    return first.selectExpr("_lang", "q", f"bin / {BINS} AS threshold", "n", "g / n AS good", "coalesce(try_divide(b, bad_n), 0) AS bad")
+    first = cuts.groupBy("lang", "q").agg(F.min(F.struct("bin", "n", "g", "b", "bad_n")).alias("x")).select("lang", "q", "x.*")
+    return first.selectExpr("lang", "q", f"bin / {BINS} AS threshold", "n", "g / n AS good", "coalesce(try_divide(b, bad_n), 0) AS bad")
 
 
 def quantiles(scored: DataFrame, quantile: float) -> DataFrame:
     """lang, threshold: the least bin end that `quantile` of the values don't exceed."""
-    return _cuts(scored.withColumn("_good", F.lit(True)), (quantile,)).select("_lang", "threshold")
+    return _cuts(scored.withColumn("good", F.lit(True)), (quantile,)).select("lang", "threshold")
 
 
 def limits(scored: DataFrame, wanted: tuple[float, ...] = QUANTILES) -> DataFrame:
     """lang, threshold: the supported quantile that parts good from bad values best."""
     cuts = _cuts(scored, wanted).filter(F.col("n") * (1 - F.col("q")) >= 1)
-    return cuts.groupBy("_lang").agg(F.max_by("threshold", F.struct(F.col("good") - F.col("bad"), F.col("q"))).alias("threshold"))
+    return cuts.groupBy("lang").agg(F.max_by("threshold", F.struct(F.col("good") - F.col("bad"), F.col("q"))).alias("threshold"))
 
 
-def _held_out_limits(labelled: DataFrame, model: DataFrame, langs: list[str], wanted: tuple[float, ...]) -> dict[str, float]:
-    """Limits in bits by language; trusted texts are scored without their fold."""
-    key = F.when(F.col("_good"), _fold_name(F.col("_lang"), F.col("_fold"))).otherwise(F.col("_lang"))
-    names = [x for lang in langs for x in (lang, *(f"{lang}{POOLED}{k}" for k in range(FOLDS)))]
-    scored = _scored(labelled.filter(F.col("_lang").isin(langs)).withColumn("_key", key), _tables(model, names))
-    return {r["_lang"]: r["threshold"] for r in limits(scored, wanted).collect()}
+def quality(docs: DataFrame, labels: DataFrame, wanted: tuple[float, ...] = QUANTILES, carry: tuple[str, ...] | None = None) -> DataFrame:
+    """Add perplexity (per byte), threshold (of it) and kept to docs (doc_id, text, lang, ...).
 
-
-def quality(docs: DataFrame, labels: DataFrame, wanted: tuple[float, ...] = QUANTILES) -> DataFrame:
-    """Add perplexity (per byte), threshold (of it) and kept to docs (doc_id, text, lang, ...)."""
-    rest = [c for c in docs.columns if c not in ("perplexity", "threshold", "kept")]
-    labelled = labelled_documents(docs, labels)
-    model = train(labelled.filter("_good"))
-    texts = docs.select(*rest, F.coalesce("lang", F.lit("")).alias("_lang"), F.coalesce("text", F.lit("")).alias("_text"))
-    groups = _groups(model)
-    if not groups:
+    carry: the columns of docs to return; all unless given.
+    """
+    rest = [c for c in (docs.columns if carry is None else carry) if c not in ("perplexity", "threshold", "kept")]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Any column may be called anything: docs' own travel inside a struct.
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("own"),
+        F.col("doc_id").alias("id"), F.coalesce("lang", F.lit("")).alias("lang"), _fold(text).alias("fold"), text.alias("text"),
+    )
+    ids = label_ids(labels)
+    trusted = texts.select("id", "lang", "fold", "text").join(ids, "id").filter("good")
+    names = compacted(trusted.groupBy("lang", "fold").agg(F.count(F.lit(1)).alias("n")))
+    folds = [r["fold"] for r in names.select("fold").distinct().collect()]  # at most FOLDS
+    if not folds:
         none = F.lit(None).cast("double")
-        return docs.select(*rest, none.alias("perplexity"), none.alias("threshold"), F.lit(True).alias("kept"))
-    known = [x for group in groups for x in group]
-    parts = []
-    for group in groups:
-        entries = [F.lit(x) for pair in _held_out_limits(labelled, model, group, wanted).items() for x in pair]
-        limit = F.try_element_at(F.create_map(*entries), F.col("_lang")) if entries else F.lit(None).cast("double")
-        own = texts.filter(F.col("_lang").isin(group)).withColumn("_key", F.col("_lang"))
-        parts.append(_scored(own, _tables(model, group)).withColumn("_limit", limit))
-    others = texts.filter(~F.col("_lang").isin(known)).withColumn("_key", F.lit(POOLED))
-    if not others.isEmpty():
-        parts.append(_scored(others, _tables(model, [POOLED])).withColumn("_limit", F.lit(None).cast("double")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    kept = F.coalesce(F.col("bits") <= F.col("_limit"), F.lit(True))
-    return out.select(*rest, F.pow(F.lit(2.0), F.col("bits")).alias("perplexity"), F.pow(F.lit(2.0), F.col("_limit")).alias("threshold"), kept.alias("kept"))
+        return texts.select("own.*", none.alias("perplexity"), none.alias("threshold"), F.lit(True).alias("kept"))
+    complete = names.groupBy("lang").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") == FOLDS)
+    pooled = not texts.select("lang").distinct().join(complete, "lang", "left_anti").isEmpty()
+    model = train(trusted, pooled)
+    named = _small(names.select("lang", (FOLDS - 1 - F.col("fold")).alias("fold"), F.lit(True).alias("own_model")), BROADCAST_NAMES)
+    other = F.lit(FOLDS - 1) - F.col("fold")
+    key = F.when(F.col("own_model"), _model_key(F.col("lang"), other)).when(other.isin(folds) & F.lit(pooled), _model_key(F.lit(POOLED), other))
+    scored = _scored(texts.join(named, ["lang", "fold"], "left").withColumn("model", key), model)
+    held = scored.filter(F.col("id").isNotNull()).select("id", "lang", "bits").join(ids, "id").select("lang", "bits", "good")
+    limit = _small(limits(held, wanted), BROADCAST_NAMES)
+    out = scored.join(limit, "lang", "left")
+    kept = F.coalesce(F.col("bits") <= F.col("threshold"), F.lit(True))
+    power = lambda c: F.pow(F.lit(2.0), F.col(c))
+    return out.select("own", power("bits").alias("perplexity"), power("threshold").alias("threshold"), kept.alias("kept")).select("own.*", "perplexity", "threshold", "kept")

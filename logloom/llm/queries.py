@@ -59,7 +59,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return quality_lm.quality(docs, read(spark, sf_dir, "labels")).drop("text")
+    return quality_lm.quality(docs, read(spark, sf_dir, "labels"), carry=("doc_id", "lang"))
 
 
 def op10_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,16 +92,16 @@ def test_bpe_frame(docs, no_docs):
     assert bpe.encode(no_docs).count() == 0
 
 
-def kneser_ney(texts):
-    """Brute-force interpolated modified Kneser-Ney over byte trigrams."""
+def kneser_ney(texts, order=5):
+    """Brute-force interpolated modified Kneser-Ney over byte n-grams."""
     from collections import Counter, defaultdict
 
-    tri = Counter()
+    counts = {order: Counter()}
     for t in texts:
-        d = b"\n\n" + t.encode()
-        tri.update(d[i : i + 3] for i in range(len(d) - 2))
-    bi = Counter(g[1:] for g in tri)
-    uni = Counter(g[1:] for g in bi)
+        d = b"\n" * (order - 1) + t.encode()
+        counts[order].update(d[i : i + order] for i in range(len(d) - order + 1))
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
 
     def discounts(c):
         n = [0] + [sum(v == k for v in c.values()) for k in range(1, 5)]
@@ -115,7 +115,7 @@ def kneser_ney(texts):
         return out
 
     tables = []
-    for c in (uni, bi, tri):
+    for c in (counts[k] for k in range(1, order + 1)):
         d, total, left = discounts(c), Counter(), defaultdict(float)
         for g, n in c.items():
             total[g[:-1]] += n
@@ -135,26 +135,32 @@ def kneser_ney(texts):
     return p
 
 
-def perplexity(p, text):
-    d = b"\n\n" + text.encode()
-    return 2 ** (-sum(np.log2(p(d[i : i + 3])) for i in range(len(d) - 2)) / (len(d) - 2))
+def perplexity(p, text, order=5):
+    d = b"\n" * (order - 1) + text.encode()
+    return 2 ** (-sum(np.log2(p(d[i : i + order])) for i in range(len(d) - order + 1)) / (len(d) - order + 1))
 
 
-def test_quality_model(spark):
-    clean = [(i, prose(i, 30), "en" if i % 2 else "de", "s", 0) for i in range(40)]
-    odd = [(100, "###$$$%%% ZZZ!! QQQ" * 5, "en", "s", 0), (101, None, "en", "s", 0), (102, "", None, "s", 0), (103, prose(3, 20), "fr", "s", 0), (None, prose(4, 20), "en", "s", 0), (3, prose(3, 30), "en", "s", 0)]
+@pytest.mark.parametrize("head", [1 << 18, 300, 0])
+def test_quality_model(spark, monkeypatch, head):
+    """However much of the model is sent to the tasks and however much is joined."""
+    monkeypatch.setattr(quality_lm, "HEAD_ENTRIES", head)
+    monkeypatch.setattr(quality_lm, "STEP", 700)
+    clean = [(i, prose(i, 30), "en" if i % 2 else "de", "s", 0) for i in range(60)]
+    odd = [(100, "###$$$%%% ZZZ!! QQQ" * 5, "en", "s", 0), (101, None, "en", "s", 0), (102, "", None, "s", 0), (103, prose(3, 20), "fr", "s", 0), (None, prose(4, 20) + " ünï 日本", "en", "s", 0), (3, prose(3, 30), "en", "s", 0)]
     docs = spark.createDataFrame(clean + odd, SCHEMA)
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(100, 0, 0), (100, 1, 0), (None, 1, 0), (5, None, None)], "doc_id bigint, quality int, toxic int")
-    rows = quality_lm.quality(docs.withColumn("kept", F.lit(7)), labels).collect()
-    assert len(rows) == len(clean) + len(odd)
-    english = kneser_ney([t for i, t, lang, *_ in clean if lang == "en"] + [prose(3, 30)])
-    pooled = kneser_ney([t for _, t, *_ in clean] + [prose(3, 30)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(100, 0, 0), (100, 1, 0), (None, 1, 0), (5, None, None)], "doc_id bigint, quality int, toxic int")
+    named = {c: F.lit(7) for c in ("kept", "bits", "model", "own", "row", "fold", "good", "sum", "_lang", "_text", "_limit")}
+    rows = quality_lm.quality(docs.withColumns(named), labels).collect()
+    assert len(rows) == len(clean) + len(odd) and {r["bits"] for r in rows} == {7}
+    fold = {r["text"]: r["f"] for r in docs.select("text", quality_lm._fold(F.coalesce("text", F.lit(""))).alias("f")).collect()}
+    trusted = [(t, lang) for _, t, lang, *_ in [*clean, odd[-1]]]  # a null label says nothing
+    models = {(f, x): kneser_ney([t for t, lang in trusted if fold[t] == f and x in (lang, None)]) for f in (0, 1) for x in ("en", "de", None)}
     for r in rows:
-        model = {"en": english, "fr": pooled}.get(r["lang"])
-        if model and r["text"]:
-            assert r["perplexity"] == pytest.approx(perplexity(model, r["text"]), rel=1e-4)
+        if r["text"]:
+            model = models[1 - fold[r["text"]], r["lang"] if r["lang"] != "fr" else None]
+            assert r["perplexity"] == pytest.approx(perplexity(model, r["text"]), rel=1e-6)
     kept = {r["doc_id"]: r["kept"] for r in rows}
-    assert not kept[100] and all(kept[i] for i in (*range(40), 101, 102, 103, None))
+    assert not kept[100] and all(kept[i] for i in (101, 102, 103)) and sum(kept[i] for i in range(60)) >= 54
     assert all(r["perplexity"] is None for r in rows if not r["text"])
 
 
@@ -186,13 +192,13 @@ def test_quality_limit_follows_the_bad_documents(spark):
     good = [("a", v / 1000, True) for v in range(1000, 2000)] + [("b", v / 1000, True) for v in range(1000, 2000)]
     bad = [("a", 1.96, False)] * 5 + [("b", 5.0, False)] * 5
     odd = [("c", 1.0, True)] * 29 + [("c", 30.0, True)] + [("d", 1.0, True)] * 19
-    rows = quality_lm.limits(spark.createDataFrame(good + bad + odd, "_lang string, bits double, _good boolean")).collect()
-    assert {r["_lang"]: r["threshold"] for r in rows} == pytest.approx({"a": 1.949, "b": 1.998, "c": 1.0}, abs=2e-3)
+    rows = quality_lm.limits(spark.createDataFrame(good + bad + odd, "lang string, bits double, good boolean")).collect()
+    assert {r["lang"]: r["threshold"] for r in rows} == pytest.approx({"a": 1.949, "b": 1.998, "c": 1.0}, abs=2e-3)
 
 
 def test_quality_quantile_is_the_rank(spark):
     values = [(("a", v / 1000)) for v in range(1, 1001)]
-    row = quality_lm.quantiles(spark.createDataFrame(values, "_lang string, bits double"), 0.9).first()
+    row = quality_lm.quantiles(spark.createDataFrame(values, "lang string, bits double"), 0.9).first()
     assert row["threshold"] == 0.9
 
 
