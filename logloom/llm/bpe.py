@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logloom.llm.common import unused
 from logloom.llm.pretokenize import pieces_of, ranks_of
 
 MEMO_ENTRIES = 400_000  # pieces and pairs remembered in a worker, each
@@ -165,7 +166,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_pairs(path)
         for batch in batches:
-            coded = [bpe.encode(x or "") for x in batch.column("_text").to_pylist()]
+            coded = [bpe.encode(x or "") for x in batch.columns[-1].to_pylist()]
             offsets = np.zeros(len(coded) + 1, np.int32)
             np.cumsum([len(x) // 4 for x in coded], out=offsets[1:])
             values = pa.array(np.frombuffer(b"".join(coded), np.int32), pa.int32())
@@ -174,7 +175,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dec
                 columns.append(pa.array([bpe.decode(np.frombuffer(x, np.uint32).tolist()) for x in coded], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*rest, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in rest), F.col(text_col).alias(unused(docs, "_text")[0])).mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:

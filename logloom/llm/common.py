@@ -24,16 +24,29 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with further underscores where df has such a column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; one of our own only where it
-    is unset (tests)."""
+    is unset in local mode (tests). Elsewhere a local folder would not be shared."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logloom.llm.common import unused
+
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("url", "iban", "account", "secret")
 KINDS = BASE + ADDED
@@ -214,7 +216,7 @@ def pii(docs: DataFrame, text_col: str = "text", redacted: bool = False) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x or "" for x in batch.column("_text").to_pylist()]
+            texts = [x or "" for x in batch.columns[-1].to_pylist()]
             found = [find_spans(x) for x in texts]
             named = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans] for spans in found]
             columns = [*batch.columns[:-1], pa.array(named, _ARROW_SPANS)]
@@ -222,7 +224,7 @@ def pii(docs: DataFrame, text_col: str = "text", redacted: bool = False) -> Data
                 columns.append(pa.array([redact(t, s) if s else t for t, s in zip(texts, found, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    out = docs.select(*rest, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    out = docs.select(*(F.col(f"`{c}`") for c in rest), F.col(text_col).alias(unused(docs, "_text")[0])).mapInArrow(run, schema)
     kinds = F.transform("spans", lambda s: s["kind"])
     return out.withColumns({f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in BASE})
 
