@@ -5,8 +5,9 @@ of bounded size; nothing is shuffled and no block depends on another, so a lost
 task is simply run again. Sequence ids hold the partition's number in their
 upper bits, so they are unique without coordination.
 
-karmarkar_karp (op4) balances windows by multiway differencing; best_fit (op3)
-places pieces by best fit decreasing.
+karmarkar_karp (op4) balances windows by multiway differencing and cuts only
+documents that fill a whole window; best_fit (op3) places pieces by best fit
+decreasing.
 
 Null text is an empty document, which still has its end id. Rows are packed as
 they come: repeated rows, null ids and ties each get pieces of their own, and
@@ -37,9 +38,10 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 
 
 def token_ids(text: str, path: str, end_id: int = END_ID) -> np.ndarray:
-    """uint32 ids of the text and the end id. The encoder reads the ranks out of
-    the tokenizer's file and gives the same ids as the file's own library."""
-    ids = encoder(path).encode_to_numpy(text, disallowed_special=())
+    """uint32 ids of the text and the end id. The encoder reads ranks and added tokens out
+    of the tokenizer's file and gives the same ids as the file's own library, which
+    takes the added tokens' strings in a text for these tokens."""
+    ids = encoder(path).encode_to_numpy(text, allowed_special="all")
     return np.append(ids, np.uint32(end_id)).astype("<u4", copy=False)
 
 
@@ -92,30 +94,24 @@ def balanced_windows(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
-class _Pieces:
-    """Cuts documents into pieces and gathers the ones that share windows in blocks."""
+class _Blocks:
+    """Gathers the rests of documents until they fill a block of windows."""
 
-    def __init__(self, capacity: int, longest: int, windows: int, slack: int):
-        self.capacity, self.longest, self.share = capacity, longest, windows
-        self.goal = windows * (capacity - slack)
+    def __init__(self, capacity: int, windows: int):
+        self.capacity, self.goal = capacity, windows * capacity
         self.held: list[tuple] = []
         self.total = 0
 
-    def cut(self, doc: tuple, ids: np.ndarray) -> Iterator[list[list[tuple]]]:
-        """Full windows at once, then blocks of windows as they fill."""
-        at, end = 0, len(ids)
-        while end - at >= self.capacity:
-            yield [[(doc, at, ids[at : at + self.capacity], end)]]
-            at += self.capacity
-        while at < end:
-            # Shorter pieces as the block fills: differencing levels the windows with them.
-            room = self.goal - self.total
-            length = min(self.longest, end - at, max(1, room // self.share))
-            self.held.append((doc, at, ids[at : at + length], end))
-            self.total += length
-            at += length
-            if self.total == self.goal:
-                yield self.flush()
+    def add(self, doc: int | None, ids: np.ndarray) -> Iterator[list[tuple]]:
+        """Windows of pieces (doc, start, ids, doc_tokens): whole ones at once, others as a block fills."""
+        whole = len(ids) - len(ids) % self.capacity
+        for at in range(0, whole, self.capacity):
+            yield [(doc, at, ids[at : at + self.capacity], len(ids))]
+        if whole < len(ids):
+            self.held.append((doc, whole, ids[whole:], len(ids)))
+            self.total += len(ids) - whole
+            if self.total >= self.goal:
+                yield from self.flush()
 
     def flush(self) -> list[list[tuple]]:
         held, self.held, self.total = self.held, [], 0
@@ -143,17 +139,16 @@ def karmarkar_karp(
     docs: DataFrame,
     path: str | None = None,
     capacity: int = CAPACITY,
-    longest: int = 1024,
-    windows: int = 32,
-    slack: int = 1,
+    windows: int = 128,
     with_ids: bool = True,
 ) -> DataFrame:
     """doc_id, start, length, ids (little-endian uint32, or null without with_ids),
     ids_crc32, doc_tokens, sequence_id and offset of each piece.
 
-    A document fills whole windows first; the rest of it is cut into pieces of
-    at most `longest` ids. Blocks of `windows` windows hold capacity - slack ids
-    a window, so that near-equal sums stay within capacity.
+    A document of at least `capacity` ids fills whole windows first. What is left,
+    and any shorter document, is one piece; pieces are gathered until they would
+    fill `windows` windows and are dealt to as few windows as differencing keeps
+    within capacity, starting from the least number that could hold them.
     """
     path = path or public_tokenizers.path(DEFAULT_FILE)
 
@@ -162,12 +157,11 @@ def karmarkar_karp(
         sequence = count((task.partitionId() if task else 0) << 40)
 
         def dealt() -> Iterator[list[tuple]]:
-            pieces = _Pieces(capacity, longest, windows, slack)
+            blocks = _Blocks(capacity, windows)
             for batch in batches:
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    for block in pieces.cut(doc, token_ids(text or "", path)):
-                        yield from block
-            yield from pieces.flush()
+                    yield from blocks.add(doc, token_ids(text or "", path))
+            yield from blocks.flush()
 
         def rows() -> Iterator[tuple]:
             for window in dealt():
@@ -309,5 +303,16 @@ def position_ids(cu_lengths: list[int], capacity: int = CAPACITY) -> np.ndarray:
 
 
 def write_matrices(sequences: DataFrame, path: str) -> None:
-    """Write packed sequences as Parquet, a matrix row and its segments per row."""
-    sequences.write.mode("overwrite").parquet(path)
+    """Write packed sequences as Parquet, a matrix row and its segments per row.
+
+    Rows are stored in the order of sequence_id inside each file and without
+    compression, so that a loader maps whole column chunks of ids.
+    """
+    sequences.sortWithinPartitions("sequence_id").write.mode("overwrite").option("compression", "none").parquet(path)
+
+
+def matrix(rows: pa.Table, capacity: int = CAPACITY) -> np.ndarray:
+    """The id matrix of written sequences that were read into memory, one row each."""
+    ids = b"".join(rows.column("input_ids").to_pylist())
+    kind = "<u2" if len(ids) == 2 * capacity * len(rows) else "<u4"
+    return np.frombuffer(ids, kind).reshape(len(rows), capacity)

@@ -19,9 +19,18 @@ def ranks_of(path: str) -> dict[bytes, int]:
         if not path.endswith(".json"):
             return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         spec = json.load(file)
-    special = {x["content"] for x in spec.get("added_tokens", [])}
+    added = {x["content"] for x in spec.get("added_tokens", [])}
     to_byte = _printable_bytes()
-    return {bytes(to_byte[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in special}
+    return {bytes(to_byte[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in added}
+
+
+@lru_cache(maxsize=4)
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that a .json file adds to its vocabulary; a .tiktoken file has none."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, "rb") as file:
+        return {x["content"]: x["id"] for x in json.load(file).get("added_tokens", [])}
 
 
 def _printable_bytes() -> dict[str, int]:
@@ -34,7 +43,7 @@ def _printable_bytes() -> dict[str, int]:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens=added_tokens(path))
 
 
 #: The public pattern for texts in which letters, digits and blanks are what the
