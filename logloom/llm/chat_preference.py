@@ -19,33 +19,31 @@ from pyspark.sql import functions as F
 OPEN, BREAK, CLOSE = "<|", "|>\n", "<|end|>\n"
 
 
-def conversations(turns: DataFrame) -> DataFrame:
-    """conv_id, turns array<struct<role, text>> in order."""
-    one = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return (
-        turns.filter(F.col("conv_id").isNotNull())
-        .groupBy("conv_id")
-        .agg(F.sort_array(F.collect_set(one)).alias("_turns"))
-        .select("conv_id", F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
-    )
+_TURN = "struct<role:string,text:string>"
 
 
 def reply_pairs(turns: DataFrame) -> DataFrame:
-    """conv_id, chosen, rejected: each conversation up to its last reply, and the
-    same with that reply exchanged for the last reply of its neighbour
-    (ids 2k and 2k + 1 are neighbours).
+    """conv_id, chosen, rejected: each conversation, and the same with its last
+    reply exchanged for the last reply of its neighbour (ids 2k and 2k + 1 are
+    neighbours).
 
-    Without a neighbour's reply the rejected reply is empty; a conversation
-    without a reply is its own rejected one.
+    Turns after the last reply stay on both sides. Without a neighbour's reply the
+    rejected reply is empty; a conversation without a reply is its own rejected one.
+    Neighbours are gathered together, in one shuffle.
     """
-    whole = conversations(turns).withColumn("_last", F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), "assistant") + 1)
-    whole = whole.withColumn("_has", F.array_contains(F.transform("turns", lambda t: t["role"]), "assistant"))
-    replies = whole.filter("_has").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.get("turns", F.col("_last").cast("int") - 1)["text"].alias("_other"))
-    joined = whole.join(replies, "conv_id", "left")
-    chosen = F.when(F.col("_has"), F.slice("turns", F.lit(1), F.col("_last").cast("int"))).otherwise(F.col("turns"))
-    other = F.struct(F.lit("assistant").alias("role"), F.coalesce("_other", F.lit("")).alias("text"))
-    rejected = F.when(F.col("_has"), F.concat(F.slice("turns", F.lit(1), F.col("_last").cast("int") - 1), F.array(other))).otherwise(F.col("turns"))
-    return joined.select("conv_id", chosen.alias("chosen"), rejected.alias("rejected"))
+    one = F.struct("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    both = turns.filter(F.col("conv_id").isNotNull()).groupBy(F.shiftright("conv_id", 1).alias("pair")).agg(F.sort_array(F.collect_set(one)).alias("all"))
+    ids = F.array_distinct(F.transform("all", lambda t: t["conv_id"]))
+    bare = lambda of: F.transform(F.filter("all", of), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    each = both.select("all", F.explode(ids).alias("conv_id"))
+    own = each.select("conv_id", bare(lambda t: t["conv_id"] == F.col("conv_id")).alias("turns"), bare(lambda t: (t["conv_id"] != F.col("conv_id")) & (t["role"] == "assistant")).alias("others"))
+    last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), "assistant").cast("int") + 1
+    has = F.exists("turns", lambda t: t["role"] == "assistant")
+    placed = own.select("conv_id", "turns", F.when(has, last).alias("last"), F.coalesce(F.try_element_at("others", F.lit(-1))["text"], F.lit("")).alias("other"))
+    reply = F.array(F.struct(F.lit("assistant").alias("role"), F.col("other").alias("text")).cast(_TURN))
+    before = F.slice("turns", F.lit(1), F.col("last") - 1)
+    after = F.slice("turns", F.col("last") + 1, F.size("turns"))
+    return placed.select("conv_id", F.col("turns").alias("chosen"), F.when(F.col("last").isNotNull(), F.concat(before, reply, after)).otherwise(F.col("turns")).alias("rejected"))
 
 
 def _segments(turns: Column) -> Column:

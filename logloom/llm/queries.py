@@ -102,7 +102,7 @@ OP10_SQL = """
 WITH own AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, role, text FROM conversations
 ), ends AS (
-  SELECT conv_id, max(pos) AS n_all, max(pos) FILTER (WHERE role = 'assistant') AS last FROM own GROUP BY conv_id
+  SELECT conv_id, max(pos) FILTER (WHERE role = 'assistant') AS last FROM own GROUP BY conv_id
 ), replies AS (
   SELECT o.conv_id, o.text FROM own o JOIN ends e ON o.conv_id = e.conv_id AND o.pos = e.last
 ), turns AS (
@@ -110,7 +110,6 @@ WITH own AS (
          CASE WHEN o.pos = e.last THEN coalesce(r.text, '') ELSE o.text END AS rejected_text
   FROM own o JOIN ends e ON o.conv_id = e.conv_id
   LEFT JOIN replies r ON r.conv_id = xor(o.conv_id, 1)
-  WHERE o.pos <= coalesce(e.last, e.n_all)
 ), shared AS (
   SELECT conv_id, coalesce(min(pos) FILTER (WHERE chosen_text <> rejected_text) - 1, max(pos)) AS n FROM turns GROUP BY conv_id
 ), rendered AS (
