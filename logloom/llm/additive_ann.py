@@ -9,10 +9,12 @@ decides which others are still worth an exact look. No number of candidates is
 fixed beforehand.
 
 Nearness is the inner product in double precision, ties go to the smaller id.
-Vectors that are null or zero, hold null or non-finite components, have a null
-id or not the most common length (the smaller of equally common ones) take no
-part. Of rows that repeat an id the smallest vector counts. Extra columns are
-left out. An empty table has an empty result.
+Vectors that are null or zero, hold null or non-finite components or have a null
+id take no part; nor do those that have no inner product with the table's, being
+not of the most common length (the smaller of equally common ones). Each row is a
+query or a candidate of its own: rows that repeat an id are found and asked for
+like any other, and query_row tells their answers apart. Extra columns are left
+out. An empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -38,9 +40,9 @@ SIGMAS = 2.5  # of a code's error that count as possible
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, vector array<double> of the rows that take part."""
+    """row (a number), vec_id, vector array<double> of the rows that take part."""
     x = F.col(vector_col).cast("array<double>")
-    rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), x.alias("vector"))
+    rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), x.alias("vector"))
     sound = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)
     rows = rows.filter(sound)
     length = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -89,29 +91,26 @@ def encode(vectors: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np
     return codes[np.arange(n), first], np.sqrt(last[np.arange(n), first])
 
 
-_BLOCK = "block int, n int, ids binary, vectors binary, codes binary, errors binary"
+_BLOCK = "block int, n int, rows binary, ids binary, vectors binary, codes binary, errors binary"
 
 
 def _blocks(vectors: DataFrame, number: int, books=None) -> DataFrame:
     """One row for each block of vectors, ids in order; with codes if books is a broadcast."""
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
-        ids = table.column("vec_id").to_numpy()
-        flat = table.column("vector").combine_chunks()
-        x = np.asarray(flat.flatten()).reshape(len(ids), -1)
-        order = np.lexsort((*x.T[::-1], ids))
-        ids, x = ids[order], x[order]
-        once = np.append(True, ids[1:] != ids[:-1])
-        ids, x = ids[once], np.ascontiguousarray(x[once])
+        flat = np.asarray(table.column("vector").combine_chunks().flatten())
+        own, ids = (table.column(c).to_numpy() for c in ("row", "vec_id"))
+        order = np.lexsort((own, ids))
+        own, ids, x = own[order], ids[order], flat.reshape(len(ids), -1)[order]
         codes = errors = None
         if books is not None:
             parts = [encode(x[i : i + 1024], books.value) for i in range(0, len(x), 1024)]
             codes, errors = (np.concatenate(p) for p in zip(*parts, strict=True))
-        values = [key[0].as_py(), len(ids), ids.tobytes(), x.tobytes(), codes.tobytes() if codes is not None else None, errors.tobytes() if errors is not None else None]
-        types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table({name: pa.array([v], t) for name, v, t in zip(("block", "n", "ids", "vectors", "codes", "errors"), values, types, strict=True)})
+        values = [key[0].as_py(), len(ids), own.tobytes(), ids.tobytes(), x.tobytes(), codes.tobytes() if codes is not None else None, errors.tobytes() if errors is not None else None]
+        types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        return pa.table({name: pa.array([v], t) for name, v, t in zip(("block", "n", "rows", "ids", "vectors", "codes", "errors"), values, types, strict=True)})
 
-    hashed = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(number)).cast("int"))
+    hashed = vectors.withColumn("block", F.pmod(F.xxhash64("row", F.lit(11)), F.lit(number)).cast("int"))
     return hashed.groupBy("block").applyInArrow(pack, _BLOCK)
 
 
@@ -120,8 +119,8 @@ def exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(1)
 
 
-def search_block(query_ids, queries, ids, vectors, codes, errors, books, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query of a block: ids and exact scores of the block's k nearest found."""
+def search_block(query_rows, queries, rows, ids, vectors, codes, errors, books, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query of a block: places and exact scores of the block's k nearest found."""
     tables = queries.astype(np.float32) @ books.reshape(-1, books.shape[2]).T
     tables = tables.reshape(len(queries), len(books), -1)
     approx = np.zeros((len(queries), len(ids)), np.float32)
@@ -130,7 +129,7 @@ def search_block(query_ids, queries, ids, vectors, codes, errors, books, k: int)
     least = max(FIRST, k)  # so that the exact score of a k-th is always known
     spread = errors * (SIGMAS / np.sqrt(vectors.shape[1]))
     for i, query in enumerate(queries):
-        score, own = approx[i], ids == query_ids[i]
+        score, own = approx[i], rows == query_rows[i]
         score[own] = -np.inf
         first = np.arange(len(ids))
         if len(ids) > least + 1:
@@ -146,45 +145,52 @@ def search_block(query_ids, queries, ids, vectors, codes, errors, books, k: int)
             also = np.flatnonzero(more)
             first = np.append(first, also)
             exact = np.append(exact, exact_scores(vectors[also], query))
-        order = np.lexsort((ids[first], -exact))[:k]
-        yield query_ids[i], ids[first[order]], exact[order]
+        order = np.lexsort((rows[first], ids[first], -exact))[:k]
+        yield first[order], exact[order]
 
 
-_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_FOUND = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def search(vectors: DataFrame, is_query=None, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each query row, itself apart.
+    """query_row, query_id, rank, vec_id, score: the k nearest found of each query row, itself apart.
 
     is_query: condition on the id column; every 20th id unless given.
     """
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    empty = spark.createDataFrame([], "query_row bigint, query_id bigint, rank int, vec_id bigint, score double")
     rows = checkpointed(valid_vectors(vectors, id_col, vector_col))
     condition = is_query if is_query is not None else F.pmod(F.col("vec_id"), F.lit(20)) == 0
     counted = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(condition).alias("q")).first()
     if not counted["q"]:
         return empty
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow().column("vector").combine_chunks()
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).select("vector").toArrow().column("vector").combine_chunks()
     books = fit_codebooks(np.asarray(sample.flatten()).reshape(len(sample), -1))
     sent = spark.sparkContext.broadcast(books)  # LEVELS * WORDS vectors
 
     data_blocks, query_blocks = -(-counted["n"] // DATA_BLOCK), -(-counted["q"] // QUERY_BLOCK)
     data = _blocks(rows, data_blocks, sent)
-    queries = _blocks(rows.filter(condition), query_blocks).select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
+    queries = _blocks(rows.filter(condition), query_blocks).select(F.col("block").alias("query_block"), F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
     # Query blocks, the smaller side, are dealt to every data block: the grid is Q x N by nature.
-    grid = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1)))).join(data, "block")
+    # Where data blocks are few, each is given out several times, to different query blocks.
+    times = min(query_blocks, -(-2 * spark.sparkContext.defaultParallelism // data_blocks))
+    data = data.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1)))).withColumn("turn", F.col("query_block") % times)
+    grid = queries.join(data, ["block", "turn"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = sent.value
         for batch in batches:
             for row in batch.to_pylist():
-                ids, query_ids = (np.frombuffer(row[c], np.int64) for c in ("ids", "query_ids"))
+                own, ids, query_rows, query_ids = (np.frombuffer(row[c], np.int64) for c in ("rows", "ids", "query_rows", "query_ids"))
                 x, q = (np.frombuffer(row[c], np.float64).reshape(m, -1) for c, m in (("vectors", len(ids)), ("queries", len(query_ids))))
                 codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
-                found = list(search_block(query_ids, q, ids, x, codes, np.frombuffer(row["errors"], np.float32), books, k))
-                of = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-                yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))], schema=_FOUND)
-
-    found = grid.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-    return found.selectExpr("query_id", "CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank", "vec_id", "score").filter(F.col("rank") <= k)
+                found = list(search_block(query_rows, q, own, ids, x, codes, np.frombuffer(row["errors"], np.float32), books, k))
+                of = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                place = np.concatenate([f[0] for f in found])
+                columns = query_rows[of], query_ids[of], own[place], ids[place], np.concatenate([f[1] for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_FOUND)
+
+    found = grid.mapInArrow(run, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double")
+    rank = "CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, row) AS INT) AS rank"
+    return found.selectExpr("query_row", "query_id", rank, "vec_id", "score").filter(F.col("rank") <= k)

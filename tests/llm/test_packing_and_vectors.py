@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from samples import prose, rows
@@ -19,12 +20,11 @@ PATH = public_tokenizers.path(packing.DEFAULT_FILE)
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
 
 
 def test_ids_equal_the_tokenizers_library(library):
-    texts = ["", "a", "<|endoftext|> x", "🙂 日本\n\n  ünï", " " * 300, prose(1, 200), "x" * 5000]
+    texts = ["", "a", "<|endoftext|> x", "<|endoftext|>", "a <|endoftext|><|endoftext|>b <|endoftext", "🙂 日本\n\n  ünï", " " * 300, prose(1, 200), "x" * 5000]
     assert all(packing.token_ids(t, PATH).tolist() == library(t) for t in texts)
 
 
@@ -72,18 +72,26 @@ def test_window_count_rises_when_capacity_is_exceeded():
     assert packing.balanced_windows([], 10) == []
 
 
-def test_little_padding():
+def test_little_padding_and_few_cuts():
     random.seed(1)
-    pieces, windows = packing._Pieces(2048, 1024, 32, 1), []
-    total = 0
-    for d in range(1500):
-        n = int(random.lognormvariate(6.8, 1)) + 1
-        total += n
-        for block in pieces.cut((d,), np.zeros(n, "<u4")):
-            windows += block
-    windows += pieces.flush()
-    assert sum(len(p[2]) for w in windows for p in w) == total
-    assert 1 - total / (len(windows) * 2048) < 0.005
+    blocks, windows = packing._Blocks(2048, 128), []
+    sizes = [int(random.lognormvariate(6.4, 1)) + 1 for _ in range(3000)]
+    for d, n in enumerate(sizes):
+        windows += blocks.add(d, np.zeros(n, "<u4"))
+    windows += blocks.flush()
+    assert all(sum(len(p[2]) for p in w) <= 2048 for w in windows)
+    assert sum(len(p[2]) for w in windows for p in w) == sum(sizes)
+    assert 1 - sum(sizes) / (len(windows) * 2048) < 0.04
+    # Only documents longer than a window are cut, and only by it.
+    assert sum(len(w) for w in windows) == sum(-(-n // 2048) for n in sizes)
+
+
+def test_count_rises_in_the_operator(spark):
+    """Five documents of 1,100 ids would fill three windows, but no two of them share one."""
+    docs = spark.createDataFrame([(i, "a " * 1099 + "b") for i in range(5)], "doc_id bigint, text string").coalesce(1).withColumn("sequence_id", F.lit("mine"))
+    got = packing.karmarkar_karp(docs).collect()
+    assert {r["length"] for r in got} == {r["doc_tokens"] for r in got} and 1024 < got[0]["length"] < 2048
+    assert len(got) == len({r["sequence_id"] for r in got}) == 5
 
 
 def brute_best_fit(sizes, capacity):
@@ -111,7 +119,8 @@ def test_best_fit_decreasing_equals_brute_force():
 
 def test_best_fit_is_lossless(docs, no_docs, library):
     pieces = {}
-    for r in packing.best_fit(docs).collect():
+    clashing = docs.withColumns({c: F.lit("mine") for c in ("sequence_id", "input_ids", "n_tokens", "starts")})
+    for r in packing.best_fit(clashing).collect():
         ids = np.frombuffer(r["input_ids"], "<u2")
         assert len(ids) == packing.CAPACITY and r["cu_lengths"][0] == 0 and r["cu_lengths"][-1] == r["n_tokens"] <= packing.CAPACITY
         assert (ids[r["n_tokens"] :] == 0).all()
@@ -119,12 +128,28 @@ def test_best_fit_is_lossless(docs, no_docs, library):
         assert np.flatnonzero(position == 0).tolist() == r["position_resets"]
         for doc, start, a, b in zip(r["doc_ids"], r["starts"], r["cu_lengths"], r["cu_lengths"][1:], strict=False):
             pieces.setdefault(doc, []).append((start, ids[a:b].tolist()))
+    # Documents of one id, and those without, are told apart by their pieces.
+    want = {}
     for doc, text, *_ in rows():
-        if doc not in (None, 20):
-            assert [x for _, part in sorted(pieces[doc]) for x in part] == library(text or "")
+        ids = library(text or "")
+        want.setdefault(doc, []).extend((at, ids[at : at + packing.CAPACITY]) for at in range(0, len(ids), packing.CAPACITY))
+    assert {d: sorted(p) for d, p in pieces.items()} == {d: sorted(p) for d, p in want.items()}
     assert packing.best_fit(no_docs).count() == 0
 
 
+def test_written_matrices(docs, library, tmp_path):
+    packing.write_matrices(packing.best_fit(docs), str(tmp_path / "m"))
+    table = pq.read_table(str(tmp_path / "m"))
+    ids, found = packing.matrix(table), []
+    assert ids.shape == (table.num_rows, packing.CAPACITY)
+    for i, r in enumerate(table.to_pylist()):
+        position = packing.position_ids(r["cu_lengths"])
+        assert np.flatnonzero(position == 0).tolist() == r["position_resets"] and (ids[i, r["n_tokens"] :] == 0).all()
+        found += [ids[i, a:b].tolist() for a, b in zip(r["cu_lengths"], r["cu_lengths"][1:], strict=False)]
+    want = [library(t or "") for _, t, *_ in rows()]
+    assert sorted(found) == sorted(x[at : at + packing.CAPACITY] for x in want for at in range(0, len(x), packing.CAPACITY))
+
+
 def brute_nearest(ids, x, k):
     out = {}
     for i, q in zip(ids, x, strict=True):
@@ -145,7 +170,8 @@ def test_nearest_neighbours(spark, monkeypatch):
     ids = np.arange(3000)
     data = [(int(i), [float(v) for v in r]) for i, r in zip(ids, x, strict=True)]
     odd = [(5000, None), (5020, [0.0] * 24), (5040, [float("nan")] * 24), (5060, [None] + [1.0] * 23), (None, [1.0] * 24), (5080, [1.0] * 7)]
-    df = spark.createDataFrame(data + odd + [data[40]], "vec_id bigint, embedding array<double>").withColumn("score", F.lit("mine"))
+    df = spark.createDataFrame(data + odd, "vec_id bigint, embedding array<double>")
+    df = df.withColumns({c: F.lit("mine") for c in ("score", "row", "block", "vector", "rank")})
     got = {}
     for r in additive_ann.search(df, F.col("vec_id") % 20 == 0, 20).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
@@ -168,11 +194,22 @@ def test_more_neighbours_than_first_candidates():
     books = additive_ann.fit_codebooks(x, words=16)
     codes, errors = additive_ann.encode(x, books)
     ids = np.arange(300)
-    for of, found, scores in additive_ann.search_block(ids[:5], x[:5], ids, x, codes, errors, books, 100):
+    for of, (found, scores) in enumerate(additive_ann.search_block(ids[:5], x[:5], ids, ids, x, codes, errors, books, 100)):
         assert len(set(found) - {of}) == len(found) == 100
         assert scores[0] == max(additive_ann.exact_scores(np.delete(x, of, 0), x[of]))
 
 
+def test_rows_that_repeat_an_id(spark):
+    """Each is a query and a candidate, and only a query's own row is left out."""
+    data = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.25]), (1, [0.5, 0.25]), (0, [1.0, 0.0])]
+    got = {}
+    for r in additive_ann.search(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), k=20).orderBy("query_row", "rank").collect():
+        got.setdefault(r["query_row"], []).append((r["query_id"], r["rank"], r["vec_id"], r["score"]))
+    a = [(0, 1, 0, 1.0), (0, 2, 1, 0.5), (0, 3, 1, 0.5), (0, 4, 0, 0.0)]
+    b = [(0, 1, 1, 0.25), (0, 2, 1, 0.25), (0, 3, 0, 0.0), (0, 4, 0, 0.0)]
+    assert sorted(got.values()) == sorted([a, a, b])
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
     assert [(r["rank"], r["vec_id"]) for r in additive_ann.search(few, k=20).orderBy("rank").collect()] == [(1, 1), (2, 2)]
@@ -190,6 +227,7 @@ def test_beam_search_is_no_worse_than_greedy():
 
 
 def test_pipeline(spark, docs, tmp_path):
+    docs = docs.withColumns({c: F.lit("mine") for c in ("_own", "spans", "redacted", "n_email", "own", "_id", "_sha")})
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     labels = spark.createDataFrame([(i, 1, 0) for i in (1, 2, 3, 6, 9, 10, 13, 19)], "doc_id bigint, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
@@ -198,7 +236,7 @@ def test_pipeline(spark, docs, tmp_path):
     kept = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         at = corpus_pipeline.written(stage(spark, at, str(tmp_path)))
-        assert at.columns == docs.columns
+        assert at.columns == docs.columns and {r["spans"] for r in at.select("spans").distinct().collect()} == {"mine"}
         kept[name] = {r["doc_id"]: r["text"] for r in at.collect()}
     assert {1, 2, 3, 6, 9, 10, 13, 19} <= set(kept["quality"])
     # 20 repeats the text of 1 and 2; of 6, 7 and 8 the near-duplicate class keeps one.

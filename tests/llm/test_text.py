@@ -48,7 +48,7 @@ def test_added_kinds_and_redaction():
 
 
 def test_pii_frame(docs, no_docs):
-    out = pii.pii(docs.withColumn("spans", F.lit(1)), redacted=True)
+    out = pii.pii(docs.withColumns({"spans": F.lit(1), "_text": F.lit(2)}), redacted=True)
     row = out.filter("doc_id = 13").first()
     assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"]) == (1, 1, 1, 1)
     assert row["redacted"] == "mail [EMAIL] or [PHONE], ip [IP], card [CARD]."
@@ -82,7 +82,7 @@ def test_plain_pattern_classes_agree():
 
 
 def test_bpe_frame(docs, no_docs):
-    out = bpe.encode(docs.withColumn("ids", F.lit("mine")), decoded=True)
+    out = bpe.encode(docs.withColumns({"ids": F.lit("mine"), "_text": F.lit(2)}), decoded=True)
     got = out.select("text", "ids", "decoded").collect()
     assert len(got) == len(rows())
     for r in got:
@@ -215,8 +215,8 @@ def test_preference_pairs(spark):
     out = {r["conv_id"]: r for r in chat_preference.preference_format(chat_preference.reply_pairs(df.withColumn("extra", F.lit(1)))).collect()}
     assert set(out) == {0, 1, 4, 6}
     row = out[0]
-    assert (row["n_prompt_turns"], row["prompt"], row["chosen"], row["rejected"]) == (1, "<|user|>\nhi<|end|>\n", "<|assistant|>\nyes<|end|>\n", "<|assistant|>\nno<|end|>\n")
-    assert (row["chosen_mask"], row["rejected_mask"], row["trainable"]) == ("14:0,11:1", "14:0,10:1", True)
+    assert (row["n_prompt_turns"], row["prompt"], row["chosen"], row["rejected"]) == (1, "<|user|>\nhi<|end|>\n", "<|assistant|>\nyes<|end|>\n<|user|>\nmore?<|end|>\n", "<|assistant|>\nno<|end|>\n<|user|>\nmore?<|end|>\n")
+    assert (row["chosen_mask"], row["rejected_mask"], row["trainable"]) == ("14:0,11:1,9:0,13:0", "14:0,10:1,9:0,13:0", True)
     assert (out[4]["trainable"], out[4]["chosen"], out[4]["n_prompt_turns"]) == (False, "", 2)
     assert (out[6]["trainable"], out[6]["n_prompt_turns"]) == (False, 2)
 
