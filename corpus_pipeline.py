@@ -6,7 +6,8 @@ data is replaced, and what is left is packed. All but the last return the
 columns of documents.
 
 Rows without a doc_id can't be told apart by later joins and are never dropped
-as near duplicates; an empty table passes through every stage.
+as near duplicates; an empty table passes through every stage. Of repeated rows
+one goes on. Columns of documents may have any further names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.common import compacted, lower_ascii, read, written
+from logloom.llm.common import compacted, lower_ascii, read, unused, written
 from logloom.llm.exact_dedup import exact_dedup
 from logloom.llm.near_dedup import content, near_classes, words_of
 from logloom.llm.packing import karmarkar_karp
@@ -40,31 +41,34 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last of equal texts; of equal texts with one id a single row."""
+    """The last of equal texts; of repeated rows a single one."""
     marked = exact_dedup(docs).filter("group_size > 1").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept")
-    own = docs.withColumn("_own", F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)))
-    same = lambda d, g: d["doc_id"].eqNullSafe(g["_id"]) & (d["_own"] == g["_sha"])
-    gone = _sent(marked.filter(~F.col("kept")).select("_id", "_sha"))
+    # Rows of one id and one text can't be told apart: all of them go, or one of them stays.
+    told = compacted(marked.groupBy("_id", "_sha").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("n")))
+    gone, again = _sent(told.filter("NOT stays").select("_id", "_sha")), _sent(told.filter("stays AND n > 1").select("_id", "_sha"))
+    digest = unused(docs, "_own")[0]
+    own = docs.withColumn(digest, F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)))
+    same = lambda d, g: d["doc_id"].eqNullSafe(g["_id"]) & (d[digest] == g["_sha"])
     out = own.join(gone, same(own, gone), "left_anti")
-    again = _sent(marked.filter("kept").groupBy("_id", "_sha").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_id", "_sha"))
     if again.isEmpty():
         return out.select(docs.columns)
-    once = out.join(again, same(out, again), "left_semi").groupBy("doc_id", "_own").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    once = out.join(again, same(out, again), "left_semi").groupBy("doc_id", digest).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return out.join(again, same(out, again), "left_anti").select(docs.columns).unionByName(once)
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each near-duplicate class; rows that share an id are told apart by their words."""
     gone = _sent(near_classes(docs, with_content=True).filter("doc_id <> class_id").select(F.col("doc_id").alias("_id"), F.col("content").alias("_sha")).distinct())
-    own = docs.withColumn("_own", content(words_of(F.coalesce("text", F.lit("")))))
-    return own.join(gone, (own["doc_id"] == gone["_id"]) & (own["_own"] == gone["_sha"]), "left_anti").select(docs.columns)
+    digest = unused(docs, "_own")[0]
+    own = docs.withColumn(digest, content(words_of(F.coalesce("text", F.lit("")))))
+    return own.join(gone, (own["doc_id"] == gone["_id"]) & (own[digest] == gone["_sha"]), "left_anti").select(docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
-    out = pii(docs, redacted=True)
-    out = out.withColumns({"text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")})
-    return out.select(docs.columns)
+    out = pii(docs.select(F.struct(*docs.columns).alias("own"), "text"), redacted=True)
+    new = {"text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")}
+    return out.select(*(new.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
