@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.sources.tables import read_table
+
 #: ASCII white space that is stripped from line ends (fixed values).
 ASCII_BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return read_table(spark, sf_dir, name, *columns)
 
 
 def text_of(column: str = "text") -> Column:

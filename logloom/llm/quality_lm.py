@@ -40,11 +40,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.common import compacted, written
+from logloom.llm.common import checkpointed, compacted, written
 
 ORDER = 5
 FOLDS = 2  # a text's model is the other one's
@@ -53,7 +54,8 @@ HEAD_ENTRIES = 1 << 18  # of the model that are sent to tasks, 40 bytes each
 BROADCAST_IDS = 4_000_000  # at most 32 MB of ids; more are joined by a shuffle
 BROADCAST_NAMES = 100_000  # languages and models; more are joined by a shuffle
 CHUNK = 1 << 22  # grams sorted at a time
-STEP = 1 << 20  # bytes scored at a time
+STEP = 1 << 17  # bytes scored at a time
+SLICE = 1 << 22  # bytes of texts laid out at a time, or one text
 BINS = 1000  # of a bit per byte, for quantiles
 #: The language name of the model of all trusted text; '\0' is in no language name.
 POOLED = "\0"
@@ -96,26 +98,39 @@ def label_ids(labels: DataFrame) -> DataFrame:
 # Training
 
 
+def _sliced(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows again, with at most SLICE bytes of text at a time, or one row."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+        ends, at = np.cumsum(sizes), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts' bytes, ORDER - 1 edge bytes before each, and where each text's bytes start (one more at the end)."""
     column = column.cast(pa.large_string())
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(buffers[2], np.uint8)[offsets[0] : offsets[-1]] if buffers[2] is not None else np.zeros(0, np.uint8)
-    sizes, pad = np.diff(offsets), ORDER - 1
-    starts = np.append(0, np.cumsum(sizes + pad)) + pad
-    out = np.full(len(data) + pad * len(sizes), EDGE, np.uint8)
-    out[np.arange(len(data)) + np.repeat(pad * np.arange(1, len(sizes) + 1), sizes)] = data
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
+    pad = ORDER - 1
+    starts = np.append(0, np.cumsum(np.diff(offsets) + pad)) + pad
+    out = np.full(int(starts[-1]) - pad, EDGE, np.uint8)
+    for to, a, b in zip(starts.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=False):
+        out[to : to + b - a] = data[a:b]
     return out, starts
 
 
 def _codes(data: np.ndarray) -> np.ndarray:
     """The ORDER bytes that end at each byte of data from its ORDER-th on, as one number."""
-    n = len(data) - ORDER + 1
-    out = np.zeros(max(n, 0), np.int64)
-    for k in range(ORDER if n > 0 else 0):
-        out = out << 8 | data[k : k + n]
-    return out
+    if len(data) < ORDER:
+        return np.zeros(0, np.int64)
+    one = data.astype(np.int64)
+    two = one[:-1] << 8 | one[1:]
+    four = two[:-2] << 16 | two[2:]
+    return four[:-1] << 8 | one[4:]
 
 
 _COUNTS = pa.schema([("model", pa.int64()), ("code", pa.int64()), ("n", pa.int64())])
@@ -130,7 +145,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes.pop(model)
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), model)), pa.array(codes), pa.array(n)], schema=_COUNTS)
 
-    for batch in batches:
+    for batch in _sliced(batches, "text"):
         data, starts = _padded(batch.column(1))
         ends = starts[1:] - ORDER + 1
         for model, start, end in zip(batch.column(0).to_pylist(), starts[:-1].tolist(), ends.tolist(), strict=True):
@@ -141,7 +156,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if sizes[model] >= CHUNK:
                     yield counted(model)
         # Bounded also where models are many.
-        if sum(sizes.values()) >= 4 * CHUNK:
+        if sum(sizes.values()) >= 2 * CHUNK:
             for model in list(held):
                 yield counted(model)
     for model in list(held):
@@ -149,63 +164,60 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
-    """model, d1, d2, d3 of one order."""
+    """model, level, d1, d2, d3 of every order."""
     of = lambda k: F.count_if(F.col("n") == k).cast("double").alias(f"n{k}")
     n1, n2, n3, n4 = (F.col(f"n{k}") for k in range(1, 5))
     y = n1 / (n1 + 2 * n2)
     # Where a count of counts is missing, the discount is the one of an even decay.
     rule = lambda k, a, b: F.coalesce(F.when((a > 0) & (b > 0), F.greatest(F.lit(0.0), F.least(F.lit(float(k)), k - (k + 1) * y * b / a))), F.lit(k - 0.25))
-    found = counts.groupBy("model").agg(*(of(k) for k in range(1, 5)))
-    return _small(found.select("model", rule(1, n1, n2).alias("d1"), rule(2, n2, n3).alias("d2"), rule(3, n3, n4).alias("d3")), BROADCAST_NAMES)
-
+    found = counts.groupBy("model", "level").agg(*(of(k) for k in range(1, 5)))
+    return _small(found.select("model", "level", rule(1, n1, n2).alias("d1"), rule(2, n2, n3).alias("d2"), rule(3, n3, n4).alias("d3")), BROADCAST_NAMES)
 
-def _order(counts: DataFrame, lower: DataFrame | None, order: int) -> tuple[DataFrame, DataFrame]:
-    """(model, code, n, p, delta) of one order's grams and (model, context, weight).
 
-    counts: model, code, n; lower: model, code, p of the order below. A context
-    has at most 256 followers, so none is a hot key.
-    """
-    counts = counts.withColumn("context", F.shiftright("code", 8)).join(_discounts(counts), "model")
-    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    weights = compacted(counts.groupBy("model", "context").agg(F.sum("n").alias("total"), (F.sum(d) / F.sum("n")).alias("weight")))
-    seen = counts.withColumn("rest", F.greatest(F.col("n") - d, F.lit(0.0))).join(weights, ["model", "context"])
-    if lower is None:
-        below = seen.withColumn("below", F.lit(1 / 256))
-    else:
-        suffix = lower.select("model", F.col("code").alias("suffix"), F.col("p").alias("below"))
-        below = seen.withColumn("suffix", F.col("code").bitwiseAND(F.lit(_mask(order - 1)))).join(suffix, ["model", "suffix"])
-    backed = F.col("weight") * F.col("below")
-    grams = below.select("model", "code", "n", (F.col("rest") / F.col("total") + backed).alias("p"), (F.log2(F.col("rest") / F.col("total") + backed) - F.log2(backed)).alias("delta"))
-    return compacted(grams), weights.select("model", "context", "weight")
+def _all_orders(counts: DataFrame) -> DataFrame:
+    """model, level, code, n of every order: occurrences of the highest, continuations of the others."""
+    own, out = counts, counts.select("model", F.lit(ORDER).alias("level"), "code", "n")
+    for k in range(ORDER - 1, 0, -1):
+        own = own.groupBy("model", F.col("code").bitwiseAND(F.lit(_mask(k))).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(own.select("model", F.lit(k).alias("level"), "code", "n"))
+    return out
 
 
 def train(trusted: DataFrame, pooled: bool = False) -> DataFrame:
     """The model of trusted texts (lang, fold, text): model, code, n, full, delta, gamma (log2).
 
-    n: occurrences of the gram that a sum over trusted text would look up. A gram
-    that is only a context has null full and delta.
+    n: how often training would look the gram up. A gram that is only a context
+    has null full and delta. A context has at most 256 followers, so none is a
+    hot key.
     """
     parts = trusted.select(_model_key(F.col("lang"), F.col("fold")).alias("model"), "text").mapInArrow(_count, "model bigint, code bigint, n bigint")
     if pooled:
         every = trusted.select(_model_key(F.lit(POOLED), F.col("fold")).alias("model"), "text").mapInArrow(_count, "model bigint, code bigint, n bigint")
         parts = parts.unionByName(every)
-    counts = {ORDER: compacted(parts.groupBy("model", "code").agg(F.sum("n").alias("n")))}
-    for k in range(ORDER - 1, 0, -1):
-        suffix = F.col("code").bitwiseAND(F.lit(_mask(k))).alias("code")
-        counts[k] = compacted(counts[k + 1].groupBy("model", suffix).agg(F.count(F.lit(1)).alias("n")))
-    entries, lower = None, None
-    for k in range(1, ORDER + 1):
-        lower, weights = _order(counts[k], lower, k)
-        tag = lambda c, order: F.col(c).bitwiseOR(F.lit(order << ORDER_SHIFT)).alias("code")
-        grams = lower.select("model", tag("code", k), "n", F.log2("p").alias("full"), "delta", F.lit(None).cast("double").alias("gamma"))
-        none = F.lit(None).cast("double")
-        contexts = weights.select("model", tag("context", k - 1), F.lit(0).cast("long").alias("n"), none.alias("full"), none.alias("delta"), F.log2(F.greatest("weight", F.lit(1e-12))).alias("gamma"))
-        part = grams.unionByName(contexts)
-        entries = part if entries is None else entries.unionByName(part)
-    merged = entries.groupBy("model", "code").agg(*(F.max(c).alias(c) for c in ("n", "full", "delta", "gamma")))
+    counts = written(_all_orders(parts.groupBy("model", "code").agg(F.sum("n").alias("n"))))
+    counts = counts.withColumn("context", F.shiftright("code", 8)).join(_discounts(counts), ["model", "level"])
+    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    weights = written(counts.groupBy("model", "level", "context").agg(F.sum("n").alias("total"), (F.sum(d) / F.sum("n")).alias("weight")))
+    share = F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total")
+    seen = written(counts.join(weights, ["model", "level", "context"]).select("model", "level", "code", "n", share.alias("share"), "weight"))
+    tag = lambda c, level: F.col(c).bitwiseOR(F.shiftleft(level.cast("long"), ORDER_SHIFT)).alias("code")
+    none = F.lit(None).cast("double")
     # The empty context is looked up wherever a first byte is unknown, and no table ranks it.
-    n = F.when(F.shiftright("code", ORDER_SHIFT) == 0, F.lit((1 << 62))).otherwise(F.col("n"))
-    return written(merged.withColumn("n", n).repartition("model", "code"))
+    n = F.when(F.col("level") == 1, F.lit(1 << 62)).otherwise(F.lit(0)).alias("n")
+    entries = weights.select("model", tag("context", F.col("level") - 1), n, none.alias("full"), none.alias("delta"), F.log2(F.greatest("weight", F.lit(1e-12))).alias("gamma"))
+    lower = None
+    for k in range(1, ORDER + 1):
+        grams = seen.filter(F.col("level") == k)
+        if lower is None:
+            grams = grams.withColumn("below", F.lit(1 / 256))
+        else:
+            suffix = lower.select("model", F.col("code").alias("suffix"), F.col("p").alias("below"))
+            grams = grams.withColumn("suffix", F.col("code").bitwiseAND(F.lit(_mask(k - 1)))).join(suffix, ["model", "suffix"])
+        backed = F.col("weight") * F.col("below")
+        p = F.col("share") + backed
+        lower = written(grams.select("model", "code", "n", p.alias("p"), (F.log2(p) - F.log2(backed)).alias("delta")))
+        entries = entries.unionByName(lower.select("model", tag("code", F.lit(k)), "n", F.log2("p").alias("full"), "delta", none.alias("gamma")))
+    return written(entries.groupBy("model", "code").agg(*(F.max(c).alias(c) for c in ("n", "full", "delta", "gamma"))))
 
 
 def split_head(model: DataFrame) -> tuple[pa.Table, DataFrame]:
@@ -255,7 +267,8 @@ class Head:
 
     @staticmethod
     def keys(model: np.ndarray, code: np.ndarray) -> np.ndarray:
-        return _mix(_mix(code.astype(np.uint64)) + model.view(np.uint64))
+        with np.errstate(over="ignore"):
+            return _mix(code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ model.view(np.uint64))
 
     def find(self, model: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Number of the entry of each gram, -1 where there is none."""
@@ -314,7 +327,8 @@ def score_batch(head: Head, models: np.ndarray, valid: np.ndarray, texts: pa.Arr
     keys, numbers = [], []
     # The text that a byte belongs to; edge bytes belong to none.
     owner = np.full(len(data), -1, np.int32)
-    owner[np.arange(int(sizes.sum())) + np.repeat(starts[:-1] - (np.cumsum(sizes) - sizes), sizes)] = np.repeat(np.where(valid, np.arange(len(sizes)), -1), sizes)
+    for i in np.flatnonzero(valid).tolist():
+        owner[starts[i] : starts[i] + sizes[i]] = i
     for at in range(0, len(data), STEP):
         own = owner[at : at + STEP]
         ends = np.flatnonzero(own >= 0)
@@ -350,7 +364,7 @@ def _scored(texts: DataFrame, model: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = Head(*sent.value)
-        for batch in batches:
+        for batch in _sliced(batches, "text"):
             of = batch.column("model")
             known = np.asarray(of.is_valid())
             models = np.asarray(of.fill_null(0)).astype(np.int64)
@@ -412,7 +426,7 @@ def quality(docs: DataFrame, labels: DataFrame, wanted: tuple[float, ...] = QUAN
     )
     ids = label_ids(labels)
     trusted = texts.select("id", "lang", "fold", "text").join(ids, "id").filter("good")
-    names = compacted(trusted.groupBy("lang", "fold").agg(F.count(F.lit(1)).alias("n")))
+    names = checkpointed(trusted.groupBy("lang", "fold").agg(F.count(F.lit(1)).alias("n")))
     folds = [r["fold"] for r in names.select("fold").distinct().collect()]  # at most FOLDS
     if not folds:
         none = F.lit(None).cast("double")

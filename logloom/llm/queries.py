@@ -12,12 +12,12 @@ from logloom.llm.common import read
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3)
+    out = line_dedup.line_dedup(read(spark, sf_dir, "documents", "doc_id", "text"), min_chars=20, min_docs=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pii.pii(read(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
     return out.select(
         "doc_id",
@@ -28,11 +28,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packing.best_fit(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op4_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.karmarkar_karp(read(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False).drop("ids")
+    return packing.karmarkar_karp(read(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False).drop("ids")
 
 
 def op5_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,15 +40,15 @@ def op5_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_classes(read(spark, sf_dir, "documents"))
+    return near_dedup.near_classes(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), decoded=True)
+    coded = bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -58,7 +58,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = read(spark, sf_dir, "documents", "doc_id", "lang", "text")
     return quality_lm.quality(docs, read(spark, sf_dir, "labels"), carry=("doc_id", "lang"))
 
 
