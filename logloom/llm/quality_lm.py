@@ -1,7 +1,7 @@
-"""Quality classifier: interpolated modified Kneser-Ney over byte 5-grams.
+"""Quality classifier: interpolated modified Kneser-Ney over byte 4-grams.
 
 Models are trained on all trusted text. Tasks reduce their texts to counts of
-5-grams; continuation counts, discounts, back-off weights and the interpolated
+4-grams; continuation counts, discounts, back-off weights and the interpolated
 probabilities of every order are joins and aggregates of the count tables,
 sharded by model and gram, which grow with the trusted text.
 
@@ -47,10 +47,10 @@ from pyspark.sql import types as T
 
 from logloom.llm.common import checkpointed, compacted, written
 
-ORDER = 5
+ORDER = 4
 FOLDS = 2  # a text's model is the other one's
 QUANTILES = (0.95, 0.98, 0.99, 0.995, 0.999)  # of held-out scores; a language has one of these
-HEAD_ENTRIES = 1 << 18  # of the model that are sent to tasks, 40 bytes each
+HEAD_ENTRIES = 1 << 19  # of the model that are sent to tasks, 40 bytes each
 BROADCAST_IDS = 4_000_000  # at most 32 MB of ids; more are joined by a shuffle
 BROADCAST_NAMES = 100_000  # languages and models; more are joined by a shuffle
 CHUNK = 1 << 22  # grams sorted at a time
@@ -128,9 +128,11 @@ def _codes(data: np.ndarray) -> np.ndarray:
     if len(data) < ORDER:
         return np.zeros(0, np.int64)
     one = data.astype(np.int64)
-    two = one[:-1] << 8 | one[1:]
-    four = two[:-2] << 16 | two[2:]
-    return four[:-1] << 8 | one[4:]
+    n = len(one) - ORDER + 1
+    out = one[:n]
+    for k in range(1, ORDER):
+        out = out << 8 | one[k : k + n]
+    return out
 
 
 _COUNTS = pa.schema([("model", pa.int64()), ("code", pa.int64()), ("n", pa.int64())])

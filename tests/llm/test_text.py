@@ -92,7 +92,7 @@ def test_bpe_frame(docs, no_docs):
     assert bpe.encode(no_docs).count() == 0
 
 
-def kneser_ney(texts, order=5):
+def kneser_ney(texts, order=quality_lm.ORDER):
     """Brute-force interpolated modified Kneser-Ney over byte n-grams."""
     from collections import Counter, defaultdict
 
@@ -135,12 +135,12 @@ def kneser_ney(texts, order=5):
     return p
 
 
-def perplexity(p, text, order=5):
+def perplexity(p, text, order=quality_lm.ORDER):
     d = b"\n" * (order - 1) + text.encode()
     return 2 ** (-sum(np.log2(p(d[i : i + order])) for i in range(len(d) - order + 1)) / (len(d) - order + 1))
 
 
-@pytest.mark.parametrize("head", [1 << 18, 300, 0])
+@pytest.mark.parametrize("head", [1 << 19, 300, 0])
 def test_quality_model(spark, monkeypatch, head):
     """However much of the model is sent to the tasks and however much is joined."""
     monkeypatch.setattr(quality_lm, "HEAD_ENTRIES", head)
