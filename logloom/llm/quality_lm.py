@@ -196,7 +196,7 @@ def train(trusted: DataFrame, pooled: bool = False) -> DataFrame:
     if pooled:
         every = trusted.select(_model_key(F.lit(POOLED), F.col("fold")).alias("model"), "text").mapInArrow(_count, "model bigint, code bigint, n bigint")
         parts = parts.unionByName(every)
-    counts = written(_all_orders(parts.groupBy("model", "code").agg(F.sum("n").alias("n"))))
+    counts = written(_all_orders(written(parts.groupBy("model", "code").agg(F.sum("n").alias("n")))))
     counts = counts.withColumn("context", F.shiftright("code", 8)).join(_discounts(counts), ["model", "level"])
     d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     weights = written(counts.groupBy("model", "level", "context").agg(F.sum("n").alias("total"), (F.sum(d) / F.sum("n")).alias("weight")))
