@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +15,25 @@ from logloom.sources import schemas
 KEYS = ("source_file", "line_no")
 
 
+#: Source files of a load up to which the stored rows are narrowed to these files.
+NAMED_FILES = 1000
+
+
+def _path(spark: SparkSession, path: str):
+    """The path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, store = _path(spark, path)
+    store.delete(at, True)
+
+
 def table(spark: SparkSession, warehouse: str, name: str, schema: str) -> DataFrame:
     """A table of the warehouse, empty where nothing was written yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse}/{name}")
-    exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(schema).parquet(f"{warehouse}/{name}") if exists else spark.createDataFrame([], schema)
+    at, store = _path(spark, f"{warehouse}/{name}")
+    return spark.read.schema(schema).parquet(f"{warehouse}/{name}") if store.exists(at) else spark.createDataFrame([], schema)
 
 
 def absent(new: DataFrame, existing: DataFrame, *keys: str) -> DataFrame:
@@ -26,40 +41,64 @@ def absent(new: DataFrame, existing: DataFrame, *keys: str) -> DataFrame:
     return new.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
 
 
+def runs(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The audit table: one row per run, closed where the run came to its end."""
+    states = table(spark, warehouse, "ingest_runs", schemas.RUNS)
+    newest = F.max_by(F.struct("*"), F.coalesce("finished_at", F.lit(datetime(1970, 1, 1, tzinfo=UTC))))
+    return states.groupBy(F.col("run_id").alias("_run")).agg(newest.alias("state")).select("state.*")
+
+
+def _audit(spark: SparkSession, warehouse: str, *row) -> None:
+    spark.createDataFrame([row], schemas.RUNS).coalesce(1).write.mode("append").parquet(f"{warehouse}/ingest_runs")
+
+
 def load(spark: SparkSession, lines: DataFrame, warehouse: str) -> dict[str, int]:
     """Parse lines and append what the tables don't have yet; returns the counts.
 
-    Each table is appended by one job that either commits or leaves no rows, and
-    a repeated load adds nothing, so a load that failed midway is run again.
+    The parsed lines are staged once, by source file. Each table is appended by one
+    job that either commits or leaves no rows, events last, and a repeated load adds
+    nothing, so a load that failed midway, which leaves an open row in the audit
+    table, is run again. Loads into one warehouse follow each other.
     """
     started = datetime.now(UTC)
-    parsed = parse(lines).persist()
+    run_id = (table(spark, warehouse, "ingest_runs", schemas.RUNS).agg(F.max("run_id")).first()[0] or 0) + 1
+    stage = f"{warehouse}/_staged-{uuid4().hex}"
+    columns = [c.split()[0] for c in schemas.LOG_EVENTS.split(", ")]
     try:
-        events, bad = good(parsed), rejects(parsed)
-        columns = [c.split()[0] for c in schemas.LOG_EVENTS.split(", ")]
-        new = absent(events.select(*columns), table(spark, warehouse, "log_events", schemas.LOG_EVENTS), *KEYS)
+        parsed = parse(lines)
+        fits = F.col("reason").isNull()
+        only = lambda c: F.when(fits, F.col(c)).alias(c)  # noqa: E731  rejects aren't masked
+        kept = [c for c in columns if c not in ("source_file", "line_no")]
+        parsed.select("source_file", "line_no", "reason", F.when(~fits, F.col("value")).alias("value"), *map(only, kept)).write.parquet(stage)
+        staged = spark.read.parquet(stage)
+        files = [r[0] for r in staged.select("source_file").distinct().limit(NAMED_FILES + 1).collect()]
+        name = min(files, default=None)
+        _audit(spark, warehouse, run_id, name, None, started, None, 0, 0, 0, 0)
+        own = F.col("source_file").isin(files) if len(files) <= NAMED_FILES else F.lit(True)
+        stored = lambda t, schema: table(spark, warehouse, t, schema).filter(own)
+        events, bad = good(staged), rejects(staged)
         seen = events.groupBy("template_id").agg(F.min("template").alias("template"), F.min("event_time").alias("first_seen"))
-        templates = absent(seen, table(spark, warehouse, "event_templates", schemas.TEMPLATES), "template_id")
-        kept = absent(bad, table(spark, warehouse, "quarantined_lines", schemas.QUARANTINED), *KEYS)
-        counts = parsed.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("parsed")).first()
-        name = parsed.agg(F.min("source_file")).first()[0]
-        inserted = new.count()
-        templates.write.mode("append").parquet(f"{warehouse}/event_templates")
-        kept.write.mode("append").parquet(f"{warehouse}/quarantined_lines")
-        new.write.mode("append").parquet(f"{warehouse}/log_events")
+        absent(seen, table(spark, warehouse, "event_templates", schemas.TEMPLATES), "template_id").write.mode("append").parquet(f"{warehouse}/event_templates")
+        append = lambda df, t: df.write.mode("append").partitionBy("source_file").parquet(f"{warehouse}/{t}")
+        append(absent(bad, stored("quarantined_lines", schemas.QUARANTINED), *KEYS), "quarantined_lines")
+        new = absent(events.select(*columns), stored("log_events", schemas.LOG_EVENTS), *KEYS)
+        held = lambda: stored("log_events", schemas.LOG_EVENTS).count()  # noqa: E731  of file footers
+        before = held()
+        append(new, "log_events")
+        n = held() - before
+        counts = staged.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("parsed")).first()
     finally:
-        parsed.unpersist()
-    out = {"lines_read": counts["read"], "rows_inserted": inserted, "rows_duplicate": counts["parsed"] - inserted, "lines_quarantined": counts["read"] - counts["parsed"]}
-    runs = table(spark, warehouse, "ingest_runs", schemas.RUNS)
-    run_id = (runs.agg(F.max("run_id")).first()[0] or 0) + 1
-    row = (run_id, name, None, started, datetime.now(UTC), *out.values())
-    spark.createDataFrame([row], schemas.RUNS).write.mode("append").parquet(f"{warehouse}/ingest_runs")
+        _delete(spark, stage)
+    out = {"lines_read": counts["read"], "rows_inserted": n, "rows_duplicate": counts["parsed"] - n, "lines_quarantined": counts["read"] - counts["parsed"]}
+    _audit(spark, warehouse, run_id, name, None, started, datetime.now(UTC), *out.values())
     return out
 
 
-def replace_slice(df: DataFrame, warehouse: str, name: str) -> None:
-    """Overwrite the rows of the window sizes that df holds; others stay."""
+def replace_slice(df: DataFrame, warehouse: str, name: str, window_seconds: int) -> None:
+    """Replace the rows of one window size by df's; others stay. No rows leave no slice."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_seconds").parquet(f"{warehouse}/{name}")
+    if df.isEmpty():
+        _delete(df.sparkSession, f"{warehouse}/{name}/window_seconds={window_seconds}")
 
 
 def refresh_windows(spark: SparkSession, warehouse: str, window_seconds: int = 60) -> tuple[int, int]:
@@ -67,17 +106,18 @@ def refresh_windows(spark: SparkSession, warehouse: str, window_seconds: int = 6
     events = table(spark, warehouse, "log_events", schemas.LOG_EVENTS)
     windows = aggregate.window_features(events, window_seconds)
     counts = aggregate.template_counts(events, window_seconds)
-    replace_slice(windows, warehouse, "window_features")
-    replace_slice(counts, warehouse, "window_template_counts")
+    replace_slice(windows, warehouse, "window_features", window_seconds)
+    replace_slice(counts, warehouse, "window_template_counts", window_seconds)
     size = F.col("window_seconds") == window_seconds
-    return tuple(spark.read.parquet(f"{warehouse}/{t}").filter(size).count() for t in ("window_features", "window_template_counts"))
+    rows = lambda df, t: table(spark, warehouse, t, df.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")).filter(size).count()
+    return rows(windows, "window_features"), rows(counts, "window_template_counts")
 
 
 def store_evaluation(predictions: DataFrame, scored: DataFrame, warehouse: str, window_seconds: int) -> None:
     """Replace the stored scores and predictions of one window size."""
     size = F.lit(window_seconds).alias("window_seconds")
-    replace_slice(scored.select(size, *scored.columns), warehouse, "detector_scores")
-    replace_slice(predictions.select(size, "window_start", "detector", "variant", "predicted"), warehouse, "window_predictions")
+    replace_slice(scored.select(size, *scored.columns), warehouse, "detector_scores", window_seconds)
+    replace_slice(predictions.select(size, "window_start", "detector", "variant", "predicted"), warehouse, "window_predictions", window_seconds)
 
 
 def orphans(events: DataFrame, templates: DataFrame) -> DataFrame:

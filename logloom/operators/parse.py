@@ -52,11 +52,10 @@ def parse(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     cut = _once(cut, "_cut", F.struct(line.alias("line"), F.split(strip(line), BLANKS, HEADER_FIELDS + 1).alias("parts")))
     part = lambda i: F.get("_cut.parts", F.lit(i))
     epoch = part(1).try_cast("bigint")
+    out = _once(cut, "_facts", F.struct(_reason(F.col("_cut.line"), F.col("_cut.parts"), epoch).alias("reason"), epoch.alias("epoch")))
     message = F.coalesce(part(HEADER_FIELDS), F.lit(""))
-    facts = F.struct(
-        _reason(F.col("_cut.line"), F.col("_cut.parts"), epoch).alias("reason"), epoch.alias("epoch"), message.alias("message"), mask_message(message).alias("template")
-    )
-    out = _once(cut, "_facts", facts)
+    # Plain columns, so that masks and digests are left out where nobody reads them.
+    template = mask_message(message)
     return out.select(
         "source_file",
         "line_no",
@@ -71,10 +70,10 @@ def parse(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.upper(part(8)).alias("severity"),
         part(0).alias("label"),
         (part(0) != NORMAL_LABEL).alias("is_alert"),
-        template_id(F.col("_facts.template")).alias("template_id"),
-        F.sha2("_facts.message", 256).alias("line_sha256"),
-        "_facts.message",
-        "_facts.template",
+        template_id(template).alias("template_id"),
+        F.sha2(message, 256).alias("line_sha256"),
+        message.alias("message"),
+        template.alias("template"),
     )
 
 

@@ -25,15 +25,15 @@ log AS (
 )"""
 
 
-def _windows(seconds: int = 3600) -> str:
+def _windows(seconds: int = 3600, where: str = "true") -> str:
     return f"""{EVENTS}, win AS (
   SELECT {seconds} AS window_seconds, epoch // {seconds} * {seconds} AS window_start, count(*) AS event_count,
          count(DISTINCT node) AS distinct_nodes, count(DISTINCT template_id) AS distinct_templates, {_COUNTS},
          (count(*) FILTER (WHERE severity NOT IN ('INFO', 'WARNING')))::DOUBLE / count(*) AS error_rate,
          count(*) FILTER (WHERE is_alert) AS alert_count, bool_or(is_alert) AS is_anomalous
-  FROM ev GROUP BY 2
+  FROM ev WHERE {where} GROUP BY 2
 ), tc AS (
-  SELECT {seconds} AS window_seconds, epoch // {seconds} * {seconds} AS window_start, template_id, count(*) AS event_count FROM ev GROUP BY 2, 3
+  SELECT {seconds} AS window_seconds, epoch // {seconds} * {seconds} AS window_start, template_id, count(*) AS event_count FROM ev WHERE {where} GROUP BY 2, 3
 )"""
 
 
@@ -214,6 +214,9 @@ SELECT event_id, message, template, substr(sha1(template), 1, 16) AS template_id
     "replaced_windows": f"""WITH {EVENTS}, f AS (SELECT 3600 AS window_seconds, epoch // 3600 AS w, template_id FROM ev UNION ALL SELECT 300, epoch // 300, template_id FROM ev)
         SELECT 'features' AS tab, window_seconds, count(DISTINCT w) AS n, count(*) AS events FROM f GROUP BY 2
         UNION ALL SELECT 'templates', window_seconds, count(DISTINCT (w, template_id)), count(*) FROM f GROUP BY 2""",
+    "text_lines": f"WITH {EVENTS} SELECT line_no, epoch, node, severity, message, is_alert FROM ev",
+    "text_load_windows": f"WITH {_windows(where='line_no % 10 = 0')} SELECT {_W_COLS} FROM win",
+    "stream_delays": f"WITH {_windows()} SELECT count(*) AS windows, count(*) AS delayed, 0::BIGINT AS ahead FROM win",
     "stream_native_windows": _STREAM,
     "stream_exact_windows": _STREAM,
     "stream_batch_parity": f"WITH {_windows()} SELECT count(*) AS compared, 0::BIGINT AS missing, 0::BIGINT AS unexpected, 0::BIGINT AS different FROM win",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.text import detector_label, mask_message, page_offset, percent, template_id
@@ -12,7 +12,9 @@ from logloom.operators.detect import TRAIN, ZScore
 from logloom.operators.features import Matrix, build_matrix, cutoff, split_parts, top_templates
 from logloom.operators.parse import good, parse, rejects
 from logloom.plans import api
-from logloom.sources.log_text import event_lines
+from logloom.sources.log_text import event_lines, read_lines
+from logloom.sources.schemas import WINDOW_COUNTS
+from logloom.sources.tables import read_table
 from logloom.streaming import exact, native, replay, scoring, sink
 
 HOUR = 3600
@@ -103,7 +105,7 @@ def mask_templates(spark, sf_dir):
         .otherwise(F.concat_ws(" ", F.col("event_type"), n))
     )
     template = mask_message(message)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read_table(spark, sf_dir, "events")
     return events.select("event_id", message.alias("message"), template.alias("template"), template_id(template).alias("template_id"))
 
 
@@ -272,10 +274,6 @@ def rule_zscore_best(spark, sf_dir):
     return _best(_base_predictions(spark, sf_dir))
 
 
-def _one_eval(predictions: DataFrame) -> DataFrame:
-    return evaluate.scores(predictions).drop("ordinal")
-
-
 def logistic_eval(spark, sf_dir):
     from logloom.operators.supervised import logistic_regression
 
@@ -368,7 +366,7 @@ def _reloaded(spark, sf_dir):
 def idempotent_append(spark, sf_dir):
     """Counts of two overlapping loads, as the audit table has them."""
     warehouse, _, _ = _reloaded(spark, sf_dir)
-    return spark.read.parquet(f"{warehouse}/ingest_runs").select("run_id", "lines_read", "rows_inserted", "rows_duplicate", "lines_quarantined")
+    return load.runs(spark, warehouse).select("run_id", "lines_read", "rows_inserted", "rows_duplicate", "lines_quarantined")
 
 
 def loaded_events(spark, sf_dir):
@@ -388,6 +386,30 @@ def replaced_windows(spark, sf_dir):
     return a.select(F.lit("features").alias("tab"), "*").unionByName(b.select(F.lit("templates").alias("tab"), "*"))
 
 
+def _written_log(spark, lines: DataFrame) -> str:
+    """A folder with the lines as text, in their order over several files."""
+    folder = f"{sink.shared_folder(spark)}/log"
+    lines.repartitionByRange(4, "line_no").sortWithinPartitions("line_no").select("value").write.option("lineSep", "\n").text(folder)
+    return folder
+
+
+def text_lines(spark, sf_dir):
+    """Lines read back from text files and numbered through, parsed."""
+    lines = read_lines(spark, _written_log(spark, event_lines(spark, sf_dir)))
+    sizes = lines.groupBy("source_file").agg(F.max("line_no").alias("n"))  # a row a file
+    before = F.coalesce(F.sum("n").over(Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parsed = good(parse(lines)).join(F.broadcast(sizes.select("source_file", before.alias("before"))), "source_file")
+    return parsed.select((F.col("line_no") + F.col("before")).alias("line_no"), "epoch", "node", "severity", "message", "is_alert")
+
+
+def text_load_windows(spark, sf_dir):
+    """A damaged log in text files, loaded and built into hourly windows."""
+    warehouse = sink.shared_folder(spark)
+    load.load(spark, read_lines(spark, _written_log(spark, damaged_lines(spark, sf_dir))), warehouse)
+    load.refresh_windows(spark, warehouse, HOUR)
+    return spark.read.parquet(f"{warehouse}/window_features").drop("window_seconds")
+
+
 # Streams
 
 
@@ -423,6 +445,16 @@ def stream_exact_windows(spark, sf_dir):
     return exact.closed_windows(_exact(spark, sf_dir), HOUR).select(*_SHOWN)
 
 
+def stream_delays(spark, sf_dir):
+    """Windows of the stream's index, read back: those with a delay since production, and those ahead of it."""
+    windows = exact.closed_windows(_exact(spark, sf_dir), HOUR)
+    stats = ZScore(WINDOW_COUNTS, (0.0,) * len(WINDOW_COUNTS), (1.0,) * len(WINDOW_COUNTS))
+    folder = f"{sink.shared_folder(spark)}/index"
+    scoring.documents(scoring.score_windows(windows, stats)).write.parquet(folder)
+    lag = F.col("ingest_lag_ms")
+    return spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("windows"), F.count(lag).alias("delayed"), F.count_if(lag < 0).alias("ahead"))
+
+
 def late_side_output(spark, sf_dir):
     """Late events per window when the second half of the log arrives before the first."""
     folder = sink.shared_folder(spark)

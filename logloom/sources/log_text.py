@@ -5,26 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logloom.sources.tables import read_table
+
 #: Least error values of a failure and of an alert in the events table.
 FAILURE_VALUE, ALERT_VALUE = 100, 200
 
 
+#: Files of a log up to which block offsets, a row each, are sent to the tasks (16 MB at
+#: most); beyond, lines are joined with them by a shuffle.
+BROADCAST_FILES = 100_000
+
+
 def read_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """source_file, line_no (from 1), value: lines end at \\n alone.
 
-    Numbers come from the order inside each file block and the blocks' counts,
-    so a file is not pulled through one task. limit: the first lines of each file.
+    A block's lines are numbered by their order in the scan; a first pass counts
+    the lines of the blocks before. So no text is shuffled or sorted, and a file
+    is not pulled through one task. limit: the first lines of each file.
     """
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
     )
-    counts = lines.groupBy("source_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    counts = lines.groupBy("source_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("source_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("source_file", "_block").orderBy("_at")
-    out = lines.join(starts, ["source_file", "_block"]).select("source_file", (F.col("_before") + F.row_number().over(inside)).cast("long").alias("line_no"), "value")
+    starts = counts.select("source_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    starts = F.broadcast(starts) if len(lines.inputFiles()) <= BROADCAST_FILES else starts
+    out = lines.join(starts, ["source_file", "_block"]).select("source_file", (F.col("_at") + F.col("_shift")).alias("line_no"), "value")
     return out if limit is None else out.filter(F.col("line_no") <= limit)
 
 
@@ -62,4 +70,4 @@ def events_as_lines(events: DataFrame) -> DataFrame:
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_lines(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return events_as_lines(read_table(spark, sf_dir, "events"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,32 +24,76 @@ from logloom.operators.parse import SEVERITIES
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Partitions of a topic unless its source names them.
 PARTITIONS = 6
+_NEVER = 1 << 62  # the earliest start where no window is open
 COUNTS = tuple(f"{s.lower()}_count" for s in SEVERITIES)
 OUT = (
     "kind string, partition int, window_start bigint, event_count bigint, distinct_nodes bigint, distinct_templates bigint, "
     + ", ".join(f"{c} bigint" for c in COUNTS)
-    + ", alert_count bigint, epoch bigint, watermark bigint"
+    + ", alert_count bigint, produced_ms bigint, epoch bigint, watermark bigint"
 )
 _NAMES = [x.split()[0] for x in OUT.split(", ")]
-_FACTS = "event_count bigint, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", alert_count bigint"
+_FACTS = ("event_count", *COUNTS, "alert_count")
+_STATE = ", ".join(f"{c} bigint" for c in _FACTS) + ", produced_ms bigint, nodes binary, templates binary"
+_SEPARATOR = "\0"  # in no node of a line that parses
+
+
+def _packed(values: set[str]) -> bytes:
+    return _SEPARATOR.join(sorted(values)).encode()
+
+
+def _unpacked(values: bytes) -> set[str]:
+    return set(bytes(values).decode().split(_SEPARATOR))
+
+
+class _Window:
+    """What is known of an open window."""
+
+    def __init__(self, facts: np.ndarray, produced_ms: int, nodes: set[str], templates: set[str]):
+        self.facts, self.produced_ms, self.nodes, self.templates = facts, produced_ms, nodes, templates
+
+    def add(self, other: _Window) -> None:
+        self.facts = self.facts + other.facts
+        self.produced_ms = max(self.produced_ms, other.produced_ms)
+        self.nodes |= other.nodes
+        self.templates |= other.templates
+
+    def state(self) -> tuple:
+        return (*map(int, self.facts), self.produced_ms, _packed(self.nodes), _packed(self.templates))
+
+    @staticmethod
+    def of_state(row: tuple) -> _Window:
+        return _Window(np.array(row[: len(_FACTS)], np.int64), row[-3], _unpacked(row[-2]), _unpacked(row[-1]))
+
+
+def _folded(events: pd.DataFrame) -> dict[int, _Window]:
+    """Windows of one chunk of events, counted column by column."""
+    counts = pd.DataFrame({"window_start": events["window_start"], "event_count": 1})
+    for s, c in zip(SEVERITIES, COUNTS, strict=True):
+        counts[c] = (events["severity"] == s).astype(np.int64)
+    counts["alert_count"] = events["is_alert"].astype(np.int64)
+    facts = counts.groupby("window_start")[list(_FACTS)].sum()
+    produced = events.groupby("window_start")["produced_ms"].max().fillna(-1)
+    values = {}
+    for c in ("node", "template_id"):
+        once = events[["window_start", c]].drop_duplicates()
+        values[c] = once.groupby("window_start")[c].agg(set)
+    return {int(w): _Window(f, int(produced[w]), values["node"][w], values["template_id"][w]) for w, f in zip(facts.index, facts.to_numpy(), strict=True)}
 
 
 class WindowProcessor(StatefulProcessor):
-    """State of a partition: its clock, its open windows, and their nodes and templates."""
+    """State of a partition: its clock, and its open windows, an entry each."""
 
     def __init__(self, window_seconds: int, lateness: int, idle_ms: int | None):
         self.window_seconds, self.lateness, self.idle_ms = window_seconds, lateness, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.clock = handle.getValueState("clock", "latest bigint, closed_through bigint")
-        self.open = handle.getMapState("open", "window_start bigint", _FACTS)
-        # One entry per distinct value, so a window's state grows by keys, not by rewritten sets.
-        self.seen = handle.getMapState("seen", "window_start bigint, kind string, value string", "one boolean")
+        self.clock = handle.getValueState("clock", "latest bigint, closed_through bigint, earliest bigint")
+        self.open = handle.getMapState("open", "window_start bigint", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        latest, closed = self.clock.get() if self.clock.exists() else (-1, 0)
-        out, drain = [], False
+        latest, closed, earliest = self.clock.get() if self.clock.exists() else (-1, 0, _NEVER)
+        late, new, drain = [], {}, False
         for batch in rows:
             ends = batch["drain"].astype(bool)
             drain = drain or bool(ends.any())
@@ -56,62 +101,64 @@ class WindowProcessor(StatefulProcessor):
             if not len(events):
                 continue
             latest = max(latest, int(events["epoch"].max()))
-            late = events["window_start"] < closed
-            for _, row in events[late].iterrows():
-                out.append({"kind": "late", "window_start": int(row["window_start"]), "epoch": int(row["epoch"])})
-            for start, part in events[~late].groupby("window_start"):
-                self._fold(int(start), part)
-        for row in out:
-            row["watermark"] = latest - self.lateness
-        windows = [k[0] for k in self.open.keys()]
-        due = sorted(s for s in windows if drain or s + self.window_seconds <= latest - self.lateness)
-        if due:
-            closed = max(closed, due[-1] + self.window_seconds)
-            out += self._close(due)
-        self.clock.update((latest, closed))
+            behind = events["window_start"] < closed
+            late.append(events.loc[behind, ["window_start", "epoch"]])
+            for start, window in _folded(events[~behind]).items():
+                if start in new:
+                    new[start].add(window)
+                else:
+                    new[start] = window
+        earliest = min([earliest, *new])
+        mark, out = latest - self.lateness, []
+        # Open windows are only listed when one of them is due.
+        if drain or earliest + self.window_seconds <= mark:
+            starts = {k[0] for k in self.open.keys()} | set(new)
+            due = sorted(s for s in starts if drain or s + self.window_seconds <= mark)
+            if due:
+                closed = max(closed, due[-1] + self.window_seconds)
+            out = self._close(due, new)
+            earliest = min(starts.difference(due), default=_NEVER)
+        for start, window in new.items():
+            self.open.updateValue((start,), self._known(start, window).state())
+        self.clock.update((latest, closed, earliest))
         if self.idle_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield self._frame(key, out)
+        yield self._frame(key, pd.concat([pd.DataFrame(out, columns=_NAMES), *(x.assign(kind="late", watermark=mark) for x in late)]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        latest, closed = self.clock.get() if self.clock.exists() else (-1, 0)
+        latest, closed, _ = self.clock.get() if self.clock.exists() else (-1, 0, _NEVER)
         due = sorted(k[0] for k in self.open.keys())
         if due:
-            self.clock.update((latest, max(closed, due[-1] + self.window_seconds)))
-        yield self._frame(key, self._close(due))
+            self.clock.update((latest, max(closed, due[-1] + self.window_seconds), _NEVER))
+        yield self._frame(key, pd.DataFrame(self._close(due, {}), columns=_NAMES))
 
     def close(self) -> None:
         pass
 
-    def _fold(self, start: int, part: pd.DataFrame) -> None:
-        severity = part["severity"].value_counts()
-        new = [len(part), *(int(severity.get(s, 0)) for s in SEVERITIES), int(part["is_alert"].sum())]
-        old = self.open.getValue((start,)) if self.open.containsKey((start,)) else [0] * len(new)
-        self.open.updateValue((start,), tuple(int(a) + b for a, b in zip(old, new, strict=True)))
-        for kind in ("node", "template_id"):
-            for value in part[kind].unique():
-                self.seen.updateValue((start, kind, value), (True,))
-
-    def _close(self, due: list[int]) -> list[dict]:
-        if not due:
-            return []
-        ending, distinct = set(due), {(s, k): 0 for s in due for k in ("node", "template_id")}
-        for start, kind, value in list(self.seen.keys()):
-            if start in ending:
-                distinct[start, kind] += 1
-                self.seen.removeKey((start, kind, value))
+    def _known(self, start: int, window: _Window | None) -> _Window:
+        """The window with what the state has of it."""
+        if not self.open.containsKey((start,)):
+            return window
+        known = _Window.of_state(self.open.getValue((start,)))
+        if window is not None:
+            known.add(window)
+        return known
+
+    def _close(self, due: list[int], new: dict[int, _Window]) -> list[dict]:
+        """Rows of the due windows, which leave the state and new."""
         out = []
         for start in due:
-            facts = self.open.getValue((start,))
+            window = self._known(start, new.pop(start, None))
             self.open.removeKey((start,))
-            row = dict(zip(("event_count", *COUNTS, "alert_count"), map(int, facts), strict=True))
-            out.append(row | {"kind": "window", "window_start": start, "distinct_nodes": distinct[start, "node"], "distinct_templates": distinct[start, "template_id"]})
+            row = dict(zip(_FACTS, map(int, window.facts), strict=True))
+            produced = window.produced_ms if window.produced_ms >= 0 else None
+            out.append(row | {"kind": "window", "window_start": start, "distinct_nodes": len(window.nodes), "distinct_templates": len(window.templates), "produced_ms": produced})
         return out
 
-    def _frame(self, key, rows: list[dict]) -> pd.DataFrame:
-        frame = pd.DataFrame([{"partition": key[0]} | r for r in rows], columns=_NAMES)
+    def _frame(self, key, rows: pd.DataFrame) -> pd.DataFrame:
+        frame = rows.reindex(columns=_NAMES).assign(partition=key[0]).reset_index(drop=True)
         return frame.astype({n: "Int64" for n in _NAMES if n not in ("kind", "partition")} | {"partition": "Int32"})
 
 
@@ -119,7 +166,7 @@ def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds:
     """Rows of kind 'window' and 'late' out of a stream of events.
 
     A window's events share a partition, as the topic's key makes them. events
-    may have the columns partition and drain; a record with a true drain closes
+    may have the columns partition, drain and produced_at; a record with a true drain closes
     its partition's windows and carries nothing else.
     """
     if lateness_seconds < 0:
@@ -129,7 +176,8 @@ def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds:
     rows = rows.withColumn("drain", F.coalesce("drain", F.lit(False)) if "drain" in events.columns else F.lit(False))
     own = F.pmod(F.xxhash64("window_start"), F.lit(partitions)).cast("int")
     rows = rows.withColumn("partition", F.coalesce("partition", own) if "partition" in events.columns else own)
-    rows = rows.select("partition", "window_start", "epoch", "node", "template_id", "severity", "is_alert", "drain")
+    produced = F.unix_millis("produced_at") if "produced_at" in events.columns else F.lit(None).cast("long")
+    rows = rows.select("partition", "window_start", "epoch", "node", "template_id", "severity", "is_alert", "drain", produced.alias("produced_ms"))
     processor = WindowProcessor(window_seconds, lateness_seconds, idle_ms)
     mode = "none" if idle_ms is None else "processingTime"
     return rows.groupBy("partition").transformWithStateInPandas(processor, OUT, "append", mode)
@@ -141,6 +189,7 @@ def closed_windows(rows: DataFrame, window_seconds: int) -> DataFrame:
     return out.select(
         F.lit(window_seconds).alias("window_seconds"), "window_start", "event_count", "distinct_nodes", "distinct_templates",
         *COUNTS, "error_rate", "alert_count", (F.col("alert_count") > 0).alias("is_anomalous"), F.lit(0).cast("long").alias("late_events"),
+        F.timestamp_millis("produced_ms").alias("produced_at"),
     )
 
 

@@ -22,7 +22,8 @@ def test_second_load_adds_nothing(spark, tmp_path):
     assert load.load(spark, lines(spark, "a", 30, 2), w) == {"lines_read": 32, "rows_inserted": 0, "rows_duplicate": 30, "lines_quarantined": 2}
     assert load.load(spark, lines(spark, "b", 30), w)["rows_inserted"] == 30
     count = lambda t: spark.read.parquet(f"{w}/{t}").count()
-    assert (count("log_events"), count("quarantined_lines"), count("event_templates"), count("ingest_runs")) == (60, 2, 1, 3)
+    assert (count("log_events"), count("quarantined_lines"), count("event_templates"), load.runs(spark, w).count()) == (60, 2, 1, 3)
+    assert {r["finished_at"] is None for r in load.runs(spark, w).collect()} == {False}
     events = load.table(spark, w, "log_events", schemas.LOG_EVENTS)
     assert load.orphans(events, load.table(spark, w, "event_templates", schemas.TEMPLATES)).isEmpty()
 
@@ -37,6 +38,42 @@ def test_refresh_replaces_one_size(spark, tmp_path):
     assert sums == {60: 30, 300: 30}
 
 
+def test_failed_load_leaves_an_open_run_and_is_run_again(spark, tmp_path, monkeypatch):
+    w = str(tmp_path / "w")
+    monkeypatch.setattr(load, "absent", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load.load(spark, lines(spark, "a", 10), w)
+    assert [r["finished_at"] for r in load.runs(spark, w).collect()] == [None]
+    assert not [x for x in (tmp_path / "w").iterdir() if x.name.startswith("_staged")]
+    monkeypatch.undo()
+    assert load.load(spark, lines(spark, "a", 10), w)["rows_inserted"] == 10
+    assert sorted((r["run_id"], r["finished_at"] is None) for r in load.runs(spark, w).collect()) == [(1, True), (2, False)]
+
+
+def test_a_size_without_rows_loses_its_slice(spark, tmp_path):
+    w = str(tmp_path / "w")
+    rows = spark.createDataFrame([(60, 1), (300, 2)], "window_seconds int, x int")
+    load.replace_slice(rows, w, "t", 60)
+    load.replace_slice(rows.limit(0), w, "t", 60)
+    assert [tuple(r) for r in spark.read.parquet(f"{w}/t").select("window_seconds", "x").collect()] == [(300, 2)]
+
+
+def test_evaluation_is_stored_and_replaced(spark, tmp_path, capsys):
+    log = tmp_path / "x.log"
+    log.write_text("\n".join(r["value"] for r in lines(spark, "x", 90).orderBy("line_no").collect()))
+    base = ["--warehouse", str(tmp_path / "w")]
+    cli.main([*base, "run", str(log)], spark)
+    cli.main([*base, "evaluate"], spark)
+    out = capsys.readouterr().out
+    assert out.count("severity rule") == 2 and "gradient boosting" in out
+    scores = spark.read.parquet(str(tmp_path / "w/detector_scores"))
+    predictions = spark.read.parquet(str(tmp_path / "w/window_predictions"))
+    assert scores.count() == 7 and predictions.select("detector", "variant").distinct().count() == 7
+    assert predictions.count() == 7 * predictions.select("window_start").distinct().count()
+    rule = scores.filter("detector = 'severity rule'").first()
+    assert rule["true_positives"] + rule["false_negatives"] + rule["false_positives"] + rule["true_negatives"] == predictions.select("window_start").distinct().count()
+
+
 def test_read_queries(spark):
     windows = spark.createDataFrame([(60 * i, 5, 1, 1, 0.0, 0, i == 3) for i in range(5)], "window_start bigint, event_count bigint, distinct_nodes bigint, distinct_templates bigint, error_rate double, alert_count bigint, is_anomalous boolean")
     predictions = spark.createDataFrame([(180, "z-score", "all", True), (180, "severity rule", "-", False), (240, "z-score", "all", False)], "window_start bigint, detector string, variant string, predicted boolean")
