@@ -19,10 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = compacted(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
     parts = labels.rdd.getNumPartitions()
     while True:
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        nearer = labels.join(around, labels["node"] == around["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        # Merged, as both sides grow with the links: a broadcast each round would pile up on the driver.
+        around = both.join(labels.hint("merge"), both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        nearer = labels.join(around.hint("merge"), labels["node"] == around["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        moved = nearer.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label"))
+        moved = nearer.join(jump.hint("merge"), "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label"))
         moved = checkpointed(moved.coalesce(parts))
         labels = moved.select("node", "label")
         if moved.filter(F.col("old") != F.col("label")).isEmpty():

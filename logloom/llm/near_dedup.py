@@ -296,22 +296,25 @@ def _draw(node: str) -> Column:
     return F.xxhash64(node)
 
 
-def star_links(buckets: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) of members with centres, and the labels of their components.
+def star_links(buckets: DataFrame, signed: DataFrame) -> DataFrame:
+    """Links (a, b) of members with centres. buckets: key, node, centre.
 
-    buckets: key, node, centre. A group of members that are alike has about one link
-    a member, in however many buckets its members meet.
+    A group of members that are alike has about one link a member, in however many
+    buckets its members meet. The first links, each to an earlier draw, are a forest;
+    a few steps up in it tell most pairs that are joined already.
     """
     first = buckets.groupBy("node").agg(F.min_by("centre", _draw("centre")).alias("centre")).filter("node <> centre")
-    links = compacted(verified(compacted(first.select(*_pair("node", "centre")).distinct()), signed))
-    labels = components(links)
-    apart = _labelled(_labelled(buckets.filter("node <> centre").select("node", "centre").distinct(), labels, "node", "of"), labels, "centre", "to")
-    tested = first.select(*_pair("node", "centre"))
-    others = compacted(apart.filter("of <> to").select(*_pair("node", "centre")).distinct().join(tested, ["a", "b"], "left_anti"))
-    if others.isEmpty():
-        return links, labels
-    links = compacted(links.unionByName(verified(others, signed)))
-    return links, components(links)
+    first = compacted(first)
+    pairs = first.select(*_pair("node", "centre"), (F.col("node") < F.col("centre")).alias("up"))
+    links = compacted(verified(pairs.drop("up"), signed))
+    above = links.join(pairs, ["a", "b"]).select(F.when(F.col("up"), F.col("a")).otherwise(F.col("b")).alias("node"), F.when(F.col("up"), F.col("b")).otherwise(F.col("a")).alias("label"))
+    for _ in range(2):
+        above = above.select("node", F.col("label").alias("over")).transform(lambda df, up=above: _labelled(df, up, "over", "label")).select("node", "label")
+    above = checkpointed(above)
+    apart = _labelled(_labelled(buckets.filter("node <> centre").select("node", "centre").distinct(), above, "node", "of"), above, "centre", "to")
+    others = apart.filter("of <> to").select(*_pair("node", "centre")).distinct()
+    others = compacted(others.join(pairs, ["a", "b"], "left_anti"))
+    return links if others.isEmpty() else compacted(links.unionByName(verified(others, signed)))
 
 
 def near_classes(docs: DataFrame, with_content: bool = False) -> DataFrame:
@@ -322,7 +325,8 @@ def near_classes(docs: DataFrame, with_content: bool = False) -> DataFrame:
     spread = unique.select(F.posexplode("bands").alias("band", "key"), F.col("row").alias("node"), "n_words")
     centres = spread.groupBy("key").agg(F.min_by("node", _draw("node")).alias("centre"), F.count(F.lit(1)).alias("n"))
     buckets = checkpointed(spread.join(centres.filter("n > 1").select("key", "centre"), "key"))
-    links, labels = star_links(buckets, signed)
+    links = star_links(buckets, signed)
+    labels = components(links)
     more = compacted(_rest_of_buckets(buckets.select("key", "band", "node", "n_words"), signed, labels))
     if not more.isEmpty():
         labels = components(links.unionByName(more))

@@ -154,7 +154,8 @@ def test_hot_group_has_about_one_link_a_member(spark):
     signed = near_dedup.written(near_dedup.sign(docs))
     spread = signed.select(F.explode("bands").alias("key"), F.col("row").alias("node"))
     centres = spread.groupBy("key").agg(F.min_by("node", near_dedup._draw("node")).alias("centre"))
-    links, labels = near_dedup.star_links(spread.join(centres, "key"), signed)
+    links = near_dedup.star_links(spread.join(centres, "key"), signed)
+    labels = near_dedup.components(links)
     assert links.count() <= 1.1 * len(data) and labels.select("label").distinct().count() == 1
     assert {(r["class_id"], r["class_size"]) for r in near_dedup.near_classes(docs).collect()} == {(0, 400)}
 
