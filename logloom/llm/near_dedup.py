@@ -224,7 +224,8 @@ def verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs (a, b) whose similarity passes. pairs is read twice: give it written."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     words = _picked(signed, nodes, "words")
-    left, right = words.toDF("a", "wa"), words.toDF("b", "wb")
+    # Merged: both sides grow with the input, and no texts are to pass through the driver.
+    left, right = words.toDF("a", "wa").hint("merge"), words.toDF("b", "wb").hint("merge")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_verify, "a bigint, b bigint")
 
 
@@ -267,7 +268,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
     """Add the component of a column of nodes; a node without links is its own."""
     named = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    joined = rows.join(named, rows[node] == named["_node"], "left")
+    joined = rows.join(named.hint("merge"), rows[node] == named["_node"], "left")
     return joined.select(*rows.columns, F.coalesce("_label", node).alias(label))
 
 
@@ -281,11 +282,11 @@ def _rest_of_buckets(buckets: DataFrame, signed: DataFrame, labels: DataFrame) -
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("words") * 4 / BLOCK_BYTES, F.lit(1.0)))
     open_ = compacted(open_.filter("parts > 1 AND size > 2").select("key", F.col("top.label").alias("top"), blocks.alias("blocks")))
     rows = compacted(placed.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
-    wide = rows.join(_picked(signed, rows, "signature", "words"), "node")
+    wide = rows.join(_picked(signed, rows, "signature", "words").hint("merge"), "node")
     member = F.struct("node", "label", (F.col("label") != F.col("top")).alias("minor"), "signature", "words")
     blocks = checkpointed(wide.groupBy("key", "band", "block").agg(F.collect_list(member).alias("members")))
     minors = blocks.select("key", F.filter("members", lambda m: m["minor"]).alias("minors")).filter(F.size("minors") > 0)
-    return minors.join(blocks, "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
+    return minors.join(blocks.hint("merge"), "key").select("band", "minors", "members").mapInArrow(_compare, "a bigint, b bigint")
 
 
 def _pair(node: str, centre: str) -> list[Column]:
