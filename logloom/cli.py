@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--stats")
     c.add_argument("--window-seconds", type=int, default=60)
     c.add_argument("--lateness", type=int, default=0)
+    c.add_argument("--max-runtime", type=int, help="seconds after which the run stops in good order")
     return parser
 
 
@@ -75,12 +76,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         events = replay.parsed_events(replay.topic_stream(spark, args.topic))
         stats = scoring.load_statistics("".join(r[0] for r in spark.read.text(args.stats, wholetext=True).collect())) if args.stats else None
 
+        columns = (*schemas.DOCUMENT, *schemas.DELAYS) if stats else ()
+
         def prepare(batch):
             windows = exact.closed_windows(batch, args.window_seconds)
             return scoring.documents(scoring.score_windows(windows, stats)) if stats else windows
 
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.PROVIDER)
-        query = sink.run_available(exact.exact_stream(events, args.window_seconds, args.lateness), args.out, prepare=prepare)
+        query = sink.run_available(exact.exact_stream(events, args.window_seconds, args.lateness), args.out, prepare=prepare, columns=columns, max_runtime=args.max_runtime)
         print(json.dumps(sink.progress(query)))
     return 0
 

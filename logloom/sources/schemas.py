@@ -22,6 +22,8 @@ WINDOW_COUNTS = (
 WINDOWS = ("window_seconds", "window_start", *WINDOW_COUNTS, "alert_count", "is_anomalous")
 DOCUMENT = ("window_id", "window_start", "window_end", "window_seconds", *WINDOW_COUNTS, "alert_count", "is_anomalous", "late_events", "zscore", "severity_flag", "zscore_flag", "flagged")
 
+DELAYS = ("produced_at", "indexed_at", "ingest_lag_ms")
+
 
 def require(df: DataFrame, columns: tuple[str, ...], exact: bool = False) -> DataFrame:
     """df, if it has the columns (and no others, if exact)."""

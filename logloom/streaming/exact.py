@@ -167,7 +167,8 @@ def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds:
 
     A window's events share a partition, as the topic's key makes them. events
     may have the columns partition, drain and produced_at; a record with a true drain closes
-    its partition's windows and carries nothing else.
+    its partition's windows and carries nothing else. Both kinds are counted for the
+    run's progress.
     """
     if lateness_seconds < 0:
         raise ValueError(f"allowed_lateness must not be negative, got {lateness_seconds}")
@@ -180,7 +181,8 @@ def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds:
     rows = rows.select("partition", "window_start", "epoch", "node", "template_id", "severity", "is_alert", "drain", produced.alias("produced_ms"))
     processor = WindowProcessor(window_seconds, lateness_seconds, idle_ms)
     mode = "none" if idle_ms is None else "processingTime"
-    return rows.groupBy("partition").transformWithStateInPandas(processor, OUT, "append", mode)
+    out = rows.groupBy("partition").transformWithStateInPandas(processor, OUT, "append", mode)
+    return out.observe("lateness", F.count_if(F.col("kind") == "window").alias("windows"), F.count_if(F.col("kind") == "late").alias("late_events"))
 
 
 def closed_windows(rows: DataFrame, window_seconds: int) -> DataFrame:

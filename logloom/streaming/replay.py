@@ -75,8 +75,9 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int
 
 
 def parsed_events(stream: DataFrame) -> DataFrame:
-    """Events of a stream of records; lines that don't parse are filtered."""
-    return good(parse(stream, keep=("produced_at",)))
+    """Events of a stream of records; lines that don't parse are filtered, and counted for the run's progress."""
+    parsed = parse(stream, keep=("produced_at",))
+    return good(parsed.observe("parse", F.count(F.lit(1)).alias("records"), F.count_if(F.col("reason").isNotNull()).alias("rejected")))
 
 
 def event_time_span(lines: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,11 +37,11 @@ def documents(scored: DataFrame) -> DataFrame:
 
 
 def export_statistics(windows: DataFrame, counts: DataFrame, window_seconds: int = 60, train_fraction: float = 0.7) -> str:
-    """JSON of the z-score statistics of the training windows' base features."""
+    """JSON of the z-score statistics of the training windows' base features; a null threshold flags nothing."""
     matrix = build_matrix(windows, counts, train_fraction, templates=0)
     model = ZScore.fit(matrix)
     head = {"version": VERSION, "window_seconds": window_seconds, "train_fraction": train_fraction}
-    return json.dumps(head | {"feature_names": list(model.features), "mean": list(model.mean), "std": list(model.std), "threshold": model.threshold}, indent=2)
+    return json.dumps(head | {"feature_names": list(model.features), "mean": list(model.mean), "std": list(model.std), "threshold": model.threshold if math.isfinite(model.threshold) else None}, indent=2, allow_nan=False)
 
 
 def load_statistics(text: str) -> ZScore:
@@ -49,4 +50,4 @@ def load_statistics(text: str) -> ZScore:
         raise ValueError(f"statistics version {raw.get('version')}, expected {VERSION}")
     if tuple(raw["feature_names"]) != WINDOW_COUNTS:
         raise ValueError("statistics were made for other features")
-    return ZScore(tuple(raw["feature_names"]), tuple(raw["mean"]), tuple(raw["std"]), raw["threshold"])
+    return ZScore(tuple(raw["feature_names"]), tuple(raw["mean"]), tuple(raw["std"]), math.inf if raw["threshold"] is None else raw["threshold"])

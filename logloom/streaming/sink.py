@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.sources.schemas import require
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one that spark.checkpoint.dir names."""
+    """A new folder under the one that spark.checkpoint.dir names; one of our own
+    only where it is unset in local mode (tests)."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return f"{sc._jsc.sc().getCheckpointDir().get()}/run-{uuid4().hex}"
 
 
-def upsert(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: a batch replaces its own folder, so a repeated delivery changes nothing."""
+def upsert(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, columns: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer: a batch replaces its own folder, so a repeated delivery changes nothing.
+
+    columns: those that a batch must have, and no others; any if empty.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prepare(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = prepare(batch)
+        if columns:
+            require(rows, columns, exact=True)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
@@ -36,23 +47,36 @@ def latest(spark: SparkSession, path: str, key: str, schema: str | None = None)
     return rows.join(newest, (rows[key] == newest["_key"]) & (rows["batch_id"] == newest["_batch"])).drop("_key", "_batch", "batch_id")
 
 
-def run_available(stream: DataFrame, path: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, timeout: int = 1800):
-    """Run a stream over what is there, into path/out with its checkpoint beside; returns the query."""
+def run_available(
+    stream: DataFrame, path: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, timeout: int = 1800, columns: tuple[str, ...] = (), max_runtime: int | None = None
+):
+    """Run a stream over what is there, into path/out with its checkpoint beside; returns the query.
+
+    A run is stopped in good order after max_runtime seconds: what its batches wrote stays,
+    and the next run takes up the rest. Without it, a run past the timeout is an error.
+    """
     query = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(upsert(f"{path}/out", prepare))
+        .foreachBatch(upsert(f"{path}/out", prepare, columns))
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
-    if not query.awaitTermination(timeout):
+    if not query.awaitTermination(timeout if max_runtime is None else max_runtime):
         query.stop()
+        if max_runtime is not None:
+            return query
         raise TimeoutError(f"the stream took more than {timeout} s")
     return query
 
 
 def progress(query) -> dict[str, float]:
-    """Rows read, batches and rows a second of a finished run."""
+    """Rows read, batches and rows a second of a finished run, and the sums of what it observed."""
     steps = [p for p in query.recentProgress if p.numInputRows]
     rows, ms = sum(p.numInputRows for p in steps), sum(p.durationMs.get("triggerExecution", 0) for p in steps)
-    return {"rows": rows, "batches": len(steps), "rows_per_second": rows / ms * 1000 if ms else 0.0}
+    out = {"rows": rows, "batches": len(steps), "rows_per_second": rows / ms * 1000 if ms else 0.0}
+    for step in query.recentProgress:
+        for observed in step.observedMetrics.values():
+            for name, value in observed.asDict().items():
+                out[name] = out.get(name, 0) + (value or 0)
+    return out

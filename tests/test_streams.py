@@ -1,5 +1,6 @@
 """Lateness accounting, parity with batch, and restarts."""
 
+import math
 import os
 import time
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators import aggregate
 from logloom.operators.parse import good, parse
-from logloom.streaming import exact, native, replay, sink
+from logloom.streaming import exact, native, replay, scoring, sink
 
 BASE = 1117838400
 LINE = "- {epoch} 2005.06.03 {node} 2005-06-03-15.42.50.363779 {node} RAS KERNEL INFO thing"
@@ -115,6 +116,32 @@ def test_native_update_equals_batch_and_repeated_delivery_changes_nothing(spark,
     assert sorted(map(tuple, sink.latest(spark, str(tmp_path / "out"), "window_start").select(shown).collect())) == want
 
 
+def test_progress_counts_records_rejects_windows_and_late_events(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    broken = spark.createDataFrame([("key", "broken", "f", 99)], "key string, value string, source_file string, line_no bigint").withColumn("produced_at", F.current_timestamp())
+    totals = {}
+    for offsets in ([0, 10, 130], [5, 260]):
+        replay.records(lines(spark, offsets)).unionByName(broken).coalesce(1).write.mode("append").parquet(topic)
+        events = replay.parsed_events(replay.topic_stream(spark, topic)).withColumn("partition", F.lit(0))
+        for name, n in sink.progress(sink.run_available(exact.exact_stream(events), str(tmp_path))).items():
+            totals[name] = totals.get(name, 0) + n
+    assert {n: totals[n] for n in ("records", "rejected", "windows", "late_events")} == {"records": 7, "rejected": 2, "windows": 2, "late_events": 1}
+
+
+def test_sink_refuses_other_columns(spark, tmp_path):
+    batch = spark.createDataFrame([(1, 2)], "a int, b int")
+    sink.upsert(str(tmp_path / "out"), columns=("b", "a"))(batch, 0)
+    for columns in (("a",), ("a", "b", "c")):
+        with pytest.raises(ValueError):
+            sink.upsert(str(tmp_path / "out"), columns=columns)(batch, 1)
+    assert os.listdir(tmp_path / "out") == ["batch_id=0"]
+
+
+def test_statistics_without_a_threshold_are_json(spark):
+    model = scoring.load_statistics(scoring.export_statistics(aggregate.window_features(good(parse(lines(spark, range(0, 1200, 30)))), 60), aggregate.template_counts(good(parse(lines(spark, range(0, 1200, 30)))), 60)))
+    assert model.threshold == math.inf
+
+
 def test_paced_replay(spark, tmp_path):
     waits = []
     assert replay.paced(lines(spark, [0, 5, 60, 200]), str(tmp_path / "topic"), 10, sleep=waits.append) == 3
