@@ -373,6 +373,7 @@ def _scored(texts: DataFrame, model: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in given), *score_batch(head, models, known, batch.column("text"), whole)], names=schema.names)
 
     first = written(texts.select("row", "own", "id", "lang", "model", "text").mapInArrow(run, schema))
+    sent.destroy()  # nothing reads it again: the result is a written table
     bits = lambda total: F.when(F.col("model").isNotNull() & (F.col("bytes") > 0), -total / F.col("bytes"))
     if whole:
         return first.select("own", "id", "lang", bits(F.col("sum")).alias("bits"))
