@@ -1,24 +1,29 @@
-"""Command line: load, aggregate and evaluate a log; consume a topic."""
+"""Command line: load, aggregate and evaluate a log; consume a topic; measure the stream.
+
+Options that aren't given come from the environment (settings.Settings).
+"""
 
 from __future__ import annotations
 
 import argparse
 import json
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from logloom.operators import evaluate, load
 from logloom.operators.features import build_matrix
+from logloom.settings import Settings
 from logloom.sources import schemas
 from logloom.sources.log_text import read_lines
-from logloom.streaming import exact, replay, scoring, sink
+from logloom.streaming import exact, measure, replay, scoring, sink
 
 
-def _parser() -> argparse.ArgumentParser:
+def _parser(settings: Settings) -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="logloom")
-    parser.add_argument("--warehouse", required=True, help="folder of the tables")
+    parser.add_argument("--warehouse", default=settings.warehouse, help="folder of the tables")
     commands = parser.add_subparsers(dest="command", required=True)
     for name in ("load", "run"):
         c = commands.add_parser(name)
@@ -26,10 +31,10 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--limit", type=int)
     for name in ("aggregate", "evaluate", "run", "export-stats"):
         c = commands.choices.get(name) or commands.add_parser(name)
-        c.add_argument("--window-seconds", type=int, default=60)
+        c.add_argument("--window-seconds", type=int, default=settings.window_seconds)
         if name != "aggregate":
-            c.add_argument("--train-fraction", type=float, default=0.7)
-            c.add_argument("--top-templates", type=int, default=20)
+            c.add_argument("--train-fraction", type=float, default=settings.train_fraction)
+            c.add_argument("--top-templates", type=int, default=settings.top_templates)
     c = commands.add_parser("produce")
     c.add_argument("log")
     c.add_argument("topic")
@@ -37,9 +42,16 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("topic")
     c.add_argument("out")
     c.add_argument("--stats")
-    c.add_argument("--window-seconds", type=int, default=60)
-    c.add_argument("--lateness", type=int, default=0)
+    c.add_argument("--window-seconds", type=int, default=settings.window_seconds)
+    c.add_argument("--lateness", type=int, default=settings.lateness)
     c.add_argument("--max-runtime", type=int, help="seconds after which the run stops in good order")
+    c = commands.add_parser("measure")
+    c.add_argument("log")
+    c.add_argument("--limit", type=int)
+    c.add_argument("--window-seconds", type=int, default=settings.window_seconds)
+    c.add_argument("--partitions", type=int, default=exact.PARTITIONS)
+    c.add_argument("--runs", type=int, default=1)
+    c.add_argument("--speed", type=float, help="measure delays of a replay at so many times event time, not throughput")
     return parser
 
 
@@ -60,7 +72,10 @@ def _evaluate(spark, args) -> None:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    args = _parser().parse_args(argv)
+    settings = Settings.from_env()
+    args = _parser(settings).parse_args(argv)
+    if args.command not in ("produce", "consume", "measure"):
+        args.warehouse = replace(settings, warehouse=args.warehouse).tables()
     spark = spark or SparkSession.builder.appName("logloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command in ("load", "run"):
         print(json.dumps(load.load(spark, read_lines(spark, args.log, args.limit), args.warehouse)))
@@ -85,6 +100,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.PROVIDER)
         query = sink.run_available(exact.exact_stream(events, args.window_seconds, args.lateness), args.out, prepare=prepare, columns=columns, max_runtime=args.max_runtime)
         print(json.dumps(sink.progress(query)))
+    if args.command == "measure":
+        for _ in range(args.runs):
+            lines, shape = read_lines(spark, args.log, args.limit), (args.window_seconds, args.partitions)
+            print(json.dumps(measure.throughput_run(spark, lines, *shape) if args.speed is None else measure.delay_run(spark, lines, args.speed, *shape)))
     return 0
 
 

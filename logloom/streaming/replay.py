@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from logloom.functions.time import window_floor
 from logloom.operators.parse import good, parse
 
 TOPIC = "key string, value string, source_file string, line_no bigint, produced_at timestamp"
+DRAINS = "partition int, drain boolean"
+#: Settings of the producer.
 KAFKA = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.compression.type": "lz4", "kafka.linger.ms": "10", "kafka.batch.size": "262144"}
 
 
@@ -33,20 +36,25 @@ def produce(lines: DataFrame, topic: str, window_seconds: int = 60, files: int |
 def paced(lines: DataFrame, topic: str, speed: float = 0.0, window_seconds: int = 60, sleep: Callable[[float], None] = time.sleep) -> int:
     """Append the log to a topic slice by slice at `speed` times event time; returns the slices.
 
-    Speed 0 appends everything at once. A slice is one window's time.
+    Speed 0 appends everything at once. A slice is one window's time. The records are
+    staged by window, so a slice reads its own alone.
     """
     if speed < 0:
         raise ValueError(f"speed must not be negative, got {speed}")
     if speed == 0:
         produce(lines, topic, window_seconds)
         return 1
-    kept = records(lines, window_seconds).persist()
+    spark, stage = lines.sparkSession, f"{topic.rstrip('/')}-staged-{uuid4().hex}"
+    records(lines, window_seconds).drop("produced_at").repartition("key").write.partitionBy("key").parquet(stage)
+    kept = spark.read.schema(TOPIC).option("basePath", stage).parquet(stage)
     starts = sorted(int(r["key"]) for r in kept.select("key").distinct().collect())  # one per window of the replay
     for i, start in enumerate(starts):
         if i:
             sleep((start - starts[i - 1]) / speed)
-        kept.filter(F.col("key") == str(start)).withColumn("produced_at", F.current_timestamp()).write.mode("append").parquet(topic)
-    kept.unpersist()
+        own = spark.read.schema(TOPIC).option("basePath", stage).parquet(f"{stage}/key={start}")
+        own.withColumn("produced_at", F.current_timestamp()).select(*kept.columns).write.mode("append").parquet(topic)
+    at = spark._jvm.org.apache.hadoop.fs.Path(stage)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
     return len(starts)
 
 
@@ -62,10 +70,15 @@ def topic_stream(spark: SparkSession, topic: str, files_per_trigger: int | None
     return reader.parquet(topic)
 
 
+def drain(spark: SparkSession, folder: str, partitions: int) -> None:
+    """Append one record per partition that ends a bounded replay: partition, drain."""
+    spark.range(partitions).select(F.col("id").cast("int").alias("partition"), F.lit(True).alias("drain")).coalesce(1).write.mode("append").parquet(folder)
+
+
 def drain_stream(spark: SparkSession, folder: str, partitions: int) -> DataFrame:
-    """One record per partition that ends a bounded replay: partition, drain."""
-    spark.range(partitions).select(F.col("id").cast("int").alias("partition"), F.lit(True).alias("drain")).coalesce(1).write.parquet(folder)
-    return spark.readStream.schema("partition int, drain boolean").parquet(folder)
+    """The drain records as a stream."""
+    drain(spark, folder, partitions)
+    return spark.readStream.schema(DRAINS).parquet(folder)
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 5000) -> DataFrame:
