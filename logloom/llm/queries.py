@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import additive_ann, bpe, chat_preference, exact_dedup, filter_audit, importance, line_dedup, near_dedup, packing, pii, quality_lm
+from logloom.llm import additive_ann, bpe, chat_preference, exact_dedup, filter_audit, importance, line_dedup, near_dedup, packing, pii, quality_lm, secret_scan
 from logloom.llm.common import read
 
 
@@ -68,6 +68,17 @@ def op10_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("prompt_sha256", F.sha2("prompt", 256)).drop("prompt")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.secret_scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+    return out.select(
+        "doc_id",
+        *(f"n_{k}" for k in secret_scan.BASE),
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = filter_audit.masks(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return filter_audit.audit(rows, read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -227,6 +238,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_lm": op9_quality_lm,
     "op10_chat_preference": op10_chat_preference,
+    "op11_secret_scan": op11_secret_scan,
     "op12_filter_audit": op12_filter_audit,
     "op13_importance": op13_importance,
 }
