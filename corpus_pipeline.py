@@ -7,14 +7,15 @@ columns of documents.
 
 Rows without a doc_id can't be told apart by later joins and are never dropped
 as near duplicates; an empty table passes through every stage. Of repeated rows
-one goes on. Columns of documents may have any further names.
+one goes on, the one of the least hash. Further columns of documents may have any
+names and types.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm.common import compacted, lower_ascii, read, unused, written
@@ -35,9 +36,15 @@ def _sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+def _all(docs: DataFrame, of: str = "") -> list[Column]:
+    """The columns of docs, or of a struct that holds them, whatever their names."""
+    return [F.col(f"{of}`{c.replace('`', '``')}`").alias(c) for c in docs.columns]
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within their language's perplexity threshold."""
-    return quality(docs, read(spark, sf_dir, "labels")).filter("kept").select(docs.columns)
+    told = quality(docs.select(F.struct(*_all(docs)).alias("own"), "doc_id", "lang", "text"), read(spark, sf_dir, "labels"), carry=("own",))
+    return told.filter("kept").select(*_all(docs, "own."))
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +58,10 @@ def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     same = lambda d, g: d["doc_id"].eqNullSafe(g["_id"]) & (d[digest] == g["_sha"])
     out = own.join(gone, same(own, gone), "left_anti")
     if again.isEmpty():
-        return out.select(docs.columns)
-    once = out.join(again, same(out, again), "left_semi").groupBy("doc_id", digest).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return out.join(again, same(out, again), "left_anti").select(docs.columns).unionByName(once)
+        return out.select(*_all(docs))
+    row = F.struct(*_all(docs))
+    once = out.join(again, same(out, again), "left_semi").groupBy("doc_id", digest).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))
+    return out.join(again, same(out, again), "left_anti").select(*_all(docs)).unionByName(once.select(*_all(docs, "row.")))
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,14 +69,14 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     gone = _sent(near_classes(docs, with_content=True).filter("doc_id <> class_id").select(F.col("doc_id").alias("_id"), F.col("content").alias("_sha")).distinct())
     digest = unused(docs, "_own")[0]
     own = docs.withColumn(digest, content(words_of(F.coalesce("text", F.lit("")))))
-    return own.join(gone, (own["doc_id"] == gone["_id"]) & (own[digest] == gone["_sha"]), "left_anti").select(docs.columns)
+    return own.join(gone, (own["doc_id"] == gone["_id"]) & (own[digest] == gone["_sha"]), "left_anti").select(*_all(docs))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
-    out = pii(docs.select(F.struct(*docs.columns).alias("own"), "text"), redacted=True)
+    out = pii(docs.select(F.struct(*_all(docs)).alias("own"), "text"), redacted=True)
     new = {"text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")}
-    return out.select(*(new.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns))
+    return out.select(*(new.get(name, own).alias(name) for name, own in zip(docs.columns, _all(docs, "own."), strict=True)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
