@@ -90,6 +90,7 @@ class _Scan:
         self.spans: list[tuple[int, int, int]] = []  # start, kind's number, end
         self.ends = dict.fromkeys(KINDS, 0)
         self.digits_to = 0
+        self.plain_to = 0  # end of a secret's run that holds no digit
 
     def keep(self, kind: str, start: int, end: int) -> None:
         self.spans.append((start, KINDS.index(kind), end))
@@ -161,13 +162,15 @@ class _Scan:
 
     def secret(self, start: int, end: int) -> None:
         at = self._value(start, end)
-        if at < self.ends["secret"] or at < 0:
+        if at < self.ends["secret"] or at < self.plain_to or at < 0:
             return
         found = _SECRET.match(self.text, at)
-        # A word is not a secret: it takes digits.
+        # A word is not a secret: it takes digits. A later cue in the same run finds none either.
         if found and any(map(str.isdigit, found.group())):
             self.ends["secret"] = found.end()
             self.keep("secret", at, found.end())
+        elif found:
+            self.plain_to = found.end()
 
 
 def find_spans(text: str) -> list[tuple[int, int, int]]:

@@ -1,6 +1,7 @@
 """op2, op8, op9 and op10."""
 
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +48,18 @@ def test_added_kinds_and_redaction():
     assert pii.find_spans("1" * 50000 + "." * 50000 + "@" * 50000) == []
 
 
+@pytest.mark.parametrize("unit", [*pii.SCHEMES, *pii.ACCOUNT_CUES, *(f"{c}=" for c in pii.SECRET_CUES), *pii.SECRET_CUES, "@", "a@", "+", "+1 ", "1", "1.", "1-", "a@b.", "http://x ", "1.1.1.1"])
+def test_pii_takes_linear_time(unit):
+    start = time.perf_counter()
+    pii.find_spans(unit * (200_000 // len(unit)))
+    assert time.perf_counter() - start < 2.5
+
+
+def test_a_run_without_digits_hides_no_later_secret():
+    text = "token=" * 50 + 'abcdefgh; secret: "abcdefghijklmnop1"'
+    assert [text[s:e] for s, k, e in pii.find_spans(text) if pii.KINDS[k] == "secret"] == ["abcdefghijklmnop1"]
+
+
 def test_pii_frame(docs, no_docs):
     out = pii.pii(docs.withColumns({"spans": F.lit(1), "_text": F.lit(2)}), redacted=True)
     row = out.filter("doc_id = 13").first()
