@@ -6,14 +6,17 @@ of what the code leaves out. Searching is done on a grid of query blocks and
 data blocks: lookup tables score all codes of a block, the best are scored
 exactly, and the exact score of the k-th of them together with the stored norms
 decides which others are still worth an exact look. No number of candidates is
-fixed beforehand.
+fixed beforehand. By default an error is taken to lie in any direction alike, so
+SIGMAS of its share along the query count as possible; exact=True takes the
+whole norm, a bound that no vector can exceed, and so misses no neighbour.
 
 Nearness is the inner product in double precision, ties go to the smaller id.
 Vectors that are null or zero, hold null or non-finite components or have a null
 id take no part; nor do those that have no inner product with the table's, being
 not of the most common length (the smaller of equally common ones). Each row is a
 query or a candidate of its own: rows that repeat an id are found and asked for
-like any other, and query_row tells their answers apart. Extra columns are left
+like any other, and query_row, the last column, tells their answers apart (its
+numbers depend on how the table is laid out, and mean nothing else). Extra columns are left
 out. An empty table has an empty result.
 """
 
@@ -119,7 +122,7 @@ def exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(1)
 
 
-def search_block(query_rows, queries, rows, ids, vectors, codes, errors, books, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search_block(query_rows, queries, rows, ids, vectors, codes, errors, books, k: int, exact_bound: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each query of a block: places and exact scores of the block's k nearest found."""
     tables = queries.astype(np.float32) @ books.reshape(-1, books.shape[2]).T
     tables = tables.reshape(len(queries), len(books), -1)
@@ -128,6 +131,8 @@ def search_block(query_rows, queries, rows, ids, vectors, codes, errors, books,
         approx += np.take(tables[:, level], codes[:, level], axis=1)
     least = max(FIRST, k)  # so that the exact score of a k-th is always known
     spread = errors * (SIGMAS / np.sqrt(vectors.shape[1]))
+    if exact_bound:  # by Cauchy and Schwarz; the second term is what single precision may lose
+        spread = errors + 2.0**-16 * (np.sqrt((vectors * vectors).sum(1)).astype(np.float32) + errors)
     for i, query in enumerate(queries):
         score, own = approx[i], rows == query_rows[i]
         score[own] = -np.inf
@@ -152,13 +157,13 @@ def search_block(query_rows, queries, rows, ids, vectors, codes, errors, books,
 _FOUND = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
-def search(vectors: DataFrame, is_query=None, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_row, query_id, rank, vec_id, score: the k nearest found of each query row, itself apart.
+def search(vectors: DataFrame, is_query=None, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", exact: bool = False) -> DataFrame:
+    """query_id, rank, vec_id, score, query_row: the k nearest found of each query row, itself apart.
 
-    is_query: condition on the id column; every 20th id unless given.
+    is_query: condition on the id column; every 20th id unless given. exact: see above.
     """
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_row bigint, query_id bigint, rank int, vec_id bigint, score double")
+    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double, query_row bigint")
     rows = checkpointed(valid_vectors(vectors, id_col, vector_col))
     condition = is_query if is_query is not None else F.pmod(F.col("vec_id"), F.lit(20)) == 0
     counted = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(condition).alias("q")).first()
@@ -185,7 +190,7 @@ def search(vectors: DataFrame, is_query=None, k: int = 20, id_col: str = "vec_id
                 own, ids, query_rows, query_ids = (np.frombuffer(row[c], np.int64) for c in ("rows", "ids", "query_rows", "query_ids"))
                 x, q = (np.frombuffer(row[c], np.float64).reshape(m, -1) for c, m in (("vectors", len(ids)), ("queries", len(query_ids))))
                 codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
-                found = list(search_block(query_rows, q, own, ids, x, codes, np.frombuffer(row["errors"], np.float32), books, k))
+                found = list(search_block(query_rows, q, own, ids, x, codes, np.frombuffer(row["errors"], np.float32), books, k, exact))
                 of = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
                 place = np.concatenate([f[0] for f in found])
                 columns = query_rows[of], query_ids[of], own[place], ids[place], np.concatenate([f[1] for f in found])
@@ -193,4 +198,4 @@ def search(vectors: DataFrame, is_query=None, k: int = 20, id_col: str = "vec_id
 
     found = grid.mapInArrow(run, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double")
     rank = "CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, row) AS INT) AS rank"
-    return found.selectExpr("query_row", "query_id", rank, "vec_id", "score").filter(F.col("rank") <= k)
+    return found.selectExpr("query_id", rank, "vec_id", "score", "query_row").filter(F.col("rank") <= k)

@@ -188,6 +188,38 @@ def test_nearest_neighbours(spark, monkeypatch):
     assert [r[1] for r in sorted(got[2020])] == [i for i in range(2000, 2300) if i != 2020][:20]
 
 
+def test_columns_begin_with_those_of_the_answer(spark):
+    few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id bigint, embedding array<double>")
+    for df in (few, few.limit(0)):
+        assert additive_ann.search(df, k=2).columns == ["query_id", "rank", "vec_id", "score", "query_row"]
+
+
+def test_exact_bound_misses_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 12)) * rng.exponential(size=(1500, 1))
+    ids, own = np.arange(1500), np.arange(0, 1500, 20)
+    # With so coarse codes and no allowance for their errors, neighbours are missed.
+    books = additive_ann.fit_codebooks(x, levels=1, words=8)
+    codes, errors = additive_ann.encode(x, books)
+    monkeypatch.setattr(additive_ann, "SIGMAS", 0.0)
+    monkeypatch.setattr(additive_ann, "FIRST", 4)
+    missed = {}
+    for exact in (False, True):
+        found = additive_ann.search_block(own, x[own], ids, ids, x, codes, errors, books, 5, exact)
+        missed[exact] = 0
+        for q, (places, _) in zip(own, found, strict=True):
+            score = (x * x[q]).sum(1)
+            score[q] = -np.inf
+            missed[exact] += len(set(np.lexsort((ids, -score))[:5].tolist()) - set(places.tolist()))
+    assert missed[True] == 0 < missed[False]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id bigint, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in additive_ann.search(df, k=5, exact=True).collect()}
+    for q in own.tolist():
+        score = (x * x[q]).sum(1)
+        score[q] = -np.inf
+        assert [got[q, r] for r in range(1, 6)] == np.lexsort((ids, -score))[:5].tolist()
+
+
 def test_more_neighbours_than_first_candidates():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 8))
@@ -227,7 +259,8 @@ def test_beam_search_is_no_worse_than_greedy():
 
 
 def test_pipeline(spark, docs, tmp_path):
-    docs = docs.withColumns({c: F.lit("mine") for c in ("_own", "spans", "redacted", "n_email", "own", "_id", "_sha")})
+    docs = docs.withColumns({c: F.lit("mine") for c in ("_own", "spans", "redacted", "n_email", "own", "_id", "_sha", "a.b", "kept", "perplexity", "threshold", "row", "te`xt")})
+    docs = docs.withColumn("a_map", F.create_map(F.lit("k"), F.lit(1)))
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     labels = spark.createDataFrame([(i, 1, 0) for i in (1, 2, 3, 6, 9, 10, 13, 19)], "doc_id bigint, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
@@ -236,7 +269,7 @@ def test_pipeline(spark, docs, tmp_path):
     kept = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         at = corpus_pipeline.written(stage(spark, at, str(tmp_path)))
-        assert at.columns == docs.columns and {r["spans"] for r in at.select("spans").distinct().collect()} == {"mine"}
+        assert at.columns == docs.columns and {(r["spans"], r["a.b"], r["kept"], r["perplexity"], r["te`xt"], r["a_map"]["k"]) for r in at.collect()} == {(*["mine"] * 5, 1)}
         kept[name] = {r["doc_id"]: r["text"] for r in at.collect()}
     assert {1, 2, 3, 6, 9, 10, 13, 19} <= set(kept["quality"])
     # 20 repeats the text of 1 and 2; of 6, 7 and 8 the near-duplicate class keeps one.
