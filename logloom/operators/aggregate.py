@@ -45,6 +45,58 @@ def window_features(events: DataFrame, window_seconds: int = 60) -> DataFrame:
     )
 
 
+#: Size of the sketches of window_sketches: 2 to this power of registers.
+LG_K = 14
+#: Standard error of a sketch's count, as a share of it, at LG_K.
+SKETCH_ERROR = 1.04 / 2 ** (LG_K / 2)
+
+
+def window_sketches(events: DataFrame, window_seconds: int = 60, lg_k: int = LG_K) -> DataFrame:
+    """Windows in parts that add up: counts, and HyperLogLog sketches of nodes and templates.
+
+    Unlike window_features these roll up into wider windows, and into each other where a
+    window's events come in several loads; distinct counts are then estimates.
+    """
+    keyed = events.withColumn("window_start", window_floor(F.col("epoch"), window_seconds))
+    # One row for what is counted alike: a sketch sees each of a window's pairs once a task.
+    counted = keyed.groupBy("window_start", "node", "template_id", "severity", "is_alert").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("window_start").agg(
+        F.sum("n").alias("event_count"),
+        *severity_counts(F.col("n")),
+        F.sum(F.when(F.col("is_alert"), F.col("n")).otherwise(0)).cast("long").alias("alert_count"),
+        F.hll_sketch_agg("node", F.lit(lg_k)).alias("node_sketch"),
+        F.hll_sketch_agg("template_id", F.lit(lg_k)).alias("template_sketch"),
+    )
+
+
+def rolled_up(sketches: DataFrame, window_seconds: int) -> DataFrame:
+    """Windows of a multiple of the sketched seconds, without the events."""
+    keyed = sketches.withColumn("window_start", window_floor(F.col("window_start"), window_seconds))
+    sums = ("event_count", *(f"{s.lower()}_count" for s in SEVERITIES), "alert_count")
+    return keyed.groupBy("window_start").agg(
+        *(F.sum(c).alias(c) for c in sums),
+        F.hll_union_agg("node_sketch").alias("node_sketch"),
+        F.hll_union_agg("template_sketch").alias("template_sketch"),
+    )
+
+
+def sketched_features(sketches: DataFrame, window_seconds: int) -> DataFrame:
+    """The columns of window_features; distinct counts are estimates of SKETCH_ERROR."""
+    out = sketches.withColumns(
+        {
+            "window_seconds": F.lit(window_seconds),
+            "distinct_nodes": F.hll_sketch_estimate("node_sketch"),
+            "distinct_templates": F.hll_sketch_estimate("template_sketch"),
+            "error_rate": error_rate(),
+            "is_anomalous": F.col("alert_count") > 0,
+        }
+    )
+    return out.select(
+        "window_seconds", "window_start", "event_count", "distinct_nodes", "distinct_templates",
+        *(f"{s.lower()}_count" for s in SEVERITIES), "error_rate", "alert_count", "is_anomalous",
+    )
+
+
 def template_counts(events: DataFrame, window_seconds: int = 60) -> DataFrame:
     """Long counts: window_seconds, window_start, template_id, event_count."""
     keyed = events.withColumn("window_start", window_floor(F.col("epoch"), window_seconds))

@@ -131,6 +131,20 @@ _DOCS = f"""{_PARTS}, st AS (
   FROM zs, th
 )"""
 
+_CLOCKS = f"""{EVENTS}, placed AS (
+  SELECT *, (epoch // 86400 % 2)::INT AS "partition", epoch // 3600 * 3600 AS w, line_no % 50 = 0 AS delayed FROM ev
+), first_run AS (
+  SELECT "partition", coalesce(max(w + 3600) FILTER (WHERE w + 3600 <= latest), 0) AS through
+  FROM (SELECT *, max(epoch) OVER (PARTITION BY "partition") AS latest FROM placed WHERE NOT delayed) GROUP BY 1
+), arrived AS (
+  SELECT p.*, delayed AND w < coalesce(through, 0) AS late FROM placed p LEFT JOIN first_run USING ("partition")
+), counted AS (
+  SELECT "partition", w AS window_start, count(*) FILTER (WHERE NOT late) AS event_count, count(DISTINCT node) FILTER (WHERE NOT late) AS distinct_nodes,
+         count(DISTINCT template_id) FILTER (WHERE NOT late) AS distinct_templates, count(*) FILTER (WHERE NOT late AND is_alert) AS alert_count,
+         count(*) FILTER (WHERE late) AS late_events FROM arrived GROUP BY 1, 2
+), clock AS (
+  SELECT "partition", max(epoch) AS latest, max(epoch) AS watermark FROM placed GROUP BY 1
+)"""
 _STREAM = f"WITH {_windows()} SELECT {_W_COLS} FROM win"
 
 ORACLE_SQL: dict[str, str] = {
@@ -221,6 +235,13 @@ SELECT event_id, message, template, substr(sha1(template), 1, 16) AS template_id
     "stream_exact_windows": _STREAM,
     "stream_batch_parity": f"WITH {_windows()} SELECT count(*) AS compared, 0::BIGINT AS missing, 0::BIGINT AS unexpected, 0::BIGINT AS different FROM win",
     "late_side_output": f"WITH {EVENTS} SELECT epoch // 3600 * 3600 AS window_start, count(*) AS late_events FROM ev WHERE line_no <= (SELECT max(line_no) // 2 FROM ev) GROUP BY 1",
+    "stream_partition_clocks": f"""WITH {_CLOCKS} SELECT counted.* FROM counted JOIN clock USING ("partition") WHERE window_start + 3600 <= latest""",
+    "stream_open_windows": f"""WITH {_CLOCKS}, through AS (SELECT "partition", coalesce(max(window_start + 3600) FILTER (WHERE window_start + 3600 <= latest), 0) AS closed_through
+          FROM counted JOIN clock USING ("partition") GROUP BY 1)
+        SELECT "partition", latest, watermark, closed_through, o.window_start, o.event_count, o.distinct_nodes, o.distinct_templates
+        FROM clock JOIN through USING ("partition") LEFT JOIN (SELECT c.* FROM counted c JOIN clock k USING ("partition") WHERE window_start + 3600 > latest AND event_count > 0) o USING ("partition")""",
+    "rolled_up_windows": f"""WITH {_windows()} SELECT window_start, event_count, {", ".join(f"{s.lower()}_count" for s in SEVERITIES)}, error_rate, alert_count, is_anomalous,
+        true AS nodes_near, true AS templates_near FROM win""",
     "member_totals": f"""WITH {EVENTS}, m AS (SELECT node::BIGINT % 3 AS member, count(*) AS records, count(*) FILTER (WHERE is_alert) AS alerts, min(epoch) AS first, max(epoch) AS last
           FROM ev GROUP BY 1) SELECT count(*) AS members, sum(records)::BIGINT AS records, sum(alerts)::BIGINT AS alerts, max(last) - min(first) AS span,
           median(records)::DOUBLE AS median_records FROM m""",

@@ -12,10 +12,11 @@ from logloom.operators.detect import TRAIN, ZScore
 from logloom.operators.features import Matrix, build_matrix, cutoff, split_parts, top_templates
 from logloom.operators.parse import good, parse, rejects
 from logloom.plans import api
+from logloom.sources import topic
 from logloom.sources.log_text import event_lines, read_lines
 from logloom.sources.schemas import WINDOW_COUNTS
 from logloom.sources.tables import read_table
-from logloom.streaming import exact, native, replay, scoring, sink
+from logloom.streaming import exact, inspect, native, replay, scoring, sink
 
 HOUR = 3600
 TEMPLATES = 20
@@ -151,6 +152,16 @@ def window_features_3600(spark, sf_dir):
     return _windows(spark, sf_dir, HOUR)
 
 
+def rolled_up_windows(spark, sf_dir):
+    """Hourly windows out of sketches of minutes; distinct counts against exact ones, within three standard errors."""
+    events = _events(spark, sf_dir)
+    hours = aggregate.sketched_features(aggregate.rolled_up(aggregate.rolled_up(aggregate.window_sketches(events, 60), 300), HOUR), HOUR)
+    exact_ = aggregate.window_features(events, HOUR).select("window_start", F.col("distinct_nodes").alias("_n"), F.col("distinct_templates").alias("_t"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 3 * aggregate.SKETCH_ERROR * F.col(b)
+    out = hours.join(exact_, "window_start").withColumns({"nodes_near": near("distinct_nodes", "_n"), "templates_near": near("distinct_templates", "_t")})
+    return out.drop("_n", "_t", "distinct_nodes", "distinct_templates", "window_seconds")
+
+
 def window_template_counts(spark, sf_dir):
     return aggregate.template_counts(_events(spark, sf_dir), HOUR)
 
@@ -469,6 +480,35 @@ def late_side_output(spark, sf_dir):
     return exact.late_events(spark.read.schema(exact.OUT).parquet(f"{folder}/out"))
 
 
+def _clocks(spark, sf_dir) -> str:
+    """A topic whose two partitions hold the even and the odd days, read in steps; every 50th
+    line arrives after all others. The folder of the run."""
+    folder = sink.shared_folder(spark)
+    lines = event_lines(spark, sf_dir)
+    delayed, day = F.col("line_no") % 50 == 0, (F.floor(F.col("epoch") / 86400) % 2).cast("int")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.PROVIDER)
+    for part in (~delayed, delayed):
+        ends = replay.produce_partitioned(lines.filter(part), f"{folder}/topic", 2, HOUR, day)
+        stream = topic.topic_stream(spark, f"{folder}/topic", -(-sum(ends.values()) // 4), f"{folder}/progress")
+        sink.run_until_idle(exact.exact_stream(replay.parsed_events(stream), HOUR), folder)
+    return folder
+
+
+def stream_partition_clocks(spark, sf_dir):
+    """Windows and late events of two partitions whose clocks are a day apart: each closes by its own."""
+    rows = spark.read.schema(exact.OUT).parquet(f"{_clocks(spark, sf_dir)}/out")
+    closed = rows.filter("kind = 'window'").select("partition", "window_start", "event_count", "distinct_nodes", "distinct_templates", "alert_count")
+    late = rows.filter("kind = 'late'").groupBy("partition", "window_start").agg(F.count(F.lit(1)).alias("late_events"))
+    return closed.join(late, ["partition", "window_start"], "full_outer").fillna(0)
+
+
+def stream_open_windows(spark, sf_dir):
+    """What the same run's checkpoint holds: each partition's clock, and its windows that no event has closed yet."""
+    checkpoint = f"{_clocks(spark, sf_dir)}/checkpoint"
+    left = inspect.open_windows(spark, checkpoint).select("partition", "window_start", "event_count", "distinct_nodes", "distinct_templates")
+    return inspect.clocks(spark, checkpoint).join(left, "partition", "left")
+
+
 def member_totals(spark, sf_dir):
     """Totals and work span over the members that share a replay (users by their number)."""
     events = _events(spark, sf_dir).withColumn("member", F.col("node").cast("bigint") % 3)

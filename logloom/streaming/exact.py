@@ -33,20 +33,20 @@ OUT = (
 )
 _NAMES = [x.split()[0] for x in OUT.split(", ")]
 _FACTS = ("event_count", *COUNTS, "alert_count")
-_STATE = ", ".join(f"{c} bigint" for c in _FACTS) + ", produced_ms bigint, nodes binary, templates binary"
+_STATE = ", ".join(f"{c} bigint" for c in _FACTS) + ", produced_ms bigint, n_nodes bigint, n_templates bigint, chunks int"
 _SEPARATOR = "\0"  # in no node of a line that parses
 
 
-def _packed(values: set[str]) -> bytes:
-    return _SEPARATOR.join(sorted(values)).encode()
+def _packed(values: set[str]) -> bytes | None:
+    return _SEPARATOR.join(sorted(values)).encode() if values else None
 
 
-def _unpacked(values: bytes) -> set[str]:
-    return set(bytes(values).decode().split(_SEPARATOR))
+def _unpacked(values: bytes | None) -> set[str]:
+    return set() if values is None else set(bytes(values).decode().split(_SEPARATOR))
 
 
 class _Window:
-    """What is known of an open window."""
+    """What a batch adds to a window."""
 
     def __init__(self, facts: np.ndarray, produced_ms: int, nodes: set[str], templates: set[str]):
         self.facts, self.produced_ms, self.nodes, self.templates = facts, produced_ms, nodes, templates
@@ -57,13 +57,6 @@ class _Window:
         self.nodes |= other.nodes
         self.templates |= other.templates
 
-    def state(self) -> tuple:
-        return (*map(int, self.facts), self.produced_ms, _packed(self.nodes), _packed(self.templates))
-
-    @staticmethod
-    def of_state(row: tuple) -> _Window:
-        return _Window(np.array(row[: len(_FACTS)], np.int64), row[-3], _unpacked(row[-2]), _unpacked(row[-1]))
-
 
 def _folded(events: pd.DataFrame) -> dict[int, _Window]:
     """Windows of one chunk of events, counted column by column."""
@@ -81,7 +74,12 @@ def _folded(events: pd.DataFrame) -> dict[int, _Window]:
 
 
 class WindowProcessor(StatefulProcessor):
-    """State of a partition: its clock, and its open windows, an entry each."""
+    """State of a partition: its clock, its open windows' counts, and their distinct values.
+
+    Values are kept in chunks, one for each batch that brought the window new ones, and a
+    chunk is never written again: what a batch writes follows its own new values, not what
+    the window has gathered. A window that opens and closes in one batch leaves no state.
+    """
 
     def __init__(self, window_seconds: int, lateness: int, idle_ms: int | None):
         self.window_seconds, self.lateness, self.idle_ms = window_seconds, lateness, idle_ms
@@ -90,6 +88,7 @@ class WindowProcessor(StatefulProcessor):
         self.handle = handle
         self.clock = handle.getValueState("clock", "latest bigint, closed_through bigint, earliest bigint")
         self.open = handle.getMapState("open", "window_start bigint", _STATE)
+        self.values = handle.getMapState("values", "window_start bigint, chunk int", "nodes binary, templates binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         latest, closed, earliest = self.clock.get() if self.clock.exists() else (-1, 0, _NEVER)
@@ -119,7 +118,7 @@ class WindowProcessor(StatefulProcessor):
             out = self._close(due, new)
             earliest = min(starts.difference(due), default=_NEVER)
         for start, window in new.items():
-            self.open.updateValue((start,), self._known(start, window).state())
+            self._keep(start, window)
         self.clock.update((latest, closed, earliest))
         if self.idle_ms is not None:
             for timer in list(self.handle.listTimers()):
@@ -137,24 +136,44 @@ class WindowProcessor(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _known(self, start: int, window: _Window | None) -> _Window:
-        """The window with what the state has of it."""
-        if not self.open.containsKey((start,)):
-            return window
-        known = _Window.of_state(self.open.getValue((start,)))
-        if window is not None:
-            known.add(window)
-        return known
+    def _known(self, start: int) -> tuple:
+        """The state of a window; that of an unknown one has no chunks."""
+        return self.open.getValue((start,)) if self.open.containsKey((start,)) else (*[0] * len(_FACTS), -1, 0, 0, 0)
+
+    def _unseen(self, start: int, window: _Window, chunks: int) -> tuple[set[str], set[str]]:
+        """The window's nodes and templates that no chunk has."""
+        nodes, templates = window.nodes, window.templates
+        for chunk in range(chunks):
+            a, b = self.values.getValue((start, chunk))
+            nodes, templates = nodes - _unpacked(a), templates - _unpacked(b)
+        return nodes, templates
+
+    def _keep(self, start: int, window: _Window) -> None:
+        """Add what the batch brought to the state of a window that stays open."""
+        *facts, produced, n_nodes, n_templates, chunks = self._known(start)
+        nodes, templates = self._unseen(start, window, chunks)
+        if nodes or templates:
+            self.values.updateValue((start, chunks), (_packed(nodes), _packed(templates)))
+            chunks += 1
+        counts = [int(a + b) for a, b in zip(facts, window.facts, strict=True)]
+        self.open.updateValue((start,), (*counts, max(produced, window.produced_ms), n_nodes + len(nodes), n_templates + len(templates), chunks))
 
     def _close(self, due: list[int], new: dict[int, _Window]) -> list[dict]:
         """Rows of the due windows, which leave the state and new."""
         out = []
         for start in due:
-            window = self._known(start, new.pop(start, None))
-            self.open.removeKey((start,))
-            row = dict(zip(_FACTS, map(int, window.facts), strict=True))
-            produced = window.produced_ms if window.produced_ms >= 0 else None
-            out.append(row | {"kind": "window", "window_start": start, "distinct_nodes": len(window.nodes), "distinct_templates": len(window.templates), "produced_ms": produced})
+            *facts, produced, n_nodes, n_templates, chunks = self._known(start)
+            # Chunks are only read where the closing batch brings something itself.
+            if window := new.pop(start, None):
+                nodes, templates = self._unseen(start, window, chunks)
+                facts = [int(a + b) for a, b in zip(facts, window.facts, strict=True)]
+                produced, n_nodes, n_templates = max(produced, window.produced_ms), n_nodes + len(nodes), n_templates + len(templates)
+            for chunk in range(chunks):
+                self.values.removeKey((start, chunk))
+            if chunks:
+                self.open.removeKey((start,))
+            row = dict(zip(_FACTS, facts, strict=True))
+            out.append(row | {"kind": "window", "window_start": start, "distinct_nodes": n_nodes, "distinct_templates": n_templates, "produced_ms": produced if produced >= 0 else None})
         return out
 
     def _frame(self, key, rows: pd.DataFrame) -> pd.DataFrame:

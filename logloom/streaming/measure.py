@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.operators import aggregate
+from logloom.sources import topic
 from logloom.streaming import exact, replay, sink
 
 
@@ -35,6 +38,45 @@ def throughput_run(spark: SparkSession, lines: DataFrame, window_seconds: int =
     return out | {"seconds": seconds, "events_per_second": events / seconds}
 
 
+def _member(spark: SparkSession, folder: str, member: int, members: int, window_seconds: int, partitions: int) -> dict[str, float]:
+    """One member of a group: a query of its own over its partitions, into the group's sink."""
+    own = tuple(p for p in range(partitions) if p % members == member)
+    events = replay.parsed_events(topic.topic_stream(spark, f"{folder}/topic", partitions=own))
+    drains = spark.readStream.schema(replay.DRAINS).parquet(f"{folder}/drains").filter(F.col("partition").isin(*own))
+    stream = exact.exact_stream(events.unionByName(drains, allowMissingColumns=True), window_seconds, partitions=partitions)
+    started = time.time()
+    query = sink.run_available(stream, f"{folder}/member={member}")
+    return sink.progress(query) | {"member": member, "started": started, "ended": time.time()}
+
+
+def members_run(spark: SparkSession, lines: DataFrame, members: int, window_seconds: int = 60, partitions: int = exact.PARTITIONS) -> dict[str, float]:
+    """Drain a topic by several queries at once, each over its own partitions: their totals, the span from
+    the first one's start to the last one's end, events a second, and the largest member over the smallest."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", exact.PROVIDER)
+    folder = sink.shared_folder(spark)
+    replay.produce_partitioned(lines, f"{folder}/topic", partitions, window_seconds)
+    replay.drain(spark, f"{folder}/drains", partitions)
+    with ThreadPoolExecutor(members) as pool:
+        found = list(pool.map(lambda m: _member(spark, folder, m, members, window_seconds, partitions), range(members)))
+    total = {k: sum(f.get(k, 0) for f in found) for k in ("records", "rejected", "windows", "late_events")}
+    span = max(f["ended"] for f in found) - min(f["started"] for f in found)
+    sizes = [f.get("records", 0) for f in found]
+    return total | {"members": members, "span_seconds": span, "events_per_second": (total["records"] - total["rejected"]) / span, "skew": max(sizes) / max(min(sizes), 1)}
+
+
+def members_runs(spark: SparkSession, lines: DataFrame, members: int, runs: int = 3, window_seconds: int = 60, partitions: int = exact.PARTITIONS) -> dict:
+    """Several such runs in new folders: each one's row, and the medians of rate and span. All must agree on windows and late events."""
+    if not 1 <= members <= partitions:
+        raise ValueError(f"members must be between 1 and {partitions}, got {members}")
+    rows = [members_run(spark, lines, members, window_seconds, partitions) for _ in range(runs)]
+    out: dict = {"runs": rows, "median_events_per_second": median(r["events_per_second"] for r in rows), "median_span_seconds": median(r["span_seconds"] for r in rows)}
+    for name in ("windows", "late_events"):
+        if len({r[name] for r in rows}) > 1:
+            raise RuntimeError(f"runs differ in {name}: {[r[name] for r in rows]}")
+        out[name] = rows[0][name]
+    return out
+
+
 def delay_run(
     spark: SparkSession, lines: DataFrame, speed: float, window_seconds: int = 60, partitions: int = exact.PARTITIONS, sleep: Callable[[float], None] = time.sleep
 ) -> dict[str, float | None]:

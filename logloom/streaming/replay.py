@@ -6,11 +6,12 @@ import time
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.functions.time import window_floor
 from logloom.operators.parse import good, parse
+from logloom.sources import topic as topics
 
 TOPIC = "key string, value string, source_file string, line_no bigint, produced_at timestamp"
 DRAINS = "partition int, drain boolean"
@@ -33,6 +34,19 @@ def produce(lines: DataFrame, topic: str, window_seconds: int = 60, files: int |
     out.write.mode("append").parquet(topic)
 
 
+def produce_partitioned(lines: DataFrame, topic: str, partitions: int = 6, window_seconds: int = 60, partition: Column | None = None, files: int | None = None) -> dict[int, int]:
+    """Append records to a partitioned topic (sources.topic); returns the ends of its partitions.
+
+    A record's partition comes from its key, so that a window is whole in one of them, or
+    is `partition`, an expression over the parsed line.
+    """
+    parsed = parse(lines).filter(F.col("reason").isNull())
+    key = window_floor(F.col("epoch"), window_seconds).cast("string")
+    where = topics.partition_of(key, partitions) if partition is None else partition
+    out = parsed.select(key.alias("key"), "value", "source_file", "line_no", F.current_timestamp().alias("produced_at"), where.alias("partition"))
+    return topics.append(out, topic, files)
+
+
 def paced(lines: DataFrame, topic: str, speed: float = 0.0, window_seconds: int = 60, sleep: Callable[[float], None] = time.sleep) -> int:
     """Append the log to a topic slice by slice at `speed` times event time; returns the slices.
 
@@ -84,12 +98,13 @@ def drain_stream(spark: SparkSession, folder: str, partitions: int) -> DataFrame
 def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 5000) -> DataFrame:
     """Records of a Kafka topic from its start; offsets live in the query's checkpoint."""
     raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_trigger).load()
-    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), F.col("topic").alias("source_file"), F.col("offset").alias("line_no"), F.col("timestamp").alias("produced_at"))
+    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), F.col("topic").alias("source_file"), F.col("offset").alias("line_no"), F.col("timestamp").alias("produced_at"), "partition", "offset")
 
 
 def parsed_events(stream: DataFrame) -> DataFrame:
-    """Events of a stream of records; lines that don't parse are filtered, and counted for the run's progress."""
-    parsed = parse(stream, keep=("produced_at",))
+    """Events of a stream of records, with the partition and offset that they came from where the
+    source has them; lines that don't parse are filtered, and counted for the run's progress."""
+    parsed = parse(stream, keep=("produced_at", *(c for c in ("partition", "offset") if c in stream.columns)))
     return good(parsed.observe("parse", F.count(F.lit(1)).alias("records"), F.count_if(F.col("reason").isNotNull()).alias("rejected")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators import aggregate
 from logloom.operators.parse import good, parse
+from logloom.sources import topic
 from logloom.streaming import exact, native, replay, scoring, sink
 
 BASE = 1117838400
@@ -166,3 +167,18 @@ def test_late_side_output_uses_all_tasks(spark, monkeypatch):
     monkeypatch.setattr(replay, "produce", lambda df, *a: (asked.append(df.rdd.getNumPartitions()), produce(df, *a)))
     out = {r["window_start"]: r["late_events"] for r in queries.late_side_output(spark, "").collect()}
     assert sum(out.values()) == 200 and len(asked) == 2 and min(asked) > 1
+
+
+def test_counters_count_every_batch_of_a_long_run(spark, tmp_path):
+    """More batches than Spark's own history keeps, one record each."""
+    path = str(tmp_path / "topic")
+    replay.produce_partitioned(lines(spark, range(0, 120)), path, 1)
+    broken = spark.createDataFrame([(0, "k", "broken", "f", 900 + i) for i in range(3)], "partition int, key string, value string, source_file string, line_no bigint")
+    topic.append(broken.withColumn("produced_at", F.current_timestamp()), path)
+    stream = topic.topic_stream(spark, path, 1, f"{tmp_path}/progress")
+    query = sink.run_until_idle(replay.parsed_events(stream), str(tmp_path))
+    total = sink.progress(query)
+    assert {k: total[k] for k in ("rows", "batches", "records", "rejected")} == {"rows": 123, "batches": 123, "records": 123, "rejected": 3}
+    assert len(query.recentProgress) <= 100
+    kept = sink.stored_counts(spark, str(tmp_path))
+    assert kept.agg(F.count("batch_id"), F.sum("records"), F.sum("rejected")).first() == (123, 123, 3)
