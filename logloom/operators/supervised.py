@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.operators import boosting
 from logloom.operators.features import Matrix
 from logloom.operators.metrics import best_threshold
 
-SEED = 42
-
-
 def _scaled(matrix: Matrix) -> DataFrame:
     """Features less the fit slice's mean, over its population deviation (0 counts as 1)."""
     fit = matrix.rows.filter("part = 'fit'")
@@ -26,9 +24,9 @@ def _assembled(rows: DataFrame, features: tuple[str, ...]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="x").transform(rows).select("window_start", "part", "label", "y", "x")
 
 
-def _thresholded(model, rows: DataFrame) -> DataFrame:
-    """window_start, part, label, score, predicted; no refit after the threshold."""
-    scored = model.transform(rows).select("window_start", "part", "label", vector_to_array("probability")[1].alias("score")).cache()
+def _thresholded(scored: DataFrame) -> DataFrame:
+    """Add predicted and threshold to window_start, part, label, score; no refit after the threshold."""
+    scored = scored.cache()
     threshold = best_threshold(scored.filter("part = 'validation'"))
     return scored.withColumn("predicted", F.col("score") >= F.lit(threshold)).withColumn("threshold", F.lit(threshold))
 
@@ -37,10 +35,12 @@ def logistic_regression(matrix: Matrix, max_iter: int = 2000) -> DataFrame:
     rows = _assembled(_scaled(matrix), matrix.features).cache()
     fit = rows.filter("part = 'fit'")
     model = LogisticRegression(featuresCol="x", labelCol="y", maxIter=max_iter, regParam=1 / max(fit.count(), 1), elasticNetParam=0.0, standardization=False, tol=1e-9)
-    return _thresholded(model.fit(fit), rows)
+    scored = model.fit(fit).transform(rows)
+    return _thresholded(scored.select("window_start", "part", "label", vector_to_array("probability")[1].alias("score")))
 
 
-def gradient_boosting(matrix: Matrix, rounds: int = 100) -> DataFrame:
-    rows = _assembled(matrix.rows, matrix.features).cache()
-    model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=rounds, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, maxBins=255, seed=SEED)
-    return _thresholded(model.fit(rows.filter("part = 'fit'")), rows)
+def gradient_boosting(matrix: Matrix, rounds: int = 100, stopping: bool | None = None) -> DataFrame:
+    """Histogram boosting; also the column rounds, which were gone through before the held-out loss stopped them."""
+    model = boosting.fit(matrix.rows.filter("part = 'fit'"), matrix.features, rounds, stopping=stopping)
+    scored = model.scored(matrix.rows, ["window_start", "part", "label"])
+    return _thresholded(scored).withColumn("rounds", F.lit(model.rounds))

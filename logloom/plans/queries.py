@@ -294,7 +294,7 @@ def logistic_eval(spark, sf_dir):
 def gbt_eval(spark, sf_dir):
     from logloom.operators.supervised import gradient_boosting
 
-    return metrics.confusion(gradient_boosting(_matrix(spark, sf_dir, TEMPLATES).severity_free()).filter("part = 'test'"), "threshold")
+    return metrics.confusion(gradient_boosting(_matrix(spark, sf_dir, TEMPLATES).severity_free()).filter("part = 'test'"), "threshold", "rounds")
 
 
 def iforest_eval(spark, sf_dir):
