@@ -50,7 +50,7 @@ from logloom.llm.common import checkpointed, compacted, written
 ORDER = 4
 FOLDS = 2  # a text's model is the other one's
 QUANTILES = (0.95, 0.98, 0.99, 0.995, 0.999)  # of held-out scores; a language has one of these
-HEAD_ENTRIES = 1 << 16  # of the model that are sent to tasks, 40 bytes each; all others are joined
+HEAD_ENTRIES = 100_000  # of the model that are sent to tasks, 40 bytes each; all others are joined
 BROADCAST_IDS = 4_000_000  # at most 32 MB of ids; more are joined by a shuffle
 BROADCAST_NAMES = 100_000  # languages and models; more are joined by a shuffle
 CHUNK = 1 << 22  # grams sorted at a time
