@@ -20,16 +20,15 @@ def error_rate() -> Column:
     return sum((F.col(f"{s.lower()}_count") for s in ERROR_SEVERITIES), F.lit(0)) / F.col("event_count").cast("double")
 
 
-def window_features(events: DataFrame, window_seconds: int = 60) -> DataFrame:
-    """One row per non-empty window; window_start in epoch seconds.
-
-    Events are first counted by (window, node, template, severity, alert), which
-    partial aggregation does before the shuffle; the exact distinct counts then
-    run over what is left of a window.
-    """
+def counted(events: DataFrame, window_seconds: int = 60) -> DataFrame:
+    """Events counted by (window_start, node, template_id, severity, is_alert) as n, which partial
+    aggregation does before the shuffle: a hot window is already reduced when its rows meet."""
     keyed = events.withColumn("window_start", window_floor(F.col("epoch"), window_seconds))
-    # One pass over counted groups: a hot window is already reduced when its rows meet.
-    counted = keyed.groupBy("window_start", "node", "template_id", "severity", "is_alert").agg(F.count(F.lit(1)).alias("n"))
+    return keyed.groupBy("window_start", "node", "template_id", "severity", "is_alert").agg(F.count(F.lit(1)).alias("n"))
+
+
+def features_of(counted: DataFrame, window_seconds: int) -> DataFrame:
+    """window_features out of counted events; the exact distinct counts run over what is left of a window."""
     out = counted.groupBy("window_start").agg(
         F.sum("n").alias("event_count"),
         F.count_distinct("node").alias("distinct_nodes"),
@@ -45,6 +44,11 @@ def window_features(events: DataFrame, window_seconds: int = 60) -> DataFrame:
     )
 
 
+def window_features(events: DataFrame, window_seconds: int = 60) -> DataFrame:
+    """One row per non-empty window; window_start in epoch seconds."""
+    return features_of(counted(events, window_seconds), window_seconds)
+
+
 #: Size of the sketches of window_sketches: 2 to this power of registers.
 LG_K = 14
 #: Standard error of a sketch's count, as a share of it, at LG_K.
@@ -57,10 +61,7 @@ def window_sketches(events: DataFrame, window_seconds: int = 60, lg_k: int = LG_
     Unlike window_features these roll up into wider windows, and into each other where a
     window's events come in several loads; distinct counts are then estimates.
     """
-    keyed = events.withColumn("window_start", window_floor(F.col("epoch"), window_seconds))
-    # One row for what is counted alike: a sketch sees each of a window's pairs once a task.
-    counted = keyed.groupBy("window_start", "node", "template_id", "severity", "is_alert").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("window_start").agg(
+    return counted(events, window_seconds).groupBy("window_start").agg(
         F.sum("n").alias("event_count"),
         *severity_counts(F.col("n")),
         F.sum(F.when(F.col("is_alert"), F.col("n")).otherwise(0)).cast("long").alias("alert_count"),
@@ -97,6 +98,12 @@ def sketched_features(sketches: DataFrame, window_seconds: int) -> DataFrame:
     )
 
 
+def counts_of(counted: DataFrame, window_seconds: int) -> DataFrame:
+    """template_counts out of counted events."""
+    out = counted.groupBy("window_start", "template_id").agg(F.sum("n").alias("event_count"))
+    return out.select(F.lit(window_seconds).alias("window_seconds"), "window_start", "template_id", "event_count")
+
+
 def template_counts(events: DataFrame, window_seconds: int = 60) -> DataFrame:
     """Long counts: window_seconds, window_start, template_id, event_count."""
     keyed = events.withColumn("window_start", window_floor(F.col("epoch"), window_seconds))

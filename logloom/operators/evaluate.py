@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import detector_label
-from logloom.operators.detect import ZScore, severity_rule
+from logloom.operators.detect import TRAIN, ZScore, severity_rule
 from logloom.operators.features import Matrix
 from logloom.operators.iforest import isolation_forest
 from logloom.operators.metrics import confusion
@@ -66,7 +67,35 @@ def best(scored: DataFrame) -> DataFrame:
     return scored.orderBy(F.desc("f1"), "ordinal").limit(1)
 
 
-def report(scored: DataFrame) -> str:
-    """Text table of the scores, by rank."""
-    rows = scored.orderBy(F.desc("f1"), "detector").select(detector_label(F.col("detector"), F.col("variant")).alias("name"), "precision", "recall", "f1").collect()
-    return "\n".join([f"{'detector':<40} {'precision':>9} {'recall':>9} {'f1':>9}", *(f"{r['name']:<40} {r['precision']:>9.4f} {r['recall']:>9.4f} {r['f1']:>9.4f}" for r in rows)])
+def split_description(matrix: Matrix) -> dict:
+    """Windows, spans and anomalous windows of the training and the test part, and the cutoff."""
+    train = F.col("part").isin(*TRAIN)
+    facts = {"windows": F.count(F.lit(1)), "first": F.min("window_start"), "last": F.max("window_start"), "anomalous": F.count_if("label")}
+    rows = {r["train"]: r for r in matrix.rows.groupBy(train.alias("train")).agg(*(f.alias(n) for n, f in facts.items())).collect()}
+    return {"train": rows[True].asDict(), "test": rows[False].asDict(), "cutoff": rows[False]["first"], "features": len(matrix.features), "severity_free": len(matrix.severity_free().features)}
+
+
+def _split_lines(split: dict, window_seconds: int) -> list[str]:
+    at = lambda epoch: datetime.fromtimestamp(epoch, UTC).isoformat()
+    train, test = split["train"], split["test"]
+    share = lambda p: f"{p['anomalous']} of {p['windows']} ({p['anomalous'] / p['windows']:.2%})"
+    return [
+        f"window size: {window_seconds} s; windows: {train['windows']} train, {test['windows']} test",
+        f"cutoff: {at(split['cutoff'])}; train: {at(train['first'])} to {at(train['last'])}; test: {at(test['first'])} to {at(test['last'])}",
+        f"anomalous windows: {share(train)} train, {share(test)} test",
+        f"features: {split['features']}, {split['severity_free']} of them severity-free",
+        "",
+    ]
+
+
+def report(scored: DataFrame, split: dict | None = None, window_seconds: int = 60) -> str:
+    """Text table of the scores and confusion counts, by rank, under the split if given; the first row is the best one, the first of equals."""
+    label = detector_label(F.col("detector"), F.col("variant")).alias("name")
+    counts = ("true_positives", "false_positives", "false_negatives", "true_negatives")
+    rows = scored.orderBy(F.desc("f1"), "ordinal").select(label, "precision", "recall", "f1", *counts).collect()
+    lines = _split_lines(split, window_seconds) if split else []
+    lines.append(f"{'detector':<40} {'precision':>9} {'recall':>9} {'f1':>9} {'TP':>7} {'FP':>7} {'FN':>7} {'TN':>7}")
+    lines += [f"{r['name']:<40} {r['precision']:>9.4f} {r['recall']:>9.4f} {r['f1']:>9.4f} " + " ".join(f"{r[c]:>7}" for c in counts) for r in rows]
+    if rows:
+        lines += ["", f"best F1: {rows[0]['f1']:.4f}, that of the first row"]
+    return "\n".join(lines)

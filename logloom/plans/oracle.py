@@ -228,6 +228,18 @@ SELECT event_id, message, template, substr(sha1(template), 1, 16) AS template_id
     "replaced_windows": f"""WITH {EVENTS}, f AS (SELECT 3600 AS window_seconds, epoch // 3600 AS w, template_id FROM ev UNION ALL SELECT 300, epoch // 300, template_id FROM ev)
         SELECT 'features' AS tab, window_seconds, count(DISTINCT w) AS n, count(*) AS events FROM f GROUP BY 2
         UNION ALL SELECT 'templates', window_seconds, count(DISTINCT (w, template_id)), count(*) FROM f GROUP BY 2""",
+    "constraint_violations": f"""WITH {EVENTS}, c AS (
+          SELECT sum(CASE WHEN line_no % 13 = 0 THEN 2 ELSE 1 END * (line_no % 11 = 0)::INT) AS nodes, count(*) FILTER (WHERE line_no % 13 = 0) AS twice,
+                 sum(CASE WHEN line_no % 13 = 0 THEN 2 ELSE 1 END * (line_no % 17 = 0)::INT) AS unknown, sum(CASE WHEN line_no % 13 = 0 THEN 2 ELSE 1 END * (line_no % 19 = 0)::INT) AS outside FROM ev
+        ), rules("table", rule, n) AS (
+          SELECT 'log_events', unnest(['source_file', 'line_no', 'event_time', 'epoch', 'event_type', 'component', 'severity', 'label', 'is_alert', 'template_id', 'line_sha256', 'message']) || '_not_null', 0
+          UNION ALL SELECT 'event_templates', unnest(['template_id_not_null', 'template_not_null', 'first_seen_not_null', 'key_is_unique']), 0
+          UNION ALL SELECT 'log_events', unnest(['line_no_from_1', 'known_severity', 'digest_of_64']), 0
+          UNION ALL SELECT 'log_events', 'node_not_null', nodes FROM c UNION ALL SELECT 'log_events', 'epoch_in_span', outside FROM c
+          UNION ALL SELECT 'log_events', 'time_is_epoch', outside FROM c UNION ALL SELECT 'log_events', 'key_is_unique', twice FROM c
+          UNION ALL SELECT 'log_events', 'template_id_in_event_templates', unknown FROM c)
+        SELECT "table", rule, n::BIGINT AS violations FROM rules""",
+    "refreshed_days": f"WITH {_windows()} SELECT {_W_COLS}, strftime(make_timestamp(window_start * 1000000), '%Y-%m-%d') AS day, 1::INT AS refreshed FROM win",
     "text_lines": f"WITH {EVENTS} SELECT line_no, epoch, node, severity, message, is_alert FROM ev",
     "text_load_windows": f"WITH {_windows(where='line_no % 10 = 0')} SELECT {_W_COLS} FROM win",
     "stream_delays": f"WITH {_windows()} SELECT count(*) AS windows, count(*) AS delayed, 0::BIGINT AS ahead FROM win",

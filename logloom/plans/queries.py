@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.text import detector_label, mask_message, page_offset, percent, template_id
 from logloom.functions.time import iso_millis, window_floor, window_id
-from logloom.operators import aggregate, compare, evaluate, load, metrics
+from logloom.operators import aggregate, compare, constraints, evaluate, load, metrics
 from logloom.operators.detect import TRAIN, ZScore
 from logloom.operators.features import Matrix, build_matrix, cutoff, split_parts, top_templates
 from logloom.operators.parse import good, parse, rejects
@@ -383,7 +383,7 @@ def idempotent_append(spark, sf_dir):
 def loaded_events(spark, sf_dir):
     """What the two loads leave in the event table."""
     warehouse, _, _ = _reloaded(spark, sf_dir)
-    return spark.read.parquet(f"{warehouse}/log_events").select("line_no", "epoch", "severity", "template_id", "line_sha256")
+    return load.table(spark, warehouse, "log_events").select("line_no", "epoch", "severity", "template_id", "line_sha256")
 
 
 def replaced_windows(spark, sf_dir):
@@ -397,6 +397,37 @@ def replaced_windows(spark, sf_dir):
     return a.select(F.lit("features").alias("tab"), "*").unionByName(b.select(F.lit("templates").alias("tab"), "*"))
 
 
+def constraint_violations(spark, sf_dir):
+    """Rules that the event table breaks where every 11th node is null, every 13th line twice, every 17th
+    template unknown and every 19th epoch outside of its span, with those it keeps."""
+    events = _events(spark, sf_dir)
+    known = aggregate.template_catalog(events).withColumn("first_seen", F.timestamp_seconds("first_seen"))
+    each = lambda n: F.col("line_no") % n == 0
+    broken = events.withColumns(
+        {
+            "node": F.when(~each(11), F.col("node")),
+            "template_id": F.when(each(17), "none").otherwise(F.col("template_id")),
+            "epoch": F.when(each(19), F.lit(5).cast("long")).otherwise(F.col("epoch")),
+        }
+    )
+    broken = broken.unionByName(broken.filter(each(13)))
+    return constraints.violations({"log_events": broken, "event_templates": known})
+
+
+def refreshed_days(spark, sf_dir):
+    """Hourly windows after a first load, a refresh, a second load of the last day alone, and a second
+    refresh, which rebuilds that day; refreshed: how many days the second refresh rebuilt."""
+    warehouse, lines = sink.shared_folder(spark), event_lines(spark, sf_dir)
+    day = F.floor(F.split("value", " ", 3)[1].cast("bigint") / 86400)
+    last = lines.agg(F.max(day)).first()[0]
+    load.load(spark, lines.filter(day < last), warehouse)
+    load.refresh_windows(spark, warehouse, HOUR)
+    load.load(spark, lines.filter(day == last), warehouse)
+    load.refresh_windows(spark, warehouse, HOUR)
+    days = load.table(spark, warehouse, "window_refreshes").agg(F.max_by("days", "through_run")).first()[0]
+    return load.table(spark, warehouse, "window_features").drop("window_seconds").withColumn("refreshed", F.lit(days))
+
+
 def _written_log(spark, lines: DataFrame) -> str:
     """A folder with the lines as text, in their order over several files."""
     folder = f"{sink.shared_folder(spark)}/log"
@@ -418,7 +449,7 @@ def text_load_windows(spark, sf_dir):
     warehouse = sink.shared_folder(spark)
     load.load(spark, read_lines(spark, _written_log(spark, damaged_lines(spark, sf_dir))), warehouse)
     load.refresh_windows(spark, warehouse, HOUR)
-    return spark.read.parquet(f"{warehouse}/window_features").drop("window_seconds")
+    return load.table(spark, warehouse, "window_features").drop("window_seconds", "day")
 
 
 # Streams

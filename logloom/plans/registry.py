@@ -22,7 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q.detector_scores_ranked, q.best_detector, q.logistic_eval, q.gbt_eval, q.iforest_eval, q.health,
         q.rule_zscore_scores_ranked, q.rule_zscore_best, q.rule_zscore_health, q.rule_zscore_flags, q.full_feature_matrix, q.all_detectors_windows_page, q.summary,
         q.first_anomalous_index, q.detector_flags, q.windows_page, q.window_top_templates, q.idempotent_append,
-        q.loaded_events, q.replaced_windows, q.text_lines, q.text_load_windows, q.stream_delays, q.stream_native_windows, q.stream_exact_windows, q.stream_batch_parity,
+        q.loaded_events, q.replaced_windows, q.refreshed_days, q.constraint_violations, q.text_lines, q.text_load_windows, q.stream_delays, q.stream_native_windows, q.stream_exact_windows, q.stream_batch_parity,
         q.late_side_output, q.stream_partition_clocks, q.stream_open_windows, q.rolled_up_windows, q.member_totals, q.scored_documents, q.flagged_top10,
     )
 }

@@ -18,6 +18,14 @@ class Settings:
     train_fraction: float = 0.7
     top_templates: int = 20
     lateness: int = 0
+    kafka_servers: str = ""
+    kafka_topic: str = "raw-logs"
+    kafka_group: str = "windows"
+    index: str = ""
+    statistics: str = ""
+    partitions: int = 6
+    idle_timeout: float = 10.0
+    max_runtime: float = 1800.0
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
@@ -37,3 +45,9 @@ class Settings:
         if not self.warehouse:
             raise RuntimeError(f"{PREFIX}WAREHOUSE or --warehouse must name the folder of the tables")
         return self.warehouse
+
+    def servers(self) -> str:
+        """The Kafka servers, which have no default either."""
+        if not self.kafka_servers:
+            raise RuntimeError(f"{PREFIX}KAFKA_SERVERS must name the servers")
+        return self.kafka_servers

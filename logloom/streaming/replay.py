@@ -47,6 +47,23 @@ def produce_partitioned(lines: DataFrame, topic: str, partitions: int = 6, windo
     return topics.append(out, topic, files)
 
 
+def paced_partitioned(lines: DataFrame, topic: str, speed: float, partitions: int = 6, window_seconds: int = 60, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Append the log to a partitioned topic slice by slice, a window's time each, at `speed` times event time; returns the slices."""
+    if speed <= 0:
+        raise ValueError(f"speed must be positive, got {speed}")
+    spark, stage = lines.sparkSession, f"{topic.rstrip('/')}-staged-{uuid4().hex}"
+    records(lines, window_seconds).drop("produced_at").repartition("key").write.partitionBy("key").parquet(stage)
+    starts = sorted(int(r["key"]) for r in spark.read.schema(TOPIC).option("basePath", stage).parquet(stage).select("key").distinct().collect())  # one per window
+    for i, start in enumerate(starts):
+        if i:
+            sleep((start - starts[i - 1]) / speed)
+        own = spark.read.schema(TOPIC).option("basePath", stage).parquet(f"{stage}/key={start}").withColumn("produced_at", F.current_timestamp())
+        topics.append(own.withColumn("partition", topics.partition_of(F.col("key"), partitions)), topic)
+    at = spark._jvm.org.apache.hadoop.fs.Path(stage)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(starts)
+
+
 def paced(lines: DataFrame, topic: str, speed: float = 0.0, window_seconds: int = 60, sleep: Callable[[float], None] = time.sleep) -> int:
     """Append the log to a topic slice by slice at `speed` times event time; returns the slices.
 
@@ -95,9 +112,10 @@ def drain_stream(spark: SparkSession, folder: str, partitions: int) -> DataFrame
     return spark.readStream.schema(DRAINS).parquet(folder)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 5000) -> DataFrame:
-    """Records of a Kafka topic from its start; offsets live in the query's checkpoint."""
-    raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", per_trigger).load()
+def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 5000, group: str = "") -> DataFrame:
+    """Records of a Kafka topic from its start; offsets live in the query's checkpoint, the group only names its readers."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "maxOffsetsPerTrigger": per_trigger}
+    raw = spark.readStream.format("kafka").options(**options | ({"groupIdPrefix": group} if group else {})).load()
     return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), F.col("topic").alias("source_file"), F.col("offset").alias("line_no"), F.col("timestamp").alias("produced_at"), "partition", "offset")
 
 
