@@ -44,3 +44,16 @@ def by_value(df: DataFrame, column: str, buckets: int = 64) -> Column:
     """Bucket of a falling order by value: between approximate quantiles."""
     cuts = df.agg(F.percentile_approx(column, [i / buckets for i in range(1, buckets)], 1000).alias("q")).first()["q"] or []
     return -sum((F.when(F.col(column) >= F.lit(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+
+
+def quantile(df: DataFrame, column: str, share: float) -> float:
+    """The value at share of the way from the least to the largest, linear between two neighbours.
+
+    Equal values are counted first and ranked in buckets, so no task or buffer holds all of them.
+    """
+    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    upto = running(counted, -by_value(counted, "v"), [F.col("v")], {"upto": F.col("n")})
+    n = counted.agg(F.sum("n")).first()[0]
+    at = (n - 1) * share
+    low, high = (upto.filter(F.col("upto") > int(k)).agg(F.min("v")).first()[0] for k in (at, min(at + 1, n - 1)))
+    return low + (high - low) * (at - int(at))

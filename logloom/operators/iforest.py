@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.ranking import quantile
 from logloom.operators.detect import TRAIN
 from logloom.operators.features import Matrix
+from logloom.sources.scratch import checkpointed
 
 TREES, SAMPLE, SEED = 200, 256, 42
 #: Rows that trees draw from: those of the smallest hash among the training windows.
@@ -87,9 +89,8 @@ def isolation_forest(matrix: Matrix, trees: int = TREES, seed: int = SEED) -> Da
             mean = np.mean([depths(t, rows) for t in sent.value], axis=0) if len(rows) else np.zeros(0)
             yield batch[["window_start", "part", "label"]].assign(score=2.0 ** (-mean / max(path_norm(size), 1e-9)))
 
-    scored = matrix.rows.mapInPandas(score, "window_start bigint, part string, label boolean, score double")
-    in_train = scored.filter(F.col("part").isin(*TRAIN))
-    rate = F.least(F.greatest(F.avg(F.col("label").cast("double")), F.lit(1e-6)), F.lit(0.5))
-    limits = in_train.agg(rate.alias("rate")).first()["rate"]
-    threshold = in_train.agg(F.percentile("score", F.lit(1 - limits)).alias("t")).first()["t"]
+    rate = train.agg(F.least(F.greatest(F.avg(F.col("label").cast("double")), F.lit(1e-6)), F.lit(0.5))).first()[0]
+    # Scored once: the threshold and the result read the same scores.
+    scored = checkpointed(matrix.rows.mapInPandas(score, "window_start bigint, part string, label boolean, score double"))
+    threshold = quantile(scored.filter(F.col("part").isin(*TRAIN)), "score", 1 - rate)
     return scored.withColumn("predicted", F.col("score") > F.lit(threshold)).withColumn("threshold", F.lit(float(threshold)))

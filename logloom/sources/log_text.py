@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logloom.sources.scratch import checkpointed
 from logloom.sources.tables import read_table
 
 #: Least error values of a failure and of an alert in the events table.
 FAILURE_VALUE, ALERT_VALUE = 100, 200
 
 
-#: Files of a log up to which block offsets, a row each, are sent to the tasks (16 MB at
-#: most); beyond, lines are joined with them by a shuffle.
-BROADCAST_FILES = 100_000
+#: Blocks of a log up to which their offsets, a row each, are sent to the tasks (some 20 MB
+#: at most); beyond, lines are joined with them by a shuffle.
+BROADCAST_BLOCKS = 100_000
 
 
 def read_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -21,18 +22,23 @@ def read_lines(spark: SparkSession, path: str, limit: int | None = None) -> Data
 
     A block's lines are numbered by their order in the scan; a first pass counts
     the lines of the blocks before. So no text is shuffled or sorted, and a file
-    is not pulled through one task. limit: the first lines of each file.
+    is not pulled through one task. Should the second scan cut the files otherwise, as
+    with other cores meanwhile, it fails and doesn't number wrongly. limit: the first
+    lines of each file.
     """
+    at = F.monotonically_increasing_id()
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
-        .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
+        .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"), at.alias("_at"), F.spark_partition_id().alias("_part"), "value")
     )
-    counts = lines.groupBy("source_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    keys = ["source_file", "_block", "_part"]
+    counts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("source_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
-    starts = F.broadcast(starts) if len(lines.inputFiles()) <= BROADCAST_FILES else starts
-    out = lines.join(starts, ["source_file", "_block"]).select("source_file", (F.col("_at") + F.col("_shift")).alias("line_no"), "value")
+    starts = checkpointed(counts.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_BLOCKS else starts
+    shift = F.coalesce("_shift", F.raise_error(F.lit("the log was cut otherwise than when its lines were counted; read it again")).cast("long"))
+    out = lines.join(starts, keys, "left").select("source_file", (F.col("_at") + shift).alias("line_no"), "value")
     return out if limit is None else out.filter(F.col("line_no") <= limit)
 
 

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a table up to which it is dealt out anew; a larger one is read as it is split.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """df, dealt out anew where it comes in fewer partitions than there are cores.
+    """df, dealt out anew where it is small and comes in fewer partitions than there are cores.
 
     A table of one small file is otherwise a single task's work. df is a scan, so
-    asking for its partitions runs nothing; large tables are left as they are.
+    asking for its size and its partitions runs nothing.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    plan = df._jdf.queryExecution()
+    if plan.optimizedPlan().stats().sizeInBytes() > SPREAD_BYTES:
+        return df
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
 
 
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

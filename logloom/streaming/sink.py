@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import time
 from collections.abc import Callable
 from functools import reduce
@@ -17,18 +16,12 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from logloom.sources import topic
 from logloom.sources.schemas import require
+from logloom.sources.scratch import checkpoint_folder
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one that spark.checkpoint.dir names; one of our own
-    only where it is unset in local mode (tests)."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return f"{sc._jsc.sc().getCheckpointDir().get()}/run-{uuid4().hex}"
+    """A new folder under the shared one."""
+    return f"{checkpoint_folder(spark)}/run-{uuid4().hex}"
 
 
 def upsert(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, columns: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
