@@ -89,13 +89,14 @@ def _split_lines(split: dict, window_seconds: int) -> list[str]:
 
 
 def report(scored: DataFrame, split: dict | None = None, window_seconds: int = 60) -> str:
-    """Text table of the scores and confusion counts, by rank, under the split if given; the first row is the best one, the first of equals."""
+    """Text table of the scores and confusion counts, by rank, under a description of the split
+    and of the best F1 where that is given; the first row is the best one, the first of equals."""
     label = detector_label(F.col("detector"), F.col("variant")).alias("name")
     counts = ("true_positives", "false_positives", "false_negatives", "true_negatives")
     rows = scored.orderBy(F.desc("f1"), "ordinal").select(label, "precision", "recall", "f1", *counts).collect()
     lines = _split_lines(split, window_seconds) if split else []
+    if split and rows:
+        lines[-1:] = [f"best F1: {rows[0]['f1']:.4f}, that of the first row", ""]
     lines.append(f"{'detector':<40} {'precision':>9} {'recall':>9} {'f1':>9} {'TP':>7} {'FP':>7} {'FN':>7} {'TN':>7}")
     lines += [f"{r['name']:<40} {r['precision']:>9.4f} {r['recall']:>9.4f} {r['f1']:>9.4f} " + " ".join(f"{r[c]:>7}" for c in counts) for r in rows]
-    if rows:
-        lines += ["", f"best F1: {rows[0]['f1']:.4f}, that of the first row"]
     return "\n".join(lines)

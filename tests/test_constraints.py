@@ -137,8 +137,10 @@ def test_report_has_split_counts_and_best(spark):
     split = {"train": {"windows": 7, "first": 0, "last": 360, "anomalous": 2}, "test": {"windows": 3, "first": 420, "last": 540, "anomalous": 1}, "cutoff": 420, "features": 12, "severity_free": 5}
     text = evaluate.report(scored, split, 60).splitlines()
     assert "7 train, 3 test" in text[0] and "1970-01-01T00:07:00+00:00" in text[1] and "2 of 7 (28.57%) train" in text[2] and text[3].startswith("features: 12, 5")
-    assert text[5].split()[-4:] == ["TP", "FP", "FN", "TN"] and text[6].split()[-4:] == ["3", "1", "2", "4"]
-    assert text[6].startswith("severity rule") and text[-1] == "best F1: 0.6667, that of the first row"  # the first of equals
+    assert text[4] == "best F1: 0.6667, that of the first row" and text[5] == ""
+    assert text[6].split()[-4:] == ["TP", "FP", "FN", "TN"] and text[7].split()[-4:] == ["3", "1", "2", "4"]
+    assert text[7].startswith("severity rule") and len(text) == 10  # the first of equals
+    assert len(evaluate.report(scored).splitlines()) == 4
 
 
 def test_stream_commands(spark, tmp_path, capsys):
