@@ -58,11 +58,11 @@ def _parser(settings: Settings) -> argparse.ArgumentParser:
     c.add_argument("--stats", default=settings.statistics)
     c.add_argument("--window-seconds", type=int, default=settings.window_seconds)
     c.add_argument("--lateness", type=int, default=settings.lateness)
-    c.add_argument("--max-runtime", type=float, help="seconds after which the run stops in good order")
+    c.add_argument("--max-runtime", type=float, default=settings.max_runtime or None, help="seconds after which the run stops in good order")
     c.add_argument("--kafka", action="store_true", help="from Kafka; the topic is its name")
     c.add_argument("--partitioned", action="store_true", help="the topic is a partitioned one")
     c.add_argument("--per-trigger", type=int, help="records of a batch at most")
-    c.add_argument("--idle-timeout", type=float, help="seconds without records after which open windows close and the run ends")
+    c.add_argument("--idle-timeout", type=float, default=settings.idle_timeout or None, help="seconds without records after which open windows close and the run ends")
     c = commands.add_parser("measure")
     c.add_argument("log")
     c.add_argument("--limit", type=int)

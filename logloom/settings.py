@@ -24,8 +24,8 @@ class Settings:
     index: str = ""
     statistics: str = ""
     partitions: int = 6
-    idle_timeout: float = 10.0
-    max_runtime: float = 1800.0
+    idle_timeout: float = 0.0  # 0: none
+    max_runtime: float = 0.0
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
