@@ -119,7 +119,7 @@ def _consume(spark, args, settings: Settings) -> None:
     else:
         stream = replay.topic_stream(spark, args.topic)
     stats = scoring.load_statistics("".join(r[0] for r in spark.read.text(args.stats, wholetext=True).collect())) if args.stats else None
-    columns = (*schemas.DOCUMENT, *schemas.DELAYS) if stats else ()
+    columns = schemas.DOCUMENT_TYPES if stats else ()
 
     def prepare(batch):
         windows = exact.closed_windows(batch, args.window_seconds)

@@ -35,8 +35,25 @@ PREDICTIONS = "window_start bigint, detector string, variant string, predicted b
 DELAYS = ("produced_at", "indexed_at", "ingest_lag_ms")
 
 
-def require(df: DataFrame, columns: tuple[str, ...], exact: bool = False) -> DataFrame:
-    """df, if it has the columns (and no others, if exact)."""
+#: Types of the index's rows, by name.
+DOCUMENT_TYPES = {
+    **dict.fromkeys(("window_id", "window_start", "window_end"), "string"),
+    "window_seconds": "int",
+    **{c: "double" if c == "error_rate" else "bigint" for c in WINDOW_COUNTS},
+    **dict.fromkeys(("alert_count", "late_events"), "bigint"),
+    "zscore": "double",
+    **dict.fromkeys(("is_anomalous", "severity_flag", "zscore_flag", "flagged"), "boolean"),
+    **dict.fromkeys(("produced_at", "indexed_at"), "timestamp"),
+    "ingest_lag_ms": "bigint",
+}
+
+
+def require(df: DataFrame, columns: tuple[str, ...] | dict[str, str], exact: bool = False) -> DataFrame:
+    """df, if it has the columns (and no others, if exact), of the types that a dict gives."""
+    if isinstance(columns, dict):
+        found = dict(df.dtypes)
+        if wrong := {c: f"{found[c]}, not {t}" for c, t in columns.items() if c in found and found[c] != t}:
+            raise ValueError(f"columns of other types: {wrong}")
     missing = [c for c in columns if c not in df.columns]
     extra = [c for c in df.columns if c not in columns] if exact else []
     if missing or extra:

@@ -24,10 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/run-{uuid4().hex}"
 
 
-def upsert(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, columns: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+def upsert(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, columns: tuple[str, ...] | dict[str, str] = ()) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer: a batch replaces its own folder, so a repeated delivery changes nothing.
 
-    columns: those that a batch must have, and no others; any if empty.
+    columns: those that a batch must have, and no others; any if empty. A dict gives their types too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -185,12 +185,12 @@ def _started(writer, spark: SparkSession, path: str):
     return query, counters
 
 
-def _writer(stream: DataFrame, path: str, mode: str, prepare: Callable[[DataFrame], DataFrame], columns: tuple[str, ...]):
+def _writer(stream: DataFrame, path: str, mode: str, prepare: Callable[[DataFrame], DataFrame], columns: tuple[str, ...] | dict[str, str]):
     return stream.writeStream.outputMode(mode).foreachBatch(upsert(f"{path}/out", prepare, columns)).option("checkpointLocation", f"{path}/checkpoint")
 
 
 def run_available(
-    stream: DataFrame, path: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, timeout: int = 1800, columns: tuple[str, ...] = (), max_runtime: int | None = None
+    stream: DataFrame, path: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, timeout: int = 1800, columns: tuple[str, ...] | dict[str, str] = (), max_runtime: int | None = None
 ):
     """Run a stream over what is there, into path/out with its checkpoint beside; returns the query.
 
@@ -211,7 +211,7 @@ def run_available(
 
 
 def run_until_idle(
-    stream: DataFrame, path: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, columns: tuple[str, ...] = (), idle_seconds: float = 0, max_runtime: float | None = None
+    stream: DataFrame, path: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, columns: tuple[str, ...] | dict[str, str] = (), idle_seconds: float = 0, max_runtime: float | None = None
 ):
     """Run batch by batch, as a source with a limit admits them, until nothing has come for
     idle_seconds or max_runtime is over; returns the stopped query."""

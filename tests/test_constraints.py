@@ -9,6 +9,7 @@ from test_load_and_api import LINE, lines
 from logloom import cli
 from logloom.operators import aggregate, constraints, evaluate, load
 from logloom.sources import schemas
+from logloom.streaming import sink
 
 
 def days(spark, source, wanted):
@@ -143,6 +144,16 @@ def test_report_has_split_counts_and_best(spark):
     assert len(evaluate.report(scored).splitlines()) == 4
 
 
+def test_the_index_refuses_other_types(spark, tmp_path):
+    assert {*schemas.DOCUMENT, *schemas.DELAYS} == {*schemas.DOCUMENT_TYPES}
+    write = sink.upsert(str(tmp_path), columns={"a": "bigint", "b": "string"})
+    write(spark.createDataFrame([(1, "x")], "a bigint, b string"), 0)
+    for kind in ("a int, b string", "a bigint, b string, c int", "a bigint"):
+        with pytest.raises(ValueError):
+            write(spark.createDataFrame([], kind), 1)
+    assert spark.read.parquet(str(tmp_path)).count() == 1
+
+
 def test_stream_commands(spark, tmp_path, capsys):
     log = tmp_path / "x.log"
     log.write_text("\n".join(r["value"] for r in lines(spark, "x", 60).orderBy("line_no").collect()))
