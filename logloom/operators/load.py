@@ -169,8 +169,12 @@ def _day(window_start) -> Column:
 
 
 def _put_days(rows: DataFrame, warehouse: str, name: str) -> None:
-    """Replace the sizes and days that rows holds; others stay."""
-    rows.withColumn("day", _day(F.col("window_start"))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_seconds", "day").parquet(f"{warehouse}/{name}")
+    """Replace the sizes and days that rows holds; others stay.
+
+    Rows of a day meet first, so that a day is a file or a few, not one a task; a large day is split.
+    """
+    dealt = rows.withColumn("day", _day(F.col("window_start"))).hint("rebalance", "window_seconds", "day")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_seconds", "day").parquet(f"{warehouse}/{name}")
 
 
 def touched_days(spark: SparkSession, warehouse: str, window_seconds: int) -> tuple[list[str], int]:
