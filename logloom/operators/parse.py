@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.text import BLANKS, escape_nul, mask_message, strip, template_id
+from logloom.functions.text import escape_nul, mask_message, split_blanks, strip, template_id
 
 NORMAL_LABEL = "-"
 #: Header fields, severities and the accepted span of epochs (2000 to 2050).
@@ -49,7 +49,7 @@ def parse(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     value = F.coalesce(F.col("value"), F.lit(""))
     line = F.rtrim(F.rtrim("_raw", F.lit("\n")), F.lit("\r"))
     cut = lines.select("source_file", "line_no", *keep, value.alias("_raw"))
-    cut = _once(cut, "_cut", F.struct(line.alias("line"), F.split(strip(line), BLANKS, HEADER_FIELDS + 1).alias("parts")))
+    cut = _once(cut, "_cut", F.struct(line.alias("line"), split_blanks(strip(line), HEADER_FIELDS + 1).alias("parts")))
     part = lambda i: F.get("_cut.parts", F.lit(i))
     epoch = part(1).try_cast("bigint")
     out = _once(cut, "_facts", F.struct(_reason(F.col("_cut.line"), F.col("_cut.parts"), epoch).alias("reason"), epoch.alias("epoch")))

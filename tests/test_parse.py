@@ -132,3 +132,16 @@ def test_line_numbers_over_many_blocks(spark, tmp_path):
 def test_page_offset(spark):
     df = spark.createDataFrame([(1117,), (-1,), (None,), (8245,)], "i bigint")
     assert [r[0] for r in df.select(page_offset(F.col("i"), 300, 8245)).collect()] == [900, 0, 0, 0]
+
+
+def test_blanks_of_any_line_split_as_the_one_pattern_does(spark):
+    from logloom.functions.text import BLANK_CHARS, BLANKS, mask_message, split_blanks
+
+    odd = ["", "a", "a b c d", "a  b", "a b  c d e", " a b ", "é b c", "a\u00a0é b", "ſ\u2003b c", "a\x85b", "a\ufffdb c", "12 é  0x1f\u3000b", "x  10.0.0.1 \t y"]
+    odd += [f"a{c}b {c}{c} c d" for c in BLANK_CHARS] + [f"7{c}b c\x00d {c}" for c in BLANK_CHARS]
+    rows = spark.createDataFrame([(x,) for x in odd], "v string").union(spark.sql("SELECT cast(unhex(h) AS string) FROM VALUES ('6120806220C2'), ('61208520E22062'), ('61C28562') AS t(h)"))
+    v = F.col("v")
+    for limit in (2, 3, 10):
+        assert rows.filter(~split_blanks(v, limit).eqNullSafe(F.split(v, BLANKS, limit))).count() == 0
+    assert rows.filter(~mask_message(v).eqNullSafe(F.trim(F.regexp_replace(mask_message(v), BLANKS, " ")))).count() == 0
+    assert rows.filter(mask_message(v).rlike(f"[{BLANK_CHARS[:-1].replace(' ', '')}]")).count() == 0

@@ -42,3 +42,19 @@ def test_only_small_tables_are_dealt_out(spark, tmp_path, monkeypatch):
     assert tables.read_table(spark, str(tmp_path), "t").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     monkeypatch.setattr(tables, "SPREAD_BYTES", 10)
     assert tables.read_table(spark, str(tmp_path), "t").rdd.getNumPartitions() == 1
+
+
+def test_row_groups_that_the_cuts_miss_are_dealt_out(spark, tmp_path):
+    spark.range(400_000).selectExpr("id", "sha1(cast(id as string)) AS x").coalesce(1).write.option("parquet.block.size", 1 << 30).parquet(f"{tmp_path}/t.parquet")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "1m")
+        assert spark.read.parquet(f"{tmp_path}/t.parquet").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        table = tables.read_table(spark, str(tmp_path), "t")
+        held = [r["n"] for r in table.groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n")).collect()]
+        assert sum(held) == 400_000 and max(held) <= 1.5 * 400_000 / spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
