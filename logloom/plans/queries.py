@@ -15,6 +15,7 @@ from logloom.plans import api
 from logloom.sources import topic
 from logloom.sources.log_text import event_lines, read_lines
 from logloom.sources.schemas import WINDOW_COUNTS
+from logloom.sources.scratch import checkpointed
 from logloom.sources.tables import read_table
 from logloom.streaming import exact, inspect, native, replay, scoring, sink
 
@@ -31,23 +32,27 @@ def _windows(spark: SparkSession, sf_dir: str, seconds: int = HOUR) -> DataFrame
     return aggregate.window_features(_events(spark, sf_dir), seconds)
 
 
-def _matrix(spark: SparkSession, sf_dir: str, templates: int = SQL_TEMPLATES) -> Matrix:
-    events = _events(spark, sf_dir)
-    # Small against the events, and read by every step of a fit.
-    windows, counts = aggregate.window_features(events, HOUR).persist(), aggregate.template_counts(events, HOUR).persist()
-    matrix = build_matrix(windows, counts, 0.7, templates)
+def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Hourly windows and template counts. The events are parsed once for both, and what is left of
+    them after counting is written; both tables are small against them and read by every later step."""
+    counted = checkpointed(aggregate.counted(_events(spark, sf_dir), HOUR))
+    return aggregate.features_of(counted, HOUR).persist(), aggregate.counts_of(counted, HOUR).persist()
+
+
+def _matrix(spark: SparkSession, sf_dir: str, templates: int = SQL_TEMPLATES, tables: tuple[DataFrame, DataFrame] | None = None) -> Matrix:
+    matrix = build_matrix(*(tables or _tables(spark, sf_dir)), 0.7, templates)
     return Matrix(matrix.rows.persist(), matrix.features)
 
 
-def _base_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _base_predictions(spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """The detectors that SQL can follow: rule and z-score."""
-    matrix = _matrix(spark, sf_dir)
+    matrix = _matrix(spark, sf_dir, tables=tables)
     return evaluate.rule_predictions(matrix).unionByName(evaluate.zscore_predictions(matrix))
 
 
-def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _predictions(spark: SparkSession, sf_dir: str, tables: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """All seven detectors over the default templates and rounds, fitted once."""
-    return evaluate.evaluate(_matrix(spark, sf_dir, TEMPLATES)).persist()
+    return evaluate.evaluate(_matrix(spark, sf_dir, TEMPLATES, tables)).persist()
 
 
 # Sources and parsing
@@ -306,26 +311,28 @@ def iforest_eval(spark, sf_dir):
 # Read queries
 
 
-def _health(spark, sf_dir, predictions: DataFrame) -> DataFrame:
-    events = _events(spark, sf_dir)
-    return api.health(events, aggregate.window_features(events, HOUR), evaluate.scores(predictions))
+def _health(spark, sf_dir, detect) -> DataFrame:
+    tables = _tables(spark, sf_dir)
+    return api.health(_events(spark, sf_dir), tables[0], evaluate.scores(detect(spark, sf_dir, tables)))
 
 
 def health(spark, sf_dir):
-    return _health(spark, sf_dir, _predictions(spark, sf_dir))
+    return _health(spark, sf_dir, _predictions)
 
 
 def rule_zscore_health(spark, sf_dir):
-    return _health(spark, sf_dir, _base_predictions(spark, sf_dir))
+    return _health(spark, sf_dir, _base_predictions)
 
 
 def summary(spark, sf_dir):
     """Counts and spans; the windows that any detector scores are those that each scores."""
-    return api.summary(_windows(spark, sf_dir), _base_predictions(spark, sf_dir))
+    tables = _tables(spark, sf_dir)
+    return api.summary(tables[0], _base_predictions(spark, sf_dir, tables))
 
 
 def first_anomalous_index(spark, sf_dir):
-    return api.first_anomalous(_windows(spark, sf_dir), _base_predictions(spark, sf_dir))
+    tables = _tables(spark, sf_dir)
+    return api.first_anomalous(tables[0], _base_predictions(spark, sf_dir, tables))
 
 
 def _flags(predictions: DataFrame) -> DataFrame:
@@ -333,8 +340,9 @@ def _flags(predictions: DataFrame) -> DataFrame:
     return api.detector_flags(predictions).select("window_start", F.to_json("flags").alias("flags"))
 
 
-def _page(spark, sf_dir, predictions: DataFrame) -> DataFrame:
-    page = api.windows_page(_windows(spark, sf_dir), predictions, limit=100, offset=20, scored_only=True)
+def _page(spark, sf_dir, detect) -> DataFrame:
+    tables = _tables(spark, sf_dir)
+    page = api.windows_page(tables[0], detect(spark, sf_dir, tables), limit=100, offset=20, scored_only=True)
     return page.withColumns({"detector_flags": F.to_json("detector_flags"), "error_rate": F.round("error_rate", 6)})
 
 
@@ -347,12 +355,12 @@ def rule_zscore_flags(spark, sf_dir):
 
 
 def all_detectors_windows_page(spark, sf_dir):
-    return _page(spark, sf_dir, _predictions(spark, sf_dir))
+    return _page(spark, sf_dir, _predictions)
 
 
 def windows_page(spark, sf_dir):
     """The page with the flags of rule and z-score, as its SQL has it."""
-    return _page(spark, sf_dir, _base_predictions(spark, sf_dir))
+    return _page(spark, sf_dir, _base_predictions)
 
 
 def window_top_templates(spark, sf_dir):

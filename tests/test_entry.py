@@ -70,3 +70,10 @@ def test_read_queries_have_all_seven_detectors(spark, monkeypatch):
         assert {len(json.loads(r[column])) for r in registry.QUERIES[name](spark, SMALL).collect()} == {7}
     matrix = registry.QUERIES["full_feature_matrix"](spark, SMALL)
     assert sum(c.startswith("tpl_") for c in matrix.columns) == spark.read.parquet(f"{SMALL}/events.parquet").select("event_type").distinct().count()
+
+
+@pytest.mark.parametrize("name", ["feature_matrix", "zscore_scores", "summary", "first_anomalous_index"])
+def test_read_queries_parse_the_events_once(spark, name):
+    """What is left to run when the query returns reads counted events, not lines."""
+    plan = registry.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
+    assert "regexp_replace" not in plan and "events.parquet" not in plan
