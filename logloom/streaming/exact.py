@@ -13,6 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -34,28 +36,53 @@ OUT = (
 _NAMES = [x.split()[0] for x in OUT.split(", ")]
 _FACTS = ("event_count", *COUNTS, "alert_count")
 _STATE = ", ".join(f"{c} bigint" for c in _FACTS) + ", produced_ms bigint, n_nodes bigint, n_templates bigint, chunks int"
+#: Values of a window that are held before they are made distinct.
+_PENDING = 4096
 _SEPARATOR = "\0"  # in no node of a line that parses
 
 
-def _packed(values: set[str]) -> bytes | None:
-    return _SEPARATOR.join(sorted(values)).encode() if values else None
+def _packed(values: pa.Array) -> bytes | None:
+    return _SEPARATOR.join(sorted(values.to_pylist())).encode() if len(values) else None
 
 
-def _unpacked(values: bytes | None) -> set[str]:
-    return set() if values is None else set(bytes(values).decode().split(_SEPARATOR))
+def _without(values: pa.Array, packed: bytes | None) -> pa.Array:
+    """The values that a chunk doesn't have."""
+    if packed is None or not len(values):
+        return values
+    known = pa.array(bytes(packed).decode().split(_SEPARATOR), pa.string())
+    return values.filter(pc.invert(pc.is_in(values, value_set=known)))
+
+
+class _Values:
+    """Distinct strings as Arrow arrays, which take some ten bytes a short value, not a Python string and a
+    set's entry. What was added is made distinct whenever it outgrows what already is."""
+
+    def __init__(self, once: pa.Array):
+        self.once, self.more, self.pending = once, [], 0
+
+    def add(self, values: pa.Array) -> None:
+        self.more.append(values)
+        self.pending += len(values)
+        if self.pending > max(_PENDING, len(self.once)):
+            self.distinct()
+
+    def distinct(self) -> pa.Array:
+        if self.more:
+            self.once, self.more, self.pending = pc.unique(pa.concat_arrays([self.once, *self.more])), [], 0
+        return self.once
 
 
 class _Window:
     """What a batch adds to a window."""
 
-    def __init__(self, facts: np.ndarray, produced_ms: int, nodes: set[str], templates: set[str]):
-        self.facts, self.produced_ms, self.nodes, self.templates = facts, produced_ms, nodes, templates
+    def __init__(self, facts: np.ndarray, produced_ms: int, nodes: pa.Array, templates: pa.Array):
+        self.facts, self.produced_ms, self.nodes, self.templates = facts, produced_ms, _Values(nodes), _Values(templates)
 
     def add(self, other: _Window) -> None:
         self.facts = self.facts + other.facts
         self.produced_ms = max(self.produced_ms, other.produced_ms)
-        self.nodes |= other.nodes
-        self.templates |= other.templates
+        self.nodes.add(other.nodes.distinct())
+        self.templates.add(other.templates.distinct())
 
 
 def _folded(events: pd.DataFrame) -> dict[int, _Window]:
@@ -64,13 +91,16 @@ def _folded(events: pd.DataFrame) -> dict[int, _Window]:
     for s, c in zip(SEVERITIES, COUNTS, strict=True):
         counts[c] = (events["severity"] == s).astype(np.int64)
     counts["alert_count"] = events["is_alert"].astype(np.int64)
-    facts = counts.groupby("window_start")[list(_FACTS)].sum()
+    facts = counts.groupby("window_start")[list(_FACTS)].sum()  # in the order of the starts
     produced = events.groupby("window_start")["produced_ms"].max().fillna(-1)
     values = {}
     for c in ("node", "template_id"):
-        once = events[["window_start", c]].drop_duplicates()
-        values[c] = once.groupby("window_start")[c].agg(set)
-    return {int(w): _Window(f, int(produced[w]), values["node"][w], values["template_id"][w]) for w, f in zip(facts.index, facts.to_numpy(), strict=True)}
+        once = events[["window_start", c]].drop_duplicates().sort_values("window_start", kind="stable")
+        starts, column = once["window_start"].to_numpy(), pa.array(once[c], pa.string())
+        cuts = zip(np.searchsorted(starts, facts.index, "left"), np.searchsorted(starts, facts.index, "right"), strict=True)
+        values[c] = [column.take(pa.array(np.arange(i, j))) for i, j in cuts]  # copies, so that no window holds the chunk
+    rows = zip(facts.index, facts.to_numpy(), values["node"], values["template_id"], strict=True)
+    return {int(w): _Window(f, int(produced[w]), nodes, templates) for w, f, nodes, templates in rows}
 
 
 class WindowProcessor(StatefulProcessor):
@@ -101,7 +131,8 @@ class WindowProcessor(StatefulProcessor):
                 continue
             latest = max(latest, int(events["epoch"].max()))
             behind = events["window_start"] < closed
-            late.append(events.loc[behind, ["window_start", "epoch"]])
+            if behind.any():
+                late.append(events.loc[behind, "epoch"].to_numpy(np.int64))
             for start, window in _folded(events[~behind]).items():
                 if start in new:
                     new[start].add(window)
@@ -124,7 +155,10 @@ class WindowProcessor(StatefulProcessor):
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield self._frame(key, pd.concat([pd.DataFrame(out, columns=_NAMES), *(x.assign(kind="late", watermark=mark) for x in late)]))
+        yield self._frame(key, pd.DataFrame(out, columns=_NAMES))
+        # Late events wait for the batch's mark as eight bytes each, and become rows a chunk at a time.
+        for epochs in late:
+            yield self._frame(key, pd.DataFrame({"kind": "late", "window_start": epochs - epochs % self.window_seconds, "epoch": epochs, "watermark": mark}))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         latest, closed, _ = self.clock.get() if self.clock.exists() else (-1, 0, _NEVER)
@@ -140,19 +174,19 @@ class WindowProcessor(StatefulProcessor):
         """The state of a window; that of an unknown one has no chunks."""
         return self.open.getValue((start,)) if self.open.containsKey((start,)) else (*[0] * len(_FACTS), -1, 0, 0, 0)
 
-    def _unseen(self, start: int, window: _Window, chunks: int) -> tuple[set[str], set[str]]:
+    def _unseen(self, start: int, window: _Window, chunks: int) -> tuple[pa.Array, pa.Array]:
         """The window's nodes and templates that no chunk has."""
-        nodes, templates = window.nodes, window.templates
+        nodes, templates = window.nodes.distinct(), window.templates.distinct()
         for chunk in range(chunks):
             a, b = self.values.getValue((start, chunk))
-            nodes, templates = nodes - _unpacked(a), templates - _unpacked(b)
+            nodes, templates = _without(nodes, a), _without(templates, b)
         return nodes, templates
 
     def _keep(self, start: int, window: _Window) -> None:
         """Add what the batch brought to the state of a window that stays open."""
         *facts, produced, n_nodes, n_templates, chunks = self._known(start)
         nodes, templates = self._unseen(start, window, chunks)
-        if nodes or templates:
+        if len(nodes) or len(templates):
             self.values.updateValue((start, chunks), (_packed(nodes), _packed(templates)))
             chunks += 1
         counts = [int(a + b) for a, b in zip(facts, window.facts, strict=True)]

@@ -182,3 +182,52 @@ def test_counters_count_every_batch_of_a_long_run(spark, tmp_path):
     assert len(query.recentProgress) <= 100
     kept = sink.stored_counts(spark, str(tmp_path))
     assert kept.agg(F.count("batch_id"), F.sum("records"), F.sum("rejected")).first() == (123, 123, 3)
+
+
+def test_a_batch_holds_late_events_and_values_compactly():
+    """Late rows come out a chunk at a time, and the distinct values of a window cost little more than their bytes."""
+    import tracemalloc
+
+    import pandas as pd
+    import pyarrow as pa
+
+    class Value:
+        def __init__(self, at):
+            self.at = at
+
+        exists = lambda self: self.at is not None
+        get = lambda self: self.at
+
+        def update(self, at):
+            self.at = at
+
+    class Map(dict):
+        keys = lambda self: iter(())
+        containsKey = lambda self, k: False
+        updateValue = dict.__setitem__
+
+    def chunk(i):
+        n = 10_000
+        epoch = [60 * 1000 + 3600 * (j % 2) for j in range(n)]  # half of them late
+        names = {"window_start": [e - e % 60 for e in epoch], "epoch": epoch, "node": [f"n{i * n + j}" for j in range(n)]}
+        return pd.DataFrame(names).assign(template_id="t", severity="INFO", is_alert=False, drain=False, produced_ms=None)
+
+    own = exact.WindowProcessor(60, 0, None)
+    own.clock, own.open, own.values = Value((0, 60 * 1030, exact._NEVER)), Map(), Map()
+    start = pa.total_allocated_bytes()
+    peak = 0
+
+    def chunks():
+        nonlocal peak
+        for i in range(40):
+            peak = max(peak, tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - start)
+            yield chunk(i)
+
+    tracemalloc.start()
+    frames = own.handleInputRows((0,), chunks(), None)
+    sizes = [(len(f), int((f["kind"] == "late").sum()), f["window_start"].dropna().unique().tolist()) for f in frames]
+    tracemalloc.stop()
+    assert sum(late for _, late, _ in sizes) == 200_000 and max(n for n, _, _ in sizes) <= 10_000
+    assert all(starts == [60_000] for _, n, starts in sizes if n)
+    assert peak < 16 << 20
+    assert own.open[(63_600,)][0] == 200_000 and own.open[(63_600,)][-3] == 200_000
