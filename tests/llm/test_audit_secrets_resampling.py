@@ -114,6 +114,27 @@ def test_network_adds_unlabelled_secrets_and_leaves_clean_text(spark):
     assert len(added & set(planted)) >= 0.8 * len(planted) and len(added - set(planted)) <= 2
 
 
+def test_network_learns_from_all_findings_however_they_are_spread(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(14))
+    rows = [(i, f'{word()} token = "{"".join(rng.choice("0123456789abcdef") for _ in range(40))}" {word()} and {word()}') for i in range(1_100)]
+    rows.append((-1, "password = " + "".join(rng.choice("abcXYZ019") for _ in range(3_000))))
+    found = secret_scan.scanned(spark.createDataFrame(rows, "doc_id bigint, text string"), ["doc_id"]).persist()
+    labelled = {(c["label"], c["lead"], c["end"] - c["start"], c["around"]) for r in found.collect() for c in r["candidates"] if c["label"] is not None}
+    assert sum(y for y, *_ in labelled) == 1_101 and len(labelled) > 4_000
+    models = [secret_scan.fitted(f, shard=1_500) for f in (found, found.repartition(5))]
+    assert [m.findings for m in models] == [len(labelled)] * 2 and models[0].recall >= 0.95
+    assert models[0].thresholds == models[1].thresholds and np.array_equal(models[0].network.conv, models[1].network.conv)
+
+
+def test_shards_share_few_findings_of_a_class(spark):
+    rows = [(i, f"{w}{'x' * 8} token = {i:032x}") for i, w in enumerate("ab" * 6)] + [(99, " ".join("".join(p) for p in permutations("abcde")).replace(" ", "lmnopqrst "))]
+    found = secret_scan.findings(secret_scan.scanned(spark.createDataFrame(rows, "doc_id bigint, text string"), ["doc_id"]), shard=20)
+    held = found.rows.groupBy("shard").agg(F.count_if(F.col("label") == 1).alias("secrets")).collect()
+    assert len(held) == found.shards > 5 and min(r["secrets"] for r in held) > 0
+    assert found.rows.filter("copy = 0").count() == found.harmless + found.secrets
+
+
 def test_secret_scan_odd_rows(spark, docs, no_docs):
     own = docs.withColumns({"spans": F.lit(1), "_text": F.lit("kept"), "a.b": F.lit(2), "_spans": F.lit(3), "_candidates": F.lit(4)})
     carry = ["doc_id", "_text", "a.b", "_spans", "_candidates", "spans"]
