@@ -37,13 +37,25 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANK_CHARS))
 
 
+#: ASCII texts without any of these need two of the masks, in ASCII's meaning, and keep their white space. No mask brings
+#: one of them in.
+_RARE = ("0x", ".", "-M", "/", "  ")
+_PLAIN_MASKS = tuple((pattern.removeprefix("(?U)"), mask) for pattern, mask in (MASKS[3], MASKS[5]))
+
+
 def mask_message(message: Column) -> Column:
     """The template of a message: variable parts masked, white space collapsed."""
+    plain = is_ascii(message) & ~message.rlike("[\t-\r\x1c-\x1f]")
+    for part in _RARE:
+        plain &= ~F.contains(message, F.lit(part))
+    short = message
+    for pattern, mask in _PLAIN_MASKS:
+        short = F.regexp_replace(short, pattern, mask)
     # Masks are ASCII, so the masked message is where the message is.
     blanks = F.when(is_ascii(message), F.lit(ASCII_BLANKS)).otherwise(F.lit(BLANKS))
     for pattern, mask in MASKS:
         message = F.regexp_replace(message, pattern, mask)
-    return F.trim(F.regexp_replace(message, blanks, F.lit(" ")))
+    return F.trim(F.when(plain, short).otherwise(F.regexp_replace(message, blanks, F.lit(" "))))
 
 
 def template_id(template: Column) -> Column:

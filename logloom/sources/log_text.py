@@ -56,6 +56,7 @@ def severity_of_event(event_type: Column, value: Column) -> Column:
 def events_as_lines(events: DataFrame) -> DataFrame:
     """source_file, line_no, value: the events table written as log lines."""
     at = F.col("ts").cast("timestamp")
+    stamp = F.date_format(at, "yyyy-MM-dd-HH.mm.ss.SSSSSS")
     node = F.col("user_id").cast("string")
     alert = (F.col("event_type") == "error") & (F.col("value") >= ALERT_VALUE)
     message = F.concat(F.col("event_type"), F.lit(" k="), F.coalesce(F.get_json_object("props", "$.k"), F.lit("")), F.lit(" user "), node)
@@ -63,9 +64,9 @@ def events_as_lines(events: DataFrame) -> DataFrame:
         " ",
         F.when(alert, "ALERT").otherwise("-"),
         F.unix_timestamp(at).cast("string"),
-        F.date_format(at, "yyyy.MM.dd"),
+        F.translate(F.substring_index(stamp, "-", 3), "-", "."),
         node,
-        F.date_format(at, "yyyy-MM-dd-HH.mm.ss.SSSSSS"),
+        stamp,
         node,
         F.lit("RAS"),
         F.lit("APP"),

@@ -1,9 +1,11 @@
 """Parsing, masking and rejects of single lines."""
 
 import hashlib
+import random
 
 import pytest
 
+from logloom.functions import text
 from logloom.functions.text import mask_message, page_offset, template_id
 from logloom.operators.parse import good, parse, rejects
 from logloom.sources.log_text import read_lines
@@ -145,3 +147,18 @@ def test_blanks_of_any_line_split_as_the_one_pattern_does(spark):
         assert rows.filter(~split_blanks(v, limit).eqNullSafe(F.split(v, BLANKS, limit))).count() == 0
     assert rows.filter(~mask_message(v).eqNullSafe(F.trim(F.regexp_replace(mask_message(v), BLANKS, " ")))).count() == 0
     assert rows.filter(mask_message(v).rlike(f"[{BLANK_CHARS[:-1].replace(' ', '')}]")).count() == 0
+
+
+def test_short_masks_equal_all_masks(spark):
+    """Random messages against the masks one after the other; those without rare parts take the short way in the plan."""
+    rng = random.Random(8)
+    parts = ["0x", "0x1F", "10.0.0.1", ".", "-M", "R02-M1-N0-C:J12-U11", "deadbeef", "DEADBEEF01", "/", "/a/b", "12", "3.5", "word", "k=", "_", " ", "  ", "\t", "\x1c", "\x0b", "é", "٣", "\u2003", "-", "12345678"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 7)))) for i in range(3_000)] + [(-1, None)]
+    df = spark.createDataFrame(rows, "i int, m string")
+    one = F.col("m")
+    for pattern, mask in text.MASKS:
+        one = F.regexp_replace(one, pattern, mask)
+    want = F.trim(F.regexp_replace(one, text.BLANKS, " "))
+    assert df.filter(~text.mask_message(F.col("m")).eqNullSafe(want)).count() == 0
+    shown = df.select(text.mask_message(F.col("m")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "\\b\\d+" in shown.replace("(?U)\\b\\d+", "")
