@@ -11,9 +11,11 @@ from logloom.functions.text import detector_label
 MAX_LIMIT, MAX_TEMPLATES = 5000, 200
 
 
-def health(events: DataFrame, windows: DataFrame, scores: DataFrame) -> DataFrame:
+def health(events: DataFrame | None, windows: DataFrame, scores: DataFrame) -> DataFrame:
+    """Row counts; without events theirs is that of the windows, as each event is in one window."""
     one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))  # noqa: E731  one row each
-    return one(events, "events").crossJoin(one(windows, "windows")).crossJoin(one(scores, "detector_scores")).withColumn("status", F.lit("ok"))
+    counted = windows.agg(F.coalesce(F.sum("event_count"), F.lit(0)).alias("events")) if events is None else one(events, "events")
+    return counted.crossJoin(one(windows, "windows")).crossJoin(one(scores, "detector_scores")).withColumn("status", F.lit("ok"))
 
 
 def detectors(scores: DataFrame) -> DataFrame:

@@ -313,7 +313,7 @@ def iforest_eval(spark, sf_dir):
 
 def _health(spark, sf_dir, detect) -> DataFrame:
     tables = _tables(spark, sf_dir)
-    return api.health(_events(spark, sf_dir), tables[0], evaluate.scores(detect(spark, sf_dir, tables)))
+    return api.health(None, tables[0], evaluate.scores(detect(spark, sf_dir, tables)))
 
 
 def health(spark, sf_dir):

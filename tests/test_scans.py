@@ -58,3 +58,13 @@ def test_row_groups_that_the_cuts_miss_are_dealt_out(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_health_parses_the_events_once(spark, monkeypatch):
+    from logloom.plans import queries
+
+    calls, parsed = [], queries._events
+    monkeypatch.setattr(queries, "_events", lambda *a: calls.append(a) or parsed(*a))
+    folder = "/root/testdata/sf0.001"
+    row = queries.rule_zscore_health(spark, folder).first()
+    assert len(calls) == 1 and row["events"] == spark.read.parquet(f"{folder}/events.parquet").count()
