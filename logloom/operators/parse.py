@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.text import escape_nul, mask_message, split_blanks, strip, template_id
+from logloom.functions.text import escape_nul, is_plain, mask_message, split_blanks, strip, template_id
 
 NORMAL_LABEL = "-"
 #: Header fields, severities and the accepted span of epochs (2000 to 2050).
@@ -17,13 +17,13 @@ DATE = r"(?U)^\d{4}\.\d{2}\.\d{2}$"
 DATETIME = r"(?U)^\d{4}-\d{2}-\d{2}-\d{2}\.\d{2}\.\d{2}\.\d{6}$"
 
 
-def _reason(line: Column, parts: Column, epoch: Column) -> Column:
+def _reason(line: Column, plain: Column, stripped: Column, parts: Column, epoch: Column) -> Column:
     """The first check that fails names the reason; null for a good line."""
     part = lambda i: F.get(parts, F.lit(i))
     return (
-        F.when(~F.is_valid_utf8(line) | F.contains(line, F.lit("\ufffd")), "undecodable_bytes")
-        .when(F.contains(line, F.lit("\x00")), "nul_byte")
-        .when(strip(line) == "", "empty_line")
+        F.when(~plain & (~F.is_valid_utf8(line) | F.contains(line, F.lit("\ufffd"))), "undecodable_bytes")
+        .when(~plain & F.contains(line, F.lit("\x00")), "nul_byte")
+        .when(stripped == "", "empty_line")
         .when(F.size(parts) < HEADER_FIELDS, "too_few_fields")
         .when(~part(1).rlike(r"^\d+$") | epoch.isNull() | ~epoch.between(*EPOCHS), "bad_epoch")
         .when(~part(2).rlike(DATE), "bad_date")
@@ -47,15 +47,19 @@ def parse(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     keep: further columns to carry along. Null lines are empty ones.
     """
     value = F.coalesce(F.col("value"), F.lit(""))
-    line = F.rtrim(F.rtrim("_raw", F.lit("\n")), F.lit("\r"))
+    ended = F.endswith("_raw", F.lit("\n")) | F.endswith("_raw", F.lit("\r"))
+    line = F.when(ended, F.rtrim(F.rtrim("_raw", F.lit("\n")), F.lit("\r"))).otherwise(F.col("_raw"))
     cut = lines.select("source_file", "line_no", *keep, value.alias("_raw"))
-    cut = _once(cut, "_cut", F.struct(line.alias("line"), split_blanks(strip(line), HEADER_FIELDS + 1).alias("parts")))
-    part = lambda i: F.get("_cut.parts", F.lit(i))
+    cut = _once(cut, "_line", F.struct(line.alias("line"), is_plain(line).alias("plain")))
+    plain = F.col("_line.plain")
+    cut = _once(cut, "_stripped", strip(F.col("_line.line"), plain))
+    cut = _once(cut, "_parts", split_blanks(F.col("_stripped"), HEADER_FIELDS + 1, plain))
+    part = lambda i: F.get("_parts", F.lit(i))
     epoch = part(1).try_cast("bigint")
-    out = _once(cut, "_facts", F.struct(_reason(F.col("_cut.line"), F.col("_cut.parts"), epoch).alias("reason"), epoch.alias("epoch")))
+    out = _once(cut, "_facts", F.struct(_reason(F.col("_line.line"), plain, F.col("_stripped"), F.col("_parts"), epoch).alias("reason"), epoch.alias("epoch")))
     message = F.coalesce(part(HEADER_FIELDS), F.lit(""))
     # Plain columns, so that masks and digests are left out where nobody reads them.
-    template = mask_message(message)
+    template = mask_message(message, plain)
     return out.select(
         "source_file",
         "line_no",

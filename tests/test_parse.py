@@ -162,3 +162,20 @@ def test_short_masks_equal_all_masks(spark):
     assert df.filter(~text.mask_message(F.col("m")).eqNullSafe(want)).count() == 0
     shown = df.select(text.mask_message(F.col("m")))._jdf.queryExecution().optimizedPlan().toString()
     assert "\\b\\d+" in shown.replace("(?U)\\b\\d+", "")
+
+
+def test_plain_lines_are_stripped_and_split_without_patterns_and_as_others_are(spark, monkeypatch):
+    from logloom.operators import parse as module
+
+    good_line = "- 1117838570 2005.06.03 n1 2005-06-03-15.42.50.675872 n1 RAS KERNEL INFO core 17 at R02-M1-N0 0xff"
+    ends = ("", " ", "\t", "\r", "\n", "\r\n", "\n\r\n", "\x0b", "\x1c", "\x1f", "\xa0", "　", "\x00", "�", "é")
+    lines = [a + good_line + b for a in ends for b in ends]
+    lines += [good_line.replace(" ", c, 1) for c in ends] + [good_line.replace("core", f"co{c}re") for c in ends] + ["", "   ", " \t", good_line[:40], good_line.replace(" ", "  ")]
+    df = spark.createDataFrame([("f", i, v) for i, v in enumerate([*lines, None])], "source_file string, line_no bigint, value string")
+    broken = df.filter("line_no < 8").withColumns({"line_no": F.col("line_no") + 10_000, "value": F.concat("value", F.unhex(F.lit("FF")).cast("string"))})
+    df = df.unionByName(broken).persist()
+    shown = module.good(module.parse(df))
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 3  # epoch, date, datetime
+    fast = sorted(map(str, module.parse(df).collect()))
+    monkeypatch.setattr(module, "is_plain", lambda text: F.lit(False))
+    assert fast == sorted(map(str, module.parse(df).collect())) and len(fast) == df.count()
