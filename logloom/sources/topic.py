@@ -88,14 +88,21 @@ def append(records: DataFrame, path: str, files: int | None = None) -> dict[int,
     line_no; returns the ends of the partitions. Appends to one topic follow each other."""
     spark = records.sparkSession
     names = [c.split()[0] for c in RECORD.split(", ")]
-    rows = records.select(F.col("partition").cast("int").alias("partition"), *names)
-    if not rows.filter("partition IS NULL OR partition < 0").isEmpty():
-        raise ValueError("every record needs a partition that isn't negative")
-    order = ("partition", "source_file", "line_no")
-    by_order = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
     data = f"{path.rstrip('/')}/data-{uuid4().hex}"
-    # A file is a run of one partition, and a later file of it a later run.
-    by_order.sortWithinPartitions(*order).write.partitionBy("partition").parquet(data)
+    # The records are made once; the check, the ranges' sample and the ordering each read them.
+    stage = f"{path.rstrip('/')}/staged-{uuid4().hex}"
+    records.select(F.col("partition").cast("int").alias("partition"), *names).write.parquet(stage)
+    try:
+        rows = spark.read.schema(f"partition int, {RECORD}").parquet(stage)
+        if not rows.filter("partition IS NULL OR partition < 0").isEmpty():
+            raise ValueError("every record needs a partition that isn't negative")
+        order = ("partition", "source_file", "line_no")
+        by_order = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
+        # A file is a run of one partition, and a later file of it a later run.
+        by_order.sortWithinPartitions(*order).write.partitionBy("partition").parquet(data)
+    finally:
+        store, staged = file_store(stage)
+        store.delete_dir(staged)
     stored = spark.read.schema(f"{RECORD}, partition int").option("basePath", data).parquet(data)
     counted = stored.groupBy("partition", F.col("_metadata.file_path").alias("file")).agg(F.min(F.struct("source_file", "line_no")).alias("least"), F.count(F.lit(1)).alias("n"))
     at, out = ends(segments(path)), []

@@ -268,3 +268,17 @@ def test_members_share_a_topic(spark, tmp_path):
     assert [r["members"] for r in out["runs"]] == [2, 2] and all(r["records"] == 400 for r in out["runs"])
     assert out["windows"] == len({i * 7 % 3000 // 60 for i in range(400)}) and out["late_events"] == 0
     assert out["median_events_per_second"] > 0
+
+
+def test_an_append_makes_its_records_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = spark.range(1000).selectExpr("cast(id % 2 AS int) AS partition", "'k' AS key", "'v' AS value", "'f' AS source_file", "id AS line_no", "current_timestamp() AS produced_at")
+    assert topic.append(rows.mapInArrow(counted, rows.schema), f"{tmp_path}/topic") == {0: 500, 1: 500}
+    assert made.value == 1000 and not list(tmp_path.glob("topic/staged-*"))
+    assert topic.read_topic(spark, f"{tmp_path}/topic").count() == 1000
