@@ -36,8 +36,12 @@ OUT = (
 _NAMES = [x.split()[0] for x in OUT.split(", ")]
 _FACTS = ("event_count", *COUNTS, "alert_count")
 _STATE = ", ".join(f"{c} bigint" for c in _FACTS) + ", produced_ms bigint, n_nodes bigint, n_templates bigint, chunks int"
-#: Values of a window that are held before they are made distinct.
-_PENDING = 4096
+#: Characters of a window's packed values that are held before they are made distinct.
+_PENDING = 1 << 16
+#: Events of a task that are folded at once, and late ones of a frame.
+_RUN_EVENTS, _LATE_ROWS = 1 << 17, 10_000
+_RUN = "partition int, window_start bigint, drain boolean, " + ", ".join(f"{c} bigint" for c in _FACTS) + ", latest bigint, produced_ms bigint, nodes string, templates string, epochs binary"
+_EVENT = {"partition": pa.int32(), "window_start": pa.int64(), "epoch": pa.int64(), "node": pa.string(), "template_id": pa.string(), "severity": pa.string(), "is_alert": pa.bool_(), "drain": pa.bool_(), "produced_ms": pa.int64()}
 _SEPARATOR = "\0"  # in no node of a line that parses
 
 
@@ -53,54 +57,83 @@ def _without(values: pa.Array, packed: bytes | None) -> pa.Array:
     return values.filter(pc.invert(pc.is_in(values, value_set=known)))
 
 
+def _runs(rows: pa.Table) -> pa.Table:
+    """Events folded by partition and window: counts, latest times, distinct values packed, and the events'
+    own times (eight bytes each) for the windows that turn out late. A drain record is a row of its own."""
+    events = rows.filter(pc.invert(rows["drain"]))
+    ones = lambda mask: pc.fill_null(mask, False).cast(pa.int64())
+    facts = [pa.array(np.ones(len(events), np.int64)), *(ones(pc.equal(events["severity"], s)) for s in SEVERITIES), ones(events["is_alert"])]
+    keys, values = ["partition", "window_start"], {"nodes": "node", "templates": "template_id"}
+    columns = {c: events[c] for c in (*keys, "epoch", "produced_ms")} | {k: pc.fill_null(events[c], "") for k, c in values.items()}
+    asked = [*((c, "sum") for c in _FACTS), ("epoch", "max"), ("produced_ms", "max"), *((k, "distinct") for k in values), ("epoch", "list")]
+    out = pa.table(columns | dict(zip(_FACTS, facts, strict=True))).group_by(keys, use_threads=False).aggregate(asked).combine_chunks()
+    times = pa.concat_arrays(out["epoch_list"].chunks) if len(out) else pa.array([], pa.list_(pa.int64()))
+    cuts = np.append(0, np.cumsum(pc.list_value_length(times).to_numpy(zero_copy_only=False))).astype(np.int32) * 8
+    packed = pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(cuts), pa.py_buffer(times.flatten().to_numpy().astype("<i8"))])
+    drains = pc.unique(rows.filter(rows["drain"])["partition"])
+    n, gone = len(out), len(drains)
+    with_drains = lambda column, of: pa.concat_arrays([*column.cast(of).chunks, pa.nulls(gone, of)])
+    found = {"partition": pa.concat_arrays([*out["partition"].cast(pa.int32()).chunks, drains]), "window_start": with_drains(out["window_start"], pa.int64())}
+    found["drain"] = pa.array(np.arange(n + gone) >= n)
+    found |= {c: pc.fill_null(with_drains(out[f"{c}_sum"], pa.int64()), 0) for c in _FACTS}
+    found |= {"latest": with_drains(out["epoch_max"], pa.int64()), "produced_ms": with_drains(out["produced_ms_max"], pa.int64())}
+    found |= {k: with_drains(pc.binary_join(out[f"{k}_distinct"], _SEPARATOR), pa.string()) for k in values}
+    return pa.table(found | {"epochs": pa.concat_arrays([packed, pa.nulls(gone, pa.binary())])})
+
+
+def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The events of a task, folded a run at a time before they go to their partition's task."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= _RUN_EVENTS:
+            yield from _runs(pa.Table.from_batches(held)).to_batches()
+            held, n = [], 0
+    if n:
+        yield from _runs(pa.Table.from_batches(held)).to_batches()
+
+
 class _Values:
-    """Distinct strings as Arrow arrays, which take some ten bytes a short value, not a Python string and a
-    set's entry. What was added is made distinct whenever it outgrows what already is."""
+    """Distinct strings as an Arrow array, which takes some ten bytes a short value, not a Python string and a
+    set's entry. What was added, packed, is made distinct whenever it outgrows what already is."""
 
-    def __init__(self, once: pa.Array):
-        self.once, self.more, self.pending = once, [], 0
+    def __init__(self):
+        self.once, self.more, self.pending = pa.array([], pa.string()), [], 0
 
-    def add(self, values: pa.Array) -> None:
-        self.more.append(values)
-        self.pending += len(values)
-        if self.pending > max(_PENDING, len(self.once)):
+    def add(self, packed: list[str]) -> None:
+        self.more += packed
+        self.pending += sum(map(len, packed))
+        if self.pending > max(_PENDING, self.once.nbytes):
             self.distinct()
 
     def distinct(self) -> pa.Array:
         if self.more:
-            self.once, self.more, self.pending = pc.unique(pa.concat_arrays([self.once, *self.more])), [], 0
+            values = pc.split_pattern(pa.array(self.more, pa.string()), _SEPARATOR).flatten()
+            self.once, self.more, self.pending = pc.unique(pa.concat_arrays([self.once, values])), [], 0
         return self.once
 
 
 class _Window:
     """What a batch adds to a window."""
 
-    def __init__(self, facts: np.ndarray, produced_ms: int, nodes: pa.Array, templates: pa.Array):
-        self.facts, self.produced_ms, self.nodes, self.templates = facts, produced_ms, _Values(nodes), _Values(templates)
-
-    def add(self, other: _Window) -> None:
-        self.facts = self.facts + other.facts
-        self.produced_ms = max(self.produced_ms, other.produced_ms)
-        self.nodes.add(other.nodes.distinct())
-        self.templates.add(other.templates.distinct())
-
-
-def _folded(events: pd.DataFrame) -> dict[int, _Window]:
-    """Windows of one chunk of events, counted column by column."""
-    counts = pd.DataFrame({"window_start": events["window_start"], "event_count": 1})
-    for s, c in zip(SEVERITIES, COUNTS, strict=True):
-        counts[c] = (events["severity"] == s).astype(np.int64)
-    counts["alert_count"] = events["is_alert"].astype(np.int64)
-    facts = counts.groupby("window_start")[list(_FACTS)].sum()  # in the order of the starts
-    produced = events.groupby("window_start")["produced_ms"].max().fillna(-1)
-    values = {}
-    for c in ("node", "template_id"):
-        once = events[["window_start", c]].drop_duplicates().sort_values("window_start", kind="stable")
-        starts, column = once["window_start"].to_numpy(), pa.array(once[c], pa.string())
-        cuts = zip(np.searchsorted(starts, facts.index, "left"), np.searchsorted(starts, facts.index, "right"), strict=True)
-        values[c] = [column.take(pa.array(np.arange(i, j))) for i, j in cuts]  # copies, so that no window holds the chunk
-    rows = zip(facts.index, facts.to_numpy(), values["node"], values["template_id"], strict=True)
-    return {int(w): _Window(f, int(produced[w]), nodes, templates) for w, f, nodes, templates in rows}
+    def __init__(self):
+        self.facts, self.produced_ms, self.nodes, self.templates = np.zeros(len(_FACTS), np.int64), -1, _Values(), _Values()
+
+    def add(self, facts: np.ndarray, produced_ms: int, nodes: list[str], templates: list[str]) -> None:
+        self.facts = self.facts + facts
+        self.produced_ms = max(self.produced_ms, produced_ms)
+        self.nodes.add(nodes)
+        self.templates.add(templates)
+
+
+def _folded(runs: pd.DataFrame) -> Iterator[tuple[int, tuple[np.ndarray, int, list[str], list[str]]]]:
+    """Each window of a chunk of runs with what _Window.add takes."""
+    if len(runs):
+        by = runs.groupby(runs["window_start"].astype(np.int64))
+        facts, produced = by[list(_FACTS)].sum(), by["produced_ms"].max().fillna(-1)
+        for start, own, at, nodes, templates in zip(facts.index, facts.to_numpy(np.int64), produced, by["nodes"].agg(list), by["templates"].agg(list), strict=True):
+            yield int(start), (own, int(at), nodes, templates)
 
 
 class WindowProcessor(StatefulProcessor):
@@ -109,6 +142,7 @@ class WindowProcessor(StatefulProcessor):
     Values are kept in chunks, one for each batch that brought the window new ones, and a
     chunk is never written again: what a batch writes follows its own new values, not what
     the window has gathered. A window that opens and closes in one batch leaves no state.
+    Rows are runs (_RUN); events that come as they are, are folded here.
     """
 
     def __init__(self, window_seconds: int, lateness: int, idle_ms: int | None):
@@ -124,20 +158,20 @@ class WindowProcessor(StatefulProcessor):
         latest, closed, earliest = self.clock.get() if self.clock.exists() else (-1, 0, _NEVER)
         late, new, drain = [], {}, False
         for batch in rows:
+            if "nodes" not in batch.columns:
+                own = {c: batch[c] if c in batch.columns else key[0] for c in _EVENT}
+                batch = _runs(pa.Table.from_pandas(pd.DataFrame(own), pa.schema(_EVENT), preserve_index=False)).to_pandas()
             ends = batch["drain"].astype(bool)
             drain = drain or bool(ends.any())
-            events = batch[~ends]
-            if not len(events):
+            runs = batch[~ends]
+            if not len(runs):
                 continue
-            latest = max(latest, int(events["epoch"].max()))
-            behind = events["window_start"] < closed
+            latest = max(latest, int(runs["latest"].max()))
+            behind = runs["window_start"] < closed
             if behind.any():
-                late.append(events.loc[behind, "epoch"].to_numpy(np.int64))
-            for start, window in _folded(events[~behind]).items():
-                if start in new:
-                    new[start].add(window)
-                else:
-                    new[start] = window
+                late.append(b"".join(runs.loc[behind, "epochs"]))
+            for start, added in _folded(runs[~behind]):
+                new.setdefault(start, _Window()).add(*added)
         earliest = min([earliest, *new])
         mark, out = latest - self.lateness, []
         # Open windows are only listed when one of them is due.
@@ -157,8 +191,10 @@ class WindowProcessor(StatefulProcessor):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield self._frame(key, pd.DataFrame(out, columns=_NAMES))
         # Late events wait for the batch's mark as eight bytes each, and become rows a chunk at a time.
-        for epochs in late:
-            yield self._frame(key, pd.DataFrame({"kind": "late", "window_start": epochs - epochs % self.window_seconds, "epoch": epochs, "watermark": mark}))
+        for packed in late:
+            times = np.frombuffer(packed, "<i8")
+            for epochs in (times[i : i + _LATE_ROWS] for i in range(0, len(times), _LATE_ROWS)):
+                yield self._frame(key, pd.DataFrame({"kind": "late", "window_start": epochs - epochs % self.window_seconds, "epoch": epochs, "watermark": mark}))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         latest, closed, _ = self.clock.get() if self.clock.exists() else (-1, 0, _NEVER)
@@ -234,7 +270,7 @@ def exact_stream(events: DataFrame, window_seconds: int = 60, lateness_seconds:
     rows = rows.select("partition", "window_start", "epoch", "node", "template_id", "severity", "is_alert", "drain", produced.alias("produced_ms"))
     processor = WindowProcessor(window_seconds, lateness_seconds, idle_ms)
     mode = "none" if idle_ms is None else "processingTime"
-    out = rows.groupBy("partition").transformWithStateInPandas(processor, OUT, "append", mode)
+    out = rows.mapInArrow(_in_runs, _RUN).groupBy("partition").transformWithStateInPandas(processor, OUT, "append", mode)
     return out.observe("lateness", F.count_if(F.col("kind") == "window").alias("windows"), F.count_if(F.col("kind") == "late").alias("late_events"))
 
 

@@ -231,3 +231,52 @@ def test_a_batch_holds_late_events_and_values_compactly():
     assert all(starts == [60_000] for _, n, starts in sizes if n)
     assert peak < 16 << 20
     assert own.open[(63_600,)][0] == 200_000 and own.open[(63_600,)][-3] == 200_000
+
+
+def test_events_folded_before_the_state_give_the_same_rows():
+    """A task's events of a partition and window reach the state as one row; late ones, drains and counts stay what they are."""
+    import random
+
+    import pandas as pd
+    import pyarrow as pa
+
+    class Value:
+        at = None
+        exists = lambda self: self.at is not None
+        get = lambda self: self.at
+
+        def update(self, at):
+            self.at = at
+
+    class Map(dict):
+        containsKey = lambda self, k: k in self
+        getValue, updateValue, removeKey = dict.__getitem__, dict.__setitem__, dict.pop
+
+    rng = random.Random(3)
+
+    def events(n, drain=False):
+        epoch = [rng.randrange(3000) for _ in range(n)]
+        rows = [(0, e - e % 60, e, rng.choice("abc") * rng.randint(1, 9), f"t{rng.randrange(4)}", rng.choice(exact.SEVERITIES), rng.random() < 0.1, False, rng.choice([None, e])) for e in epoch]
+        return pa.Table.from_pylist([dict(zip(exact._EVENT, r, strict=True)) for r in [*rows, *[(0, None, None, None, None, None, None, True, None)] * drain]], pa.schema(exact._EVENT))
+
+    def run(fold):
+        own = exact.WindowProcessor(60, 300, None)
+        own.handle, own.clock, own.open, own.values = None, Value(), Map(), Map()
+        out = []
+        for table in tables:
+            batches = [b.to_pandas() for b in (exact._in_runs(iter(table.to_batches(100))) if fold else table.to_batches(100))]
+            sizes.append(sum(map(len, batches)))
+            frame = pd.concat(list(own.handleInputRows((0,), iter(batches), None)))
+            out.append(sorted(map(str, frame.itertuples(index=False))))
+        return out, dict(own.open), own.clock.at
+
+    sizes, tables = [], [events(900), events(900), events(0, True), events(50, True)]
+    assert run(False) == run(True)
+    assert sizes[:3] == [900, 900, 1] and max(sizes[4:6]) <= 50 and sizes[6] == 1
+
+
+def test_a_stream_is_folded_in_its_tasks(spark, tmp_path):
+    replay.drain(spark, str(tmp_path / "drains"), 1)
+    replay.produce(lines(spark, range(5)), str(tmp_path / "topic"))
+    shown = exact.exact_stream(replay.parsed_events(replay.topic_stream(spark, str(tmp_path / "topic"))), 60)._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in shown
