@@ -27,16 +27,31 @@ def counted(events: DataFrame, window_seconds: int = 60) -> DataFrame:
     return keyed.groupBy("window_start", "node", "template_id", "severity", "is_alert").agg(F.count(F.lit(1)).alias("n"))
 
 
-def features_of(counted: DataFrame, window_seconds: int) -> DataFrame:
-    """window_features out of counted events; the exact distinct counts run over what is left of a window."""
+def without_nodes(counted: DataFrame) -> DataFrame:
+    """Counted events without their nodes, which are most of their keys."""
+    return counted.groupBy("window_start", "template_id", "severity", "is_alert").agg(F.sum("n").alias("n"))
+
+
+def distinct_nodes(counted: DataFrame) -> DataFrame:
+    """Exact number of nodes of each window."""
+    return counted.groupBy("window_start").agg(F.count_distinct("node").alias("distinct_nodes"))
+
+
+def features_of(counted: DataFrame, window_seconds: int, nodes: DataFrame | None = None) -> DataFrame:
+    """window_features out of counted events; the exact distinct counts run over what is left of a window.
+
+    nodes: their distinct_nodes, where counted comes without nodes. Two distinct counts in one grouping
+    make three rows of each counted one, so this is the way for counted events that are stored.
+    """
     out = counted.groupBy("window_start").agg(
         F.sum("n").alias("event_count"),
-        F.count_distinct("node").alias("distinct_nodes"),
+        *([F.count_distinct("node").alias("distinct_nodes")] if nodes is None else []),
         F.count_distinct("template_id").alias("distinct_templates"),
         *severity_counts(F.col("n")),
         F.sum(F.when(F.col("is_alert"), F.col("n")).otherwise(0)).cast("long").alias("alert_count"),
         F.bool_or("is_alert").alias("is_anomalous"),
     )
+    out = out if nodes is None else out.join(nodes, "window_start")
     out = out.withColumn("error_rate", error_rate()).withColumn("window_seconds", F.lit(window_seconds))
     return out.select(
         "window_seconds", "window_start", "event_count", "distinct_nodes", "distinct_templates",

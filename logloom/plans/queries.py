@@ -36,7 +36,8 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Hourly windows and template counts. The events are parsed once for both, and what is left of
     them after counting is written; both tables are small against them and read by every later step."""
     counted = checkpointed(aggregate.counted(_events(spark, sf_dir), HOUR))
-    return aggregate.features_of(counted, HOUR).persist(), aggregate.counts_of(counted, HOUR).persist()
+    few = aggregate.without_nodes(counted).persist()
+    return aggregate.features_of(few, HOUR, aggregate.distinct_nodes(counted)).persist(), aggregate.counts_of(few, HOUR).persist()
 
 
 def _matrix(spark: SparkSession, sf_dir: str, templates: int = SQL_TEMPLATES, tables: tuple[DataFrame, DataFrame] | None = None) -> Matrix:

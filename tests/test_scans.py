@@ -68,3 +68,15 @@ def test_health_parses_the_events_once(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     row = queries.rule_zscore_health(spark, folder).first()
     assert len(calls) == 1 and row["events"] == spark.read.parquet(f"{folder}/events.parquet").count()
+
+
+def test_stored_counts_are_not_multiplied_for_distinct_counts(spark):
+    from logloom.operators import aggregate
+    from logloom.plans import queries
+
+    folder = "/root/testdata/sf0.001"
+    windows, counts = queries._tables(spark, folder)
+    assert "Expand" not in windows._jdf.queryExecution().toString()
+    events = queries._events(spark, folder)
+    for found, want in ((windows, aggregate.window_features(events, queries.HOUR)), (counts, aggregate.template_counts(events, queries.HOUR))):
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
